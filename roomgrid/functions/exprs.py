@@ -33,26 +33,28 @@ def overlaps(start_a, end_a, start_b, end_b) -> Column:
     return (_col(start_a) < _col(end_b)) & (_col(end_a) > _col(start_b))
 
 
-def _day_number(column: Column) -> Column:
-    return F.datediff(column.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+def epoch_second(column: str) -> Column:
+    """Seconds since 1970 of a zone-free timestamp column, whatever the session zone."""
+    return F.expr(f"cast(cast({column} - timestamp_ntz'1970-01-01 00:00:00' as interval second) as bigint)")
 
 
-def epoch_second(column) -> Column:
-    """Seconds since 1970 of a zone-free timestamp, whatever the session zone."""
-    c = _col(column)
-    return _day_number(c) * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
+def _boundaries(start, end, unit: str) -> Column:
+    if isinstance(start, str) and isinstance(end, str):
+        hours = f"datediff(cast({end} as date), cast({start} as date)) * 24L + hour({end}) - hour({start})"
+        return F.expr(hours if unit == "hour" else f"({hours}) * 60 + minute({end}) - minute({start})")
+    a, b = _col(start), _col(end)
+    hours = F.datediff(b.cast("date"), a.cast("date")).cast("long") * 24 + (F.hour(b) - F.hour(a))
+    return hours if unit == "hour" else hours * 60 + (F.minute(b) - F.minute(a))
 
 
 def hour_diff(start, end) -> Column:
     """Hour boundaries crossed, not full hours."""
-    a, b = _col(start), _col(end)
-    return F.datediff(b.cast("date"), a.cast("date")).cast("long") * 24 + (F.hour(b) - F.hour(a))
+    return _boundaries(start, end, "hour")
 
 
 def minute_diff(start, end) -> Column:
     """Minute boundaries crossed, not full minutes."""
-    a, b = _col(start), _col(end)
-    return hour_diff(a, b) * 60 + (F.minute(b) - F.minute(a))
+    return _boundaries(start, end, "minute")
 
 
 def shift_minutes(column, minutes) -> Column:

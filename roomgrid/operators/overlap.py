@@ -20,45 +20,29 @@ from pyspark.sql import functions as F
 from roomgrid.functions.exprs import epoch_second, open_end
 from roomgrid.operators.slices import ROWS_PER_SLICE, neighbour, running
 
-_WIDTHS = [86400 * 32**level for level in range(6)]
+# width of a cell: 1 day on level 0, 32 times as much on each next level; level 5 spans the calendar
+_WIDTH = "shiftleft(86400L, 5 * _level)"
+_LEVEL = "case " + " ".join(f"when {{length}} <= {86400 * 32**n} then {n}" for n in range(5)) + " else 5 end"
 
 
-def _by_level(level: Column, expression) -> Column:
-    out = F.lit(None).cast("long")
-    for number in reversed(range(len(_WIDTHS))):
-        out = F.when(level == number, expression(_WIDTHS[number])).otherwise(out)
-    return out
-
-
-def _level(length: Column) -> Column:
-    out = F.lit(len(_WIDTHS) - 1)
-    for number in reversed(range(len(_WIDTHS) - 1)):
-        out = F.when(length <= _WIDTHS[number], F.lit(number)).otherwise(out)
-    return out
+def _intervals(df: DataFrame, start: str, end: str) -> DataFrame:
+    timed = df.select("*", epoch_second(start).alias("_from"), epoch_second(end).alias("_to"))
+    leveled = timed.select("*", F.expr(_LEVEL.format(length="(_to - _from)")).alias("_level"))
+    cells = F.expr(f"explode(sequence(floor(_from / {_WIDTH}), floor((_to - 1) / {_WIDTH})))")
+    return leveled.select(*df.columns, "_level", cells.alias("_cell"))
 
 
-def _cell(second: Column, width: int) -> Column:
-    return F.floor(second / F.lit(width))
+def _levels_of(intervals: DataFrame, start: str, end: str) -> Column:
+    """The levels on which the intervals lie; finding them reads two columns."""
+    length = intervals.select((epoch_second(end) - epoch_second(start)).alias("n"))
+    return length.agg(F.expr(f"array_sort(collect_set({_LEVEL.format(length='n')}))")).scalar()
 
 
-def _intervals(df: DataFrame, start: str, end: str) -> DataFrame:
-    first, last = epoch_second(start), epoch_second(end) - 1
-    leveled = df.withColumn("_level", _level(last - first + 1))
-    cells = F.sequence(
-        _by_level(F.col("_level"), lambda w: _cell(first, w)), _by_level(F.col("_level"), lambda w: _cell(last, w))
-    )
-    return leveled.withColumn("_cell", F.explode(cells))
-
-
-def _points(df: DataFrame, at: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
-    length = epoch_second(end) - epoch_second(start)
-    in_use = intervals.agg(F.array_sort(F.collect_set(_level(length)))).scalar()
-    return (
-        df.withColumn("_levels", in_use)
-        .withColumn("_level", F.explode("_levels"))
-        .withColumn("_cell", _by_level(F.col("_level"), lambda w: _cell(epoch_second(at), w)))
-        .drop("_levels")
-    )
+def _points(df: DataFrame, at: str, in_use: Column) -> DataFrame:
+    """One row per level in use."""
+    timed = df.select("*", epoch_second(at).alias("_at_second"), in_use.alias("_levels"))
+    leveled = timed.select("*", F.explode("_levels").alias("_level"))
+    return leveled.select(*df.columns, "_level", F.expr(f"floor(_at_second / {_WIDTH})").alias("_cell"))
 
 
 def _on(keys: list[str]) -> list[str]:
@@ -68,16 +52,20 @@ def _on(keys: list[str]) -> list[str]:
 def overlap_pairs(
     left: DataFrame, right: DataFrame, keys: list[str], left_span: tuple[str, str], right_span: tuple[str, str]
 ) -> DataFrame:
-    """All overlapping pairs, each once. Apart from ``keys`` the column names must differ."""
+    """All overlapping pairs, each once. Apart from ``keys`` the column names must differ.
+
+    ``right`` should be the smaller table: its points go on every level, so that the levels
+    in use need not be read from ``left``.
+    """
     (ls, le), (rs, re) = left_span, right_span
     columns = [*left.columns, *[c for c in right.columns if c not in keys]]
     right_starts_inside = (
         _intervals(left, ls, le)
-        .join(_points(right, rs, left, ls, le), _on(keys))
+        .join(_points(right, rs, F.sequence(F.lit(0), F.lit(5))), _on(keys))
         .where((F.col(rs) >= F.col(ls)) & (F.col(rs) < F.col(le)))
     )
     left_starts_inside = (
-        _points(left, ls, right, rs, re)
+        _points(left, ls, _levels_of(right, rs, re))
         .join(_intervals(right, rs, re), _on(keys))
         .where((F.col(ls) > F.col(rs)) & (F.col(ls) < F.col(re)))
     )
@@ -97,7 +85,7 @@ def self_overlap_pairs(df: DataFrame, keys: list[str], span: tuple[str, str], ro
     )
     return (
         _intervals(df, start, end)
-        .join(_points(other, start + suffix, df, start, end), _on(keys))
+        .join(_points(other, start + suffix, _levels_of(df, start, end)), _on(keys))
         .where(later & (F.col(start + suffix) < F.col(end)))
         .drop("_level", "_cell")
     )
@@ -174,17 +162,13 @@ def at_least_pairs(values: DataFrame, floors: DataFrame, value: str, floor: str,
     The numbers from ``floor`` up fall into at most ``bits`` binary blocks; a value lies in
     exactly one of them.
     """
-    levels = F.sequence(F.lit(0), F.lit(bits))
-    inside = values.withColumn("_level", F.explode(levels)).withColumn(
-        "_block", F.expr(f"shiftright(cast({value} as bigint), _level)")
+    inside = values.selectExpr("*", f"explode(sequence(0, {bits})) as _level").selectExpr(
+        "*", f"shiftright(cast({value} as bigint), _level) as _block"
     )
-    below = F.expr(f"shiftright(cast(greatest({floor}, 0) as bigint) - 1, _level)")
-    blocks = (
-        floors.withColumn("_level", F.explode(levels))
-        .where(F.pmod(below, F.lit(2)) == 0)
-        .withColumn("_block", below + 1)
+    # a floor of zero or less accepts every value: the one block of the top level
+    some = (
+        floors.selectExpr("*", f"greatest(cast({floor} as bigint), 0L) - 1 as _below", f"explode(sequence(0, {bits})) as _level")
+        .where(f"if(_below < 0, _level = {bits}, shiftright(_below, _level) % 2 = 0)")
+        .selectExpr(*floors.columns, "_level", "shiftright(_below, _level) + 1 as _block")
     )
-    # floors of zero or less accept every value: one block on the top level
-    everything = floors.where(F.col(floor) <= 0).withColumns({"_level": F.lit(bits), "_block": F.lit(0).cast("long")})
-    some = blocks.where(F.col(floor) > 0).unionByName(everything)
     return inside.join(some, ["_level", "_block"]).drop("_level", "_block")

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roomgrid.functions.exprs import as_decimal, hundredths, minute_diff, ntz, open_end
-from roomgrid.operators.overlap import overlap_pairs
-from roomgrid.plans.reports import _ROOM, _in_order, _people, _status, active_maintenance, free_rooms
-from roomgrid.schema import ADVISORY, OUT_OF_SERVICE, USABLE_BOOKING
+from roomgrid.functions.exprs import as_decimal, hundredths, minute_diff, ntz
+from roomgrid.plans.reports import _ROOM, _in_order, _people, _status, free_rooms
+from roomgrid.schema import OUT_OF_SERVICE, USABLE_BOOKING
 
 
 def _semester(t, start, end) -> DataFrame:
@@ -95,27 +94,19 @@ def a03_room_finder(t, requests: DataFrame, requested: DataFrame, *, ordered: bo
         ),
     )
     free = free_rooms(t, checked, (OUT_OF_SERVICE,))
-    listed = requested.select("request_id").distinct()
-    with_list = free.join(_equipped(t, requested), ["request_id", "space_id"], "left_semi")
-    without_list = free.join(listed, "request_id", "left_anti")
-    rooms = with_list.unionByName(without_list)
-    notices = active_maintenance(t, (ADVISORY,)).select(
-        "space_id", "maintenance_id", "problem_description", "start_time", open_end("completion_time").alias("end_time")
+    wishes = requested.groupBy("request_id").agg(F.lit(True).alias("has_list"))
+    equipped = _equipped(t, requested).withColumn("complete", F.lit(True))
+    rooms = (
+        free.join(wishes, "request_id", "left")
+        .join(equipped, ["request_id", "space_id"], "left")
+        .where(F.col("has_list").isNull() | F.col("complete"))
     )
-    per_room = (
-        overlap_pairs(notices, checked.select("request_id", "start", "end"), [], ("start_time", "end_time"), ("start", "end"))
-        .groupBy("request_id", "space_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.array_sort(F.collect_list(F.struct("maintenance_id", "problem_description"))).alias("texts"),
-        )
-    )
-    out = rooms.join(per_room, ["request_id", "space_id"], "left").select(
+    out = rooms.select(
         "request_id",
         "space_id",
         *_ROOM,
-        F.coalesce("n", F.lit(0).cast("long")).alias("active_advisory_count"),
-        F.when(F.col("n") > 0, F.array_join("texts.problem_description", "; ")).alias("active_advisories"),
+        F.greatest(F.size("notices"), F.lit(0)).cast("long").alias("active_advisory_count"),
+        F.when(F.size("notices") > 0, F.array_join("notices.text", "; ")).alias("active_advisories"),
     )
     return _in_order(out, ordered, "request_id", "capacity", "space_code")
 

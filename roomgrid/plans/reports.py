@@ -80,30 +80,39 @@ def r01_upcoming_bookings(t, as_of, days: int = 7, *, ordered: bool = True) -> D
     return _in_order(out, ordered, "requested_start_time", "space_code")
 
 
-def free_rooms(t, requests: DataFrame, outage_levels) -> DataFrame:
+def free_rooms(t, requests: DataFrame, blocking_levels) -> DataFrame:
     """Every request with every open room that is large enough and free in its interval.
 
-    ``requests``: request_id, start, end, participants. What is taken in some request's
-    interval is found once per (request, room) and removed by an equi anti join.
+    ``requests``: request_id, start, end, participants. Adds ``notices``: maintenance_id and
+    text of the overlapping records that do not block. Bookings and maintenance meet the
+    requests in one join; what it finds is folded per (request, room).
     """
-    spans = requests.select("request_id", "start", "end")
-    booked = _status(t["booking"], ACTIVE_BOOKING).select("space_id", "requested_start_time", "requested_end_time")
-    broken = active_maintenance(t, outage_levels).select(
-        "space_id", F.col("start_time"), open_end("completion_time").alias("end_time")
-    )
-    taken = (
-        overlap_pairs(booked, spans, [], ("requested_start_time", "requested_end_time"), ("start", "end"))
-        .select("request_id", "space_id")
-        .unionByName(
-            overlap_pairs(broken, spans, [], ("start_time", "end_time"), ("start", "end")).select("request_id", "space_id")
-        )
-        .distinct()
+    booked = _status(t["booking"], ACTIVE_BOOKING).select(
+        "space_id",
+        F.col("requested_start_time").alias("from"),
+        F.col("requested_end_time").alias("until"),
+        F.lit(True).alias("blocks"),
+        F.lit(None).cast("long").alias("maintenance_id"),
+        F.lit(None).cast("string").alias("text"),
+    )
+    repaired = active_maintenance(t).select(
+        "space_id",
+        F.col("start_time").alias("from"),
+        open_end("completion_time").alias("until"),
+        F.col("impact_level").isin(*blocking_levels).alias("blocks"),
+        "maintenance_id",
+        F.col("problem_description").alias("text"),
     )
-    rooms = t["space"].where(F.col("current_status").isin(*OPEN_SPACE)).select(
-        "space_id", "space_code", "space_name", "space_type", "capacity", "building", "floor", "room_number"
+    spans = requests.select("request_id", "start", "end")
+    notice = F.when(~F.col("blocks"), F.struct("maintenance_id", "text"))
+    met = (
+        overlap_pairs(booked.unionByName(repaired), spans, [], ("from", "until"), ("start", "end"))
+        .groupBy("request_id", "space_id")
+        .agg(F.bool_or("blocks").alias("blocked"), F.array_sort(F.collect_list(notice)).alias("notices"))
     )
+    rooms = t["space"].where(F.col("current_status").isin(*OPEN_SPACE)).select("space_id", *_ROOM)
     large_enough = at_least_pairs(rooms, requests, "capacity", "participants")
-    return large_enough.join(taken, ["request_id", "space_id"], "left_anti")
+    return large_enough.join(met, ["request_id", "space_id"], "left").where(~F.coalesce("blocked", F.lit(False)))
 
 
 _ROOM = ["space_code", "space_name", "space_type", "capacity", "building", "floor", "room_number"]
