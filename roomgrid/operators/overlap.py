@@ -172,3 +172,47 @@ def at_least_pairs(values: DataFrame, floors: DataFrame, value: str, floor: str,
         .selectExpr(*floors.columns, "_level", "shiftright(_below, _level) + 1 as _block")
     )
     return inside.join(some, ["_level", "_block"]).drop("_level", "_block")
+
+
+def overlap_count(
+    probes: DataFrame,
+    blocks: DataFrame,
+    keys: list[str],
+    probe_span: tuple[str, str],
+    block_span: tuple[str, str],
+    row_id: str,
+    name: str,
+    *,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """(row_id, number of blocks of its group that overlap the probe), for probes with any. Emits no pairs.
+
+    A probe overlaps all blocks that start before it ends, less those that end by its start.
+    """
+    (ps, pe), (bs, be) = probe_span, block_span
+
+    def events(df: DataFrame, at, kind: int, identity, started, ended) -> DataFrame:
+        return df.groupBy(*keys, at.alias("_at"), F.lit(kind).alias("_kind"), identity.alias("_id")).agg(
+            started.alias("_started"), ended.alias("_ended")
+        )
+
+    none, nobody = F.lit(0).cast("long"), F.lit(-1).cast("long")
+    own = F.col(row_id).cast("long")
+    # at equal times: ends, then probes, then starts
+    line = (
+        events(blocks, open_end(be), 0, nobody, F.sum(none), F.count("*"))
+        .unionByName(events(probes, F.col(ps), 1, own, F.sum(none), F.sum(none)).withColumn("_sign", F.lit(-1)), True)
+        .unionByName(events(probes, F.col(pe), 2, own, F.sum(none), F.sum(none)).withColumn("_sign", F.lit(1)), True)
+        .unionByName(events(blocks, F.col(bs), 3, nobody, F.count("*"), F.sum(none)), True)
+    )
+    seen = running(
+        line,
+        keys,
+        ["_at", "_kind", "_id"],
+        {"_n_started": ("sum", F.col("_started")), "_n_ended": ("sum", F.col("_ended"))},
+        rows_per_slice=rows_per_slice,
+    )
+    part = F.when(F.col("_sign") == 1, F.col("_n_started")).otherwise(-F.col("_n_ended"))
+    return (
+        seen.where(F.col("_sign").isNotNull()).groupBy(F.col("_id").alias(row_id)).agg(F.sum(part).alias(name)).where(F.col(name) > 0)
+    )

@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roomgrid.plans import analytics, reports
+from roomgrid.operators.upsert import insert_if_absent
+from roomgrid.plans import analytics, reports, rules, workflow
+from roomgrid.schema import NATURAL_KEYS
+from roomgrid.session import cut_lineage, shared_dir
+from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables
+from roomgrid.sources.tables import append_rows, conform, load_tables, table_summary, write_tables
+from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
 
 AS_OF = "1998-07-01 00:00:00"
 SEMESTER = ("1998-01-01 00:00:00", "1998-06-01 00:00:00")
@@ -74,3 +80,196 @@ JOBS: dict[str, Job] = {
     ),
     "a04_maintenance_impact": _on_tables(analytics.a04_maintenance_impact),
 }
+
+
+# ---- rule checks and workflow
+
+PARAMETERS["approval"] = """
+select booking_id, case booking_id % 13 when 0 then cast(3 as bigint) when 1 then 100 else 50 end as decision_maker_user_id,
+  booking_id % 3 = 0 as is_auto, booking_id % 2 = 0 as acknowledge
+from queue where booking_status in ('Pending', 'Rejected')
+union all select -1 - booking_id, 50, false, true from queue where booking_status = 'NoShow'
+"""
+# every approved booking is put back into the queue, so that requests really compete
+PARAMETERS["queue"] = """
+select booking_id, requester_user_id, space_id, requested_start_time, requested_end_time, purpose, expected_participants,
+  case when booking_status = 'Approved' then 'Pending' else booking_status end as booking_status,
+  submitted_at, cancelled_at, cancelled_by_user_id, cancellation_note
+from booking
+"""
+PARAMETERS["new_request"] = """
+select booking_id as request_id, requester_user_id, space_id, requested_start_time as span_start,
+  case when booking_id % 17 = 0 then requested_start_time else requested_end_time end as span_end, purpose,
+  case when booking_id % 19 = 0 then 0 else expected_participants end as participants,
+  booking_id % 5 = 0 as auto_approve, case when booking_id % 4 = 0 then cast(50 as bigint) end as decision_maker_user_id,
+  booking_id % 2 = 0 as acknowledge
+from booking
+"""
+PARAMETERS["level_change"] = """
+select maintenance_id, case maintenance_id % 7 when 0 then 'broken' when 1 then 'advisory' else 'out-of-service' end as new_level,
+  case maintenance_id % 11 when 0 then cast(3 as bigint) else 50 end as user_id, 'level review' as note
+from maintenance
+union all select -1 - maintenance_id, 'advisory', 50, 'unknown record' from maintenance
+"""
+PARAMETERS["traced_pair"] = """
+select booking_id, maintenance_id from booking_impact union select booking_id, maintenance_id from advisory_ack
+"""
+PARAMETERS["plain_maintenance"] = """
+select maintenance_id, space_id, reporter_user_id, assigned_staff_user_id, problem_description, start_time, completion_time,
+  maintenance_status, result_note from maintenance
+"""
+PARAMETERS["person_number"] = "select user_id as n from app_user where user_id > 0"
+PARAMETERS["room_number_source"] = "select space_id as n from space where space_id > 0"
+PARAMETERS["ship_day"] = "select cast(l_shipdate as date) as booking_date from lineitem"
+WINDOW = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
+
+
+def queue_tables(spark: SparkSession, folder: str):
+    t = derived_tables(spark, folder)
+    return t.replace(booking=lambda: conform(with_advisory_times(parameter(spark, folder, "queue")), "booking"))
+
+
+def _approved(spark: SparkSession, folder: str) -> DataFrame:
+    return workflow.w05_approve_batch(queue_tables(spark, folder), parameter(spark, folder, "approval"))
+
+
+def _new_requests(spark: SparkSession, folder: str) -> DataFrame:
+    df = parameter(spark, folder, "new_request")
+    return df.withColumnsRenamed({"span_start": "start", "span_end": "end"})
+
+
+def _on_pending(job) -> Job:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t = derived_tables(spark, folder)
+        return job(t, workflow.pending_bookings(t))
+
+    return run
+
+
+def _on_outcomes(job, *args) -> Job:
+    return lambda spark, folder: job(queue_tables(spark, folder), _approved(spark, folder), *args)
+
+
+def _on_changes(job, *args) -> Job:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        t = derived_tables(spark, folder)
+        return job(t, workflow.w08_change_impact_level(t, parameter(spark, folder, "level_change")), *args)
+
+    return run
+
+
+def _phase_one(spark: SparkSession, folder: str):
+    t = derived_tables(spark, folder)
+    return t.replace(
+        maintenance=lambda: parameter(spark, folder, "plain_maintenance"),
+        booking_policy=lambda: t["booking_policy"].drop("auto_approval_enabled"),
+        booking=lambda: derived(spark, folder, "select * from booking"),
+    )
+
+
+def _inserted(spark: SparkSession, folder: str) -> DataFrame:
+    booking = derived_tables(spark, folder)["booking"]
+    return insert_if_absent(booking.where("booking_status <> 'Completed'"), booking, NATURAL_KEYS["booking"])
+
+
+def _generated(spark: SparkSession, folder: str):
+    """Generated bookings over the given rooms, people and days, one per given booking number."""
+    t = derived_tables(spark, folder)
+    requesters = t["app_user"].where("role <> 'FacilityStaff'")
+    days = generate.academic_days_from(parameter(spark, folder, "ship_day"))
+    made = generate.bookings_from(derived(spark, folder, "select n from booking_base"), t["space"], requesters, days)
+    return t.replace(booking=made)
+
+
+def _generated_maintenance(t) -> DataFrame:
+    return generate.generate_maintenance(t["space"], t["booking"], t["app_user"])
+
+
+def _stored(spark: SparkSession, folder: str) -> str:
+    """Write the derived tables to a new folder that all executors reach."""
+    target = shared_dir(spark, "tables")
+    write_tables(derived_tables(spark, folder), target)
+    return target
+
+
+def _stored_and_appended(spark: SparkSession, folder: str) -> DataFrame:
+    target = _stored(spark, folder)
+    t = load_tables(spark, target)
+    changes = workflow.w08_change_impact_level(t, parameter(spark, folder, "level_change"))
+    # append-only history beside the tables as they were
+    append_rows(cut_lineage(workflow.w08_impact_history(t, changes, AS_OF)), "impact_history", target)
+    return table_summary(load_tables(spark, target))
+
+
+JOBS.update(
+    {
+        **{
+            name: _on_tables(getattr(rules, name))
+            for name in (
+                "v01_requester_active",
+                "v02_space_usable",
+                "v03_booking_overlap",
+                "v04_maintenance_block",
+                "v05_missing_ack",
+                "v06_bad_ack",
+                "v07_session_authority",
+                "v08_decision_authority",
+                "v09_domain_checks",
+                "v10_unique_keys",
+                "v11_orphans",
+                "v12_ack_completeness",
+            )
+        },
+        "v04_maintenance_block_phase1": _on_tables(rules.v04_maintenance_block, mode="phase1"),
+        "w01_validate_requests": lambda spark, folder: workflow.w01_validate_requests(
+            derived_tables(spark, folder), _new_requests(spark, folder)
+        ).withColumnsRenamed({"start": "span_start", "end": "span_end"}),
+        "w02_conflict_check": _on_pending(workflow.w02_conflict_check),
+        "w03_resolve_policy": _on_pending(
+            lambda t, pending: workflow.w03_resolve_policy(t, pending).select(
+                "booking_id", "policy_id", "effective_start", "effective_end"
+            )
+        ),
+        "w04_auto_approval_allowed": _on_pending(workflow.w04_auto_approval_allowed),
+        "w05_approve_batch": _approved,
+        "w06_record_acks": _on_outcomes(workflow.w06_record_acks, AS_OF),
+        "w07_record_decisions": _on_outcomes(workflow.w07_record_decisions, AS_OF),
+        "w07_booking_snapshot": _on_outcomes(workflow.w07_booking_snapshot, AS_OF),
+        "w08_change_impact_level": _on_changes(lambda t, outcomes: outcomes),
+        "w08_impact_history": _on_changes(workflow.w08_impact_history, AS_OF),
+        "w08_maintenance_snapshot": _on_changes(workflow.w08_maintenance_snapshot),
+        "w09_escalation_impacts": _on_changes(workflow.w09_escalation_impacts, AS_OF),
+        "w10_verify_approvals": lambda s, f: workflow.w10_verify_approvals(derived_tables(s, f), 1, *WINDOW)[0],
+        "w10_verify_approvals_count": lambda s, f: workflow.w10_verify_approvals(derived_tables(s, f), 1, *WINDOW)[1],
+        "w10_verify_approvals_pairs": lambda s, f: workflow.w10_verify_approvals(derived_tables(s, f), 1, *WINDOW)[2],
+        "w11_verify_escalation": lambda s, f: workflow.w11_verify_escalation(
+            derived_tables(s, f), parameter(s, f, "traced_pair")
+        )[0],
+        "w11_verify_escalation_impacts": lambda s, f: workflow.w11_verify_escalation(
+            derived_tables(s, f), parameter(s, f, "traced_pair")
+        )[1],
+        "o01_load_tables": lambda s, f: table_summary(load_tables(s, _stored(s, f))),
+        "o02_insert_if_absent": _inserted,
+        "o03_upgrade_phase1": lambda s, f: upgrade_phase1(_phase_one(s, f))["maintenance"],
+        "o03_upgrade_phase1_policy": lambda s, f: upgrade_phase1(_phase_one(s, f))["booking_policy"],
+        "o03_upgrade_phase1_booking": lambda s, f: upgrade_phase1(_phase_one(s, f))["booking"],
+        "o04_generate_users": lambda s, f: generate.users_from(parameter(s, f, "person_number"), 980),
+        "o05_generate_spaces": lambda s, f: generate.spaces_from(parameter(s, f, "room_number_source")),
+        "o06_generate_calendar": lambda s, f: generate.academic_days_from(parameter(s, f, "ship_day")),
+        "o07_generate_bookings": lambda s, f: _generated(s, f)["booking"],
+        "o08_generate_decisions": lambda s, f: generate.generate_decisions(
+            _generated(s, f)["booking"], derived_tables(s, f)["app_user"]
+        ),
+        "o09_generate_maintenance": lambda s, f: _generated_maintenance(_generated(s, f)),
+        "o10_generate_acks": lambda s, f: (
+            lambda t: generate.generate_acks(t["booking"], _generated_maintenance(t))
+        )(_generated(s, f)),
+        "o10_generate_ack_times": lambda s, f: (
+            lambda t: generate.with_ack_times(t["booking"], generate.generate_acks(t["booking"], _generated_maintenance(t)))
+        )(_generated(s, f)),
+        "o11_dataset_summary": lambda s, f: generate.dataset_summary(derived_tables(s, f))[0],
+        "o11_dataset_summary_status": lambda s, f: generate.dataset_summary(derived_tables(s, f))[1],
+        "o11_dataset_summary_maintenance": lambda s, f: generate.dataset_summary(derived_tables(s, f))[2],
+        "o12_write_tables": _stored_and_appended,
+    }
+)
