@@ -16,8 +16,6 @@ it keeps only the accepted intervals of the current island.
 
 from __future__ import annotations
 
-import bisect
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,25 +42,31 @@ def with_islands(
     return named.withColumn("island", F.col(f"_opening.{row_id}")).drop("_reached", "_opening")
 
 
-def _served_in_order(batches):
-    """Rows come sorted by group, island and order; keep the accepted intervals of one island."""
-    current, starts, ends = None, [], []
-    for batch in batches:
-        verdicts = []
-        for group, island, lo, hi, ws, we in zip(
-            batch["_group"], batch["island"], batch["_ns"], batch["_ne"], batch["_ws"], batch["_we"]
-        ):
-            if (group, island) != current:
-                current, starts, ends = (group, island), [], []
-            # accepted intervals are disjoint: only the last one that starts before the end can overlap
-            place = bisect.bisect_left(starts, we)
-            free = place == 0 or ends[place - 1] <= ws
-            if free:
-                at = bisect.bisect_left(starts, lo)
-                starts.insert(at, lo)
-                ends.insert(at, hi)
-            verdicts.append(free)
-        yield batch[["_id"]].assign(accepted=verdicts)
+def _server():
+    """The function for the workers; as a nested function it travels by value, so they need not have this package."""
+    from bisect import bisect_left
+
+    def serve(batches):
+        # rows come sorted by group, island and order; only the accepted intervals of one island are kept
+        current, starts, ends = None, [], []
+        for batch in batches:
+            verdicts = []
+            for group, island, lo, hi, ws, we in zip(
+                batch["_group"], batch["island"], batch["_ns"], batch["_ne"], batch["_ws"], batch["_we"]
+            ):
+                if (group, island) != current:
+                    current, starts, ends = (group, island), [], []
+                # accepted intervals are disjoint: only the last one that starts before the end can overlap
+                place = bisect_left(starts, we)
+                free = place == 0 or ends[place - 1] <= ws
+                if free:
+                    at = bisect_left(starts, lo)
+                    starts.insert(at, lo)
+                    ends.insert(at, hi)
+                verdicts.append(free)
+            yield batch[["_id"]].assign(accepted=verdicts)
+
+    return serve
 
 
 def _decide_islands(open_rows: DataFrame, keys, order, narrow, wide, row_id) -> DataFrame:
@@ -80,7 +84,7 @@ def _decide_islands(open_rows: DataFrame, keys, order, narrow, wide, row_id) ->
     return (
         lean.repartition("_group", "island")
         .sortWithinPartitions("_group", "island", *order)
-        .mapInPandas(_served_in_order, schema)
+        .mapInPandas(_server(), schema)
         .withColumnRenamed("_id", row_id)
     )
 

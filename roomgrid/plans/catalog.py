@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from roomgrid.operators.upsert import insert_if_absent
 from roomgrid.plans import analytics, reports, rules, workflow
@@ -14,6 +15,7 @@ from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables
 from roomgrid.sources.tables import append_rows, conform, load_tables, table_summary, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
+from roomgrid.streaming import approvals, escalations
 
 AS_OF = "1998-07-01 00:00:00"
 SEMESTER = ("1998-01-01 00:00:00", "1998-06-01 00:00:00")
@@ -273,3 +275,61 @@ JOBS.update(
         "o12_write_tables": _stored_and_appended,
     }
 )
+
+
+# ---- streams
+
+# the approvals of the batch job, plus a level change for every maintenance record, by submission time
+PARAMETERS["command"] = """
+select booking_id as command_id, 'approve' as kind, submitted_at as at, booking_id, decision_maker_user_id, is_auto, acknowledge,
+  cast(null as bigint) as maintenance_id, cast(null as varchar(20)) as new_level, cast(null as varchar(20)) as note
+from approval join queue using (booking_id)
+"""
+PARAMETERS["timed_change"] = """
+select maintenance_id * 2 as change_id, start_time + INTERVAL '1' HOUR as at, maintenance_id,
+  case when maintenance_id % 3 = 0 then 'advisory' else 'out-of-service' end as new_level,
+  case maintenance_id % 11 when 0 then cast(3 as bigint) else 50 end as user_id, 'first look' as note
+from maintenance
+union all select maintenance_id * 2 + 1, start_time + INTERVAL '2' HOUR, maintenance_id, 'out-of-service', 50, 'second look'
+from maintenance
+"""
+FILES_PER_STREAM = 2
+
+
+def stream_of(df: DataFrame, order: str, schema: str, purpose: str) -> DataFrame:
+    """Store the rows as a few files in time order and read them back as a stream, one file per trigger."""
+    spark = df.sparkSession
+    folder = shared_dir(spark, purpose)
+    df.repartitionByRange(FILES_PER_STREAM, order).write.parquet(folder)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
+    t = queue_tables(spark, folder)
+    commands = parameter(spark, folder, "command").select(*[c.split()[0] for c in approvals.COMMANDS.split(", ")])
+    standing = cut_lineage(workflow.standing_facts(t))
+    out = shared_dir(spark, "outcomes")
+    stream = approvals.s01_stream_approvals(stream_of(commands, "at", approvals.COMMANDS, "commands"), t, standing)
+    approvals.run_available(stream, out, shared_dir(spark, "stream"))
+    return spark.read.schema(approvals.OUTCOMES).parquet(out).select("booking_id", "code", F.col("result").alias("decision"))
+
+
+def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    t = derived_tables(spark, folder)
+    # read again by every micro-batch
+    t = t.replace(booking=cut_lineage(t["booking"]), booking_impact=cut_lineage(t["booking_impact"]))
+    changes = parameter(spark, folder, "timed_change").select(*[c.split()[0] for c in escalations.CHANGES.split(", ")])
+    return escalations.s02_stream_escalations(
+        stream_of(changes, "at", escalations.CHANGES, "changes"), t, shared_dir(spark, "escalations"), shared_dir(spark, "stream")
+    )
+
+
+JOBS.update(
+    {
+        "s01_stream_approvals": _streamed_approvals,
+        "s02_stream_escalations": lambda s, f: _streamed_escalations(s, f)[1].select("maintenance_id", "booking_id", "contact_status"),
+        "s02_stream_escalations_history": lambda s, f: _streamed_escalations(s, f)[0].select(
+            "maintenance_id", "prior_impact_level", "new_impact_level", "changed_by_user_id", "changed_at", "change_note"
+        ),
+    }
+)

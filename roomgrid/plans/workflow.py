@@ -14,7 +14,7 @@ from roomgrid.functions.exprs import ntz, shift_minutes
 from roomgrid.operators.first_come import MAX_ISLAND, first_come
 from roomgrid.operators.overlap import overlap_flags, overlap_pairs, self_overlap_pairs
 from roomgrid.operators.policy import with_policy
-from roomgrid.operators.slices import numbered
+from roomgrid.operators.slices import neighbour, numbered
 from roomgrid.plans.reports import active_maintenance, maintenance_overlaps
 from roomgrid.schema import (
     ACTIVE_BOOKING,
@@ -123,17 +123,8 @@ def w02_conflict_check(t, pending: DataFrame, *, buffer_both: bool = False) -> D
     )
 
 
-def w05_approve_batch(
-    t, approvals: DataFrame, *, buffer_both: bool = False, max_island: int = MAX_ISLAND
-) -> DataFrame:
-    """Decide approvals: (booking_id, decision_maker_user_id, code, decision), one row each.
-
-    ``approvals``: booking_id, decision_maker_user_id, is_auto, acknowledge. The rules apply
-    in order; requests for one room are served by (submitted_at, booking_id), so an approved
-    one blocks those after it. Who fails later rules (outage, advisory) takes no time, but
-    still hears first that the time is taken.
-    """
-    once = _one_per(approvals, "booking_id")
+def _facts(t) -> DataFrame:
+    """Bookings with what the first gates look at: an active requester and an open room that is large enough."""
     bookings = t["booking"].select(
         "booking_id",
         "space_id",
@@ -148,13 +139,14 @@ def w05_approve_batch(
     rooms = t["space"].where(F.col("current_status").isin(*OPEN_SPACE)).select(
         F.col("space_id").alias("open_space"), "capacity"
     )
-    known = (
-        once.join(bookings, "booking_id", "left")
-        .join(_active_people(t, "maker", PERSONNEL), F.col("decision_maker_user_id") == F.col("maker_found"), "left")
-        .join(_active_people(t, "requester"), F.col("requester_user_id") == F.col("requester_found"), "left")
-        .join(rooms, F.col("space_id") == F.col("open_space"), "left")
+    return bookings.join(_active_people(t, "requester"), F.col("requester_user_id") == F.col("requester_found"), "left").join(
+        rooms, F.col("space_id") == F.col("open_space"), "left"
     )
-    code = _first_code(
+
+
+def first_gates() -> Column:
+    """The code of the first broken rule that does not depend on other requests."""
+    return _first_code(
         (F.col("booking_status").isNull(), 51034),
         (F.col("booking_status") != "Pending", 51036),
         (F.col("maker_found").isNull(), 51037),
@@ -162,10 +154,57 @@ def w05_approve_batch(
         (F.col("open_space").isNull() | (F.col("capacity") < F.col("expected_participants")), 51039),
         (F.col("is_auto") & ~F.col("auto_allowed"), 51040),
     )
+
+
+def standing_facts(t, *, buffer_both: bool = False) -> DataFrame:
+    """All bookings with policy and gate facts, and for pending ones what stands in their way.
+
+    The static side of the approval stream: ``taken`` (by an active booking) and ``met``, the
+    active maintenance records a booking overlaps, as (maintenance_id, impact_level).
+    """
+    wide = ("effective_start", "effective_end")
+    facts = cut_lineage(w03_resolve_policy(t, _facts(t)))
+    pending = facts.where(F.col("booking_status") == "Pending").select(
+        "booking_id", "space_id", "requested_start_time", "requested_end_time", *wide
+    )
+    taken = overlap_flags(
+        pending, {"taken": _booked(t, buffer_both)}, ["space_id"], wide, ("taken_from", "taken_until"), "booking_id"
+    ).select("booking_id", "taken")
+    records = active_maintenance(t).select("space_id", "maintenance_id", "impact_level", "start_time", "completion_time")
+    met = (
+        maintenance_overlaps(pending.drop(*wide), records)
+        .groupBy("booking_id")
+        .agg(F.collect_list(F.struct("maintenance_id", "impact_level")).alias("met"))
+    )
+    return facts.join(taken, "booking_id", "left").join(met, "booking_id", "left")
+
+
+def _blocking(t) -> dict[str, DataFrame]:
+    span = ["space_id", "start_time", "completion_time"]
+    return {
+        "outage": active_maintenance(t, (OUT_OF_SERVICE,)).select(*span),
+        "notice": active_maintenance(t, (ADVISORY,)).select(*span),
+    }
+
+
+def w05_approve_batch(
+    t, approvals: DataFrame, *, buffer_both: bool = False, max_island: int = MAX_ISLAND
+) -> DataFrame:
+    """Decide approvals: (booking_id, decision_maker_user_id, code, decision), one row each.
+
+    ``approvals``: booking_id, decision_maker_user_id, is_auto, acknowledge. The rules apply
+    in order; requests for one room are served by (submitted_at, booking_id), so an approved
+    one blocks those after it. Who fails later rules (outage, advisory) takes no time, but
+    still hears first that the time is taken.
+    """
+    once = _one_per(approvals, "booking_id")
+    known = once.join(_facts(t), "booking_id", "left").join(
+        _active_people(t, "maker", PERSONNEL), F.col("decision_maker_user_id") == F.col("maker_found"), "left"
+    )
     # read several times below
     gated = cut_lineage(
         w03_resolve_policy(t, known)
-        .withColumn("code", code)
+        .withColumn("code", first_gates())
         .select(
             *once.columns,
             "space_id",
@@ -183,10 +222,7 @@ def w05_approve_batch(
     passed = cut_lineage(
         overlap_flags(passing, {"taken": _booked(t, buffer_both)}, room, wide, ("taken_from", "taken_until"), "booking_id")
     )
-    outage, notice = (
-        active_maintenance(t, (level,)).select("space_id", "start_time", "completion_time") for level in (OUT_OF_SERVICE, ADVISORY)
-    )
-    checked = overlap_flags(passed, {"outage": outage, "notice": notice}, room, raw, ("start_time", "completion_time"), "booking_id")
+    checked = overlap_flags(passed, _blocking(t), room, raw, ("start_time", "completion_time"), "booking_id")
     later = _first_code((F.col("outage"), 51042), (F.col("notice") & ~F.col("acknowledge"), 51043))
     decided = cut_lineage(
         checked.select(*gated.drop("code").columns, F.when(F.col("taken"), F.lit(51041)).otherwise(later).alias("code"))
@@ -317,17 +353,19 @@ def w07_booking_snapshot(t, outcomes: DataFrame, as_of) -> DataFrame:
     return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in t["booking"].columns])
 
 
-def w08_change_impact_level(t, changes: DataFrame) -> DataFrame:
+def w08_change_impact_level(t, changes: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Outcomes of level changes: maintenance_id, prior and new level, user_id, note, code, changed.
 
-    ``changes``: maintenance_id, new_level, user_id, note; one change per record and batch.
+    ``changes``: maintenance_id, new_level, user_id, note. One change per record and batch,
+    unless ``order`` names columns that put them in a total order; then each accepted change
+    starts from the one before it, and the result keeps those columns.
     """
     records = t["maintenance"].select(
         F.col("maintenance_id").alias("_record"),
         F.when(F.col("maintenance_status").isin(*ACTIVE_MAINTENANCE), F.col("impact_level")).alias("prior_impact_level"),
     )
     joined = (
-        _one_per(changes, "maintenance_id")
+        (changes if order else _one_per(changes, "maintenance_id"))
         .join(records, F.col("maintenance_id") == F.col("_record"), "left")
         .join(_active_people(t, "changer", PERSONNEL), F.col("user_id") == F.col("changer_found"), "left")
     )
@@ -337,21 +375,27 @@ def w08_change_impact_level(t, changes: DataFrame) -> DataFrame:
         (F.col("prior_impact_level").isNull(), 51048),
         (F.col("changer_found").isNull(), 51049),
     )
-    return joined.select(
+    outcomes = joined.select(
         "maintenance_id",
         "prior_impact_level",
         F.col("new_level").alias("new_impact_level"),
         "user_id",
         "note",
+        *(order or []),
         code.alias("code"),
-    ).withColumn(
-        "changed", F.col("code").isNull() & F.coalesce(F.col("prior_impact_level") != F.col("new_impact_level"), F.lit(False))
     )
+    if order:
+        valid = neighbour(outcomes.where("code is null"), ["maintenance_id"], order, "new_impact_level", "_before")
+        valid = valid.withColumn("prior_impact_level", F.coalesce("_before", "prior_impact_level")).drop("_before")
+        outcomes = valid.unionByName(outcomes.where("code is not null"))
+    changed = F.coalesce(F.col("prior_impact_level") != F.col("new_impact_level"), F.lit(False))
+    return outcomes.withColumn("changed", F.col("code").isNull() & changed)
 
 
-def w08_impact_history(t, outcomes: DataFrame, as_of) -> DataFrame:
+def w08_impact_history(t, outcomes: DataFrame, as_of, order: list[str] | None = None) -> DataFrame:
     """History rows of the changes that changed something."""
-    rows = _next_numbers(outcomes.where("changed"), ["maintenance_id"], t["impact_history"], "impact_history_id")
+    sequence = ["maintenance_id", *(order or [])]
+    rows = _next_numbers(outcomes.where("changed"), sequence, t["impact_history"], "impact_history_id")
     return rows.select(
         "impact_history_id",
         "maintenance_id",
@@ -374,7 +418,13 @@ def w09_escalation_impacts(t, outcomes: DataFrame, as_of) -> DataFrame:
     """One row to follow up per booking hit by an advisory that became an outage; known pairs are not repeated."""
     raised = outcomes.where(
         F.col("changed") & (F.col("prior_impact_level") == ADVISORY) & (F.col("new_impact_level") == OUT_OF_SERVICE)
-    ).select("maintenance_id", "user_id")
+    )
+    # with several escalations of one record in a batch, the earliest finds the bookings
+    sequence = [c for c in raised.columns if c not in ("maintenance_id", "prior_impact_level", "new_impact_level", "note", "code", "changed")]
+    sequence = [c for c in sequence if c != "user_id"] + ["user_id"]
+    raised = raised.groupBy("maintenance_id").agg(F.min(F.struct(*sequence)).alias("_first")).select(
+        "maintenance_id", "_first.user_id"
+    )
     records = t["maintenance"].select("maintenance_id", "space_id", "start_time", "completion_time").join(raised, "maintenance_id")
     bookings = t["booking"].where(F.col("booking_status").isin(*ACTIVE_BOOKING)).select(
         "booking_id", "space_id", "requested_start_time", "requested_end_time"
