@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roomgrid.functions.exprs import epoch_second
 from roomgrid.operators.upsert import insert_if_absent
 from roomgrid.plans import analytics, reports, rules, workflow
 from roomgrid.schema import NATURAL_KEYS
@@ -293,24 +294,35 @@ from maintenance
 union all select maintenance_id * 2 + 1, start_time + INTERVAL '2' HOUR, maintenance_id, 'out-of-service', 50, 'second look'
 from maintenance
 """
-FILES_PER_STREAM = 2
+def _halves(df: DataFrame, order: str) -> list[DataFrame]:
+    """The earlier and the later rows, cut at the middle time."""
+    middle = df.agg(F.percentile_approx(epoch_second(order), 0.5)).scalar()
+    return [df.where(epoch_second(order) <= middle), df.where(epoch_second(order) > middle)]
 
 
-def stream_of(df: DataFrame, order: str, schema: str, purpose: str) -> DataFrame:
-    """Store the rows as a few files in time order and read them back as a stream, one file per trigger."""
+def _in_two_runs(df: DataFrame, order: str, schema: str, run) -> None:
+    """Feed a stream the earlier rows, let it stop, and start it again on its checkpoint with the later ones."""
     spark = df.sparkSession
-    folder = shared_dir(spark, purpose)
-    df.repartitionByRange(FILES_PER_STREAM, order).write.parquet(folder)
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "stream")
+    for part in _halves(df, order):
+        part.write.mode("append").parquet(source)
+        run(spark.readStream.schema(schema).parquet(source), checkpoint)
+
+
+def _names(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
 
 
 def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
     t = queue_tables(spark, folder)
-    commands = parameter(spark, folder, "command").select(*[c.split()[0] for c in approvals.COMMANDS.split(", ")])
+    commands = parameter(spark, folder, "command").select(*_names(approvals.COMMANDS))
     standing = cut_lineage(workflow.standing_facts(t))
     out = shared_dir(spark, "outcomes")
-    stream = approvals.s01_stream_approvals(stream_of(commands, "at", approvals.COMMANDS, "commands"), t, standing)
-    approvals.run_available(stream, out, shared_dir(spark, "stream"))
+
+    def run(stream: DataFrame, checkpoint: str) -> None:
+        approvals.run_available(approvals.s01_stream_approvals(stream, t, standing), out, checkpoint)
+
+    _in_two_runs(commands, "at", approvals.COMMANDS, run)
     return spark.read.schema(approvals.OUTCOMES).parquet(out).select("booking_id", "code", F.col("result").alias("decision"))
 
 
@@ -318,10 +330,12 @@ def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame,
     t = derived_tables(spark, folder)
     # read again by every micro-batch
     t = t.replace(booking=cut_lineage(t["booking"]), booking_impact=cut_lineage(t["booking_impact"]))
-    changes = parameter(spark, folder, "timed_change").select(*[c.split()[0] for c in escalations.CHANGES.split(", ")])
-    return escalations.s02_stream_escalations(
-        stream_of(changes, "at", escalations.CHANGES, "changes"), t, shared_dir(spark, "escalations"), shared_dir(spark, "stream")
+    changes = parameter(spark, folder, "timed_change").select(*_names(escalations.CHANGES))
+    out = shared_dir(spark, "escalations")
+    _in_two_runs(
+        changes, "at", escalations.CHANGES, lambda stream, checkpoint: escalations.s02_stream_escalations(stream, t, out, checkpoint)
     )
+    return escalations.written(spark, "impact_history", out), escalations.written(spark, "booking_impact", out)
 
 
 JOBS.update(
@@ -333,3 +347,68 @@ JOBS.update(
         ),
     }
 )
+
+# ---- checks of rows about to be added, made wrong on purpose
+
+PARAMETERS["claimed_ack"] = """
+select booking_id, maintenance_id from booking join maintenance
+  on maintenance_id = (booking_id % (select count(*) from maintenance)) * 10
+union all select booking_id, maintenance_id from booking_impact
+union all select booking_id, maintenance_id from advisory_ack
+"""
+PARAMETERS["claimed_session"] = """
+select booking_id as usage_session_id, booking_id, (booking_id % 4) * 25 as check_in_by_user_id,
+  case when booking_id % 3 > 0 then (booking_id % 5) * 25 end as check_out_by_user_id from booking
+"""
+PARAMETERS["claimed_decision"] = """
+select booking_id as decision_id, booking_id % 150 as decision_maker_user_id from booking
+"""
+PARAMETERS["broken_booking"] = """
+select booking_id, requester_user_id, space_id, requested_start_time,
+  case when booking_id % 11 = 0 then requested_start_time else requested_end_time end as requested_end_time,
+  case when booking_id % 13 = 0 then 'Party' when booking_id % 17 = 0 then null else purpose end as purpose,
+  case when booking_id % 7 = 0 then 0 else expected_participants end as expected_participants,
+  case when booking_id % 19 = 0 then 'Lost' else booking_status end as booking_status, submitted_at,
+  case when booking_id % 23 > 0 then cancelled_at end as cancelled_at, cancelled_by_user_id,
+  case when booking_id % 29 = 0 then repeat('x', 1001) else cancellation_note end as cancellation_note,
+  case when booking_id % 2 = 0 then submitted_at end as advisories_presented_at,
+  case when booking_id % 31 = 0 then submitted_at - INTERVAL '1' DAY when booking_id % 37 = 0 then submitted_at end as advisory_acknowledged_at
+from booking
+"""
+PARAMETERS["broken_maintenance"] = """
+select maintenance_id, space_id, reporter_user_id, assigned_staff_user_id, problem_description, start_time,
+  case when maintenance_id % 3 = 0 then start_time - INTERVAL '1' HOUR else completion_time end as completion_time,
+  case when maintenance_id % 7 = 0 then 'Forgotten' else maintenance_status end as maintenance_status,
+  case when maintenance_id % 11 = 0 then 'mild' else impact_level end as impact_level,
+  case when maintenance_id % 13 > 0 then result_note end as result_note
+from maintenance
+"""
+PARAMETERS["doubled_user"] = """
+select user_id, email from app_user
+union all select user_id, upper(email) from app_user where role <> 'Student'
+union all select user_id + 1000000000, email from app_user where account_status <> 'Active'
+"""
+PARAMETERS["stray_booking"] = """
+select booking_id, case when booking_id % 5 = 0 then requester_user_id + 1000000000 else requester_user_id end as requester_user_id,
+  space_id - 1 as space_id, cancelled_by_user_id * 2 as cancelled_by_user_id from booking
+"""
+
+
+def _on_batch(job, *names: str, **tables: str) -> Job:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        batch = parameter(spark, folder, names[0]) if names else {t: parameter(spark, folder, n) for t, n in tables.items()}
+        return job(derived_tables(spark, folder), batch)
+
+    return run
+
+
+JOBS.update(
+    {
+        "v06_bad_ack_batch": _on_batch(rules.v06_bad_ack, "claimed_ack"),
+        "v07_session_authority_batch": _on_batch(rules.v07_session_authority, "claimed_session"),
+        "v08_decision_authority_batch": _on_batch(rules.v08_decision_authority, "claimed_decision"),
+        "v09_domain_checks_batch": _on_batch(rules.v09_domain_checks, booking="broken_booking", maintenance="broken_maintenance"),
+        "v10_unique_keys_batch": _on_batch(rules.v10_unique_keys, app_user="doubled_user"),
+        "v11_orphans_batch": _on_batch(rules.v11_orphans, booking="stray_booking"),
+    }
+)

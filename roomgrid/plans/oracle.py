@@ -7,7 +7,9 @@ rows, the library does not: that is the point of the comparison.
 
 from __future__ import annotations
 
-from roomgrid.plans.catalog import AS_OF, PARAMETERS, SEMESTER
+from roomgrid.plans.catalog import AS_OF, PARAMETERS, SEMESTER, WINDOW
+from roomgrid.plans.rules import domain_conditions
+from roomgrid.schema import ALTERNATE_KEYS, FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS, TABLES
 from roomgrid.sources.fixtures import with_fragments
 
 _FAR = "timestamp '9999-12-31 23:59:59'"
@@ -291,5 +293,464 @@ left join app_user solver on solver.user_id = i.resolved_by_user_id
 }
 
 
+# ---- rule checks
+
+
+def _rule(name: str, code: int | None, key: str, detail: str) -> str:
+    number = "null" if code is None else str(code)
+    return f"'{name}' as rule, cast({number} as integer) as code, cast({key} as varchar) as key, cast({detail} as varchar) as detail"
+
+
+_MEETS = f"b.requested_start_time < coalesce(m.completion_time, {_FAR}) and b.requested_end_time > m.start_time"
+
+
+def _block(levels: str) -> str:
+    return f"""
+select {_rule('maintenance_block', 51003, 'booking_id', 'space_id')}
+from booking b where booking_status in {_ACTIVE} and exists (
+  select 1 from maintenance m where m.space_id = b.space_id and m.maintenance_status in {_REPAIR}
+    and m.impact_level in {levels} and {_MEETS})
+"""
+
+
+def _ack_check(acks: str) -> str:
+    return f"""
+select * from (
+  select {_rule('bad_ack', 51010, "concat(a.booking_id, ':', a.maintenance_id)", f'''case
+    when b.space_id <> m.space_id then 'other space'
+    when m.maintenance_status in ('Completed', 'Cancelled') then 'not active'
+    when m.impact_level = 'out-of-service' then 'not an advisory'
+    when not ({_MEETS}) then 'no overlap' end''')}
+  from {acks} a join booking b on b.booking_id = a.booking_id join maintenance m on m.maintenance_id = a.maintenance_id
+) where detail is not null
+"""
+
+
+def _session_check(sessions: str) -> str:
+    return f"""
+select * from (
+  select {_rule('session_authority', 51004, 'usage_session_id', '''case
+    when booking_status in ('Pending', 'Rejected', 'Cancelled', 'NoShow') then 'booking not approved'
+    when opener.role not in ('FacilityStaff', 'FacilityManager') then 'check-in without authority'
+    when closer.role not in ('FacilityStaff', 'FacilityManager') then 'check-out without authority' end''')}
+  from {sessions} s join booking using (booking_id) join app_user opener on opener.user_id = check_in_by_user_id
+  left join app_user closer on closer.user_id = check_out_by_user_id
+) where detail is not null
+"""
+
+
+def _decision_check(decisions: str) -> str:
+    return f"""
+select {_rule('decision_authority', 51005, 'decision_id', "concat(role, ' ', account_status)")}
+from {decisions} join app_user on user_id = decision_maker_user_id
+where not (role in ('FacilityStaff', 'FacilityManager') and account_status = 'Active')
+"""
+
+
+def _key(table: str, columns: list[str]) -> str:
+    return "concat_ws(':', " + ", ".join(f"coalesce(cast({c} as varchar), 'NULL')" for c in columns) + ")"
+
+
+def _domain_check(tables: dict[str, str]) -> str:
+    parts = []
+    for table, source in tables.items():
+        for name, condition in domain_conditions(table).items():
+            parts.append(
+                f"select {_rule(name, None, _key(table, PRIMARY_KEYS[table]), repr(table))} from {source} where not ({condition})"
+            )
+    return "\nunion all ".join(parts)
+
+
+def _repeat(rule: str, source: str, columns: list[str]) -> str:
+    return (
+        f"select {_rule(rule, None, _key('', columns), 'count(*)')} from {source} group by {', '.join(columns)} having count(*) > 1"
+    )
+
+
+def _unique_check(tables: dict[str, str]) -> str:
+    parts = []
+    for table, source in tables.items():
+        parts.append(_repeat(f"{table} primary key", source, PRIMARY_KEYS[table]))
+        if table in ALTERNATE_KEYS:
+            parts.append(_repeat(f"{table} alternate key", source, ALTERNATE_KEYS[table]))
+        if table == "app_user":
+            parts.append(_repeat("app_user email ignoring case", f"(select lower(email) as email from {source})", ["email"]))
+    return "\nunion all ".join(parts)
+
+
+def _orphan_check(sources: dict[str, str]) -> str:
+    parts = []
+    for table, column, parent, parent_key in FOREIGN_KEYS:
+        if table in sources:
+            parts.append(
+                f"select {_rule(f'{table}.{column}', None, _key(table, PRIMARY_KEYS[table]), column)} from {sources[table]} c "
+                f"where {column} is not null and not exists (select 1 from {parent} p where p.{parent_key} = c.{column})"
+            )
+    return "\nunion all ".join(parts)
+
+
+# the oracle's booking has no advisory times
+_FULL_BOOKING = (
+    "(select *, cast(null as timestamp) as advisories_presented_at, cast(null as timestamp) as advisory_acknowledged_at from booking)"
+)
+_ALL = {table: _FULL_BOOKING if table == "booking" else table for table in TABLES}
+
+QUERIES.update(
+    {
+        "v01_requester_active": f"""
+select {_rule('requester_active', 51000, 'booking_id', "concat(requester_user_id, ' ', account_status)")}
+from booking join app_user on user_id = requester_user_id where account_status <> 'Active'
+""",
+        "v02_space_usable": f"""
+select {_rule('space_usable', 51001, 'booking_id', "concat(current_status, ' ', expected_participants, ' ', capacity)")}
+from booking join space using (space_id) where expected_participants > capacity
+  or (booking_status in ('Pending', 'Approved', 'CheckedIn') and current_status not in ('Available', 'InUse'))
+""",
+        "v03_booking_overlap": f"""
+select {_rule('booking_overlap', 51002, 'booking_id', 'space_id')}
+from booking a where booking_status in {_ACTIVE} and exists (
+  select 1 from booking b where b.space_id = a.space_id and b.booking_id <> a.booking_id and b.booking_status in {_ACTIVE}
+    and b.requested_start_time < a.requested_end_time and b.requested_end_time > a.requested_start_time)
+""",
+        "v04_maintenance_block": _block("('out-of-service')"),
+        "v04_maintenance_block_phase1": _block("('out-of-service', 'advisory')"),
+        "v05_missing_ack": f"""
+select {_rule('missing_ack', 51011, "concat(b.booking_id, ':', m.maintenance_id)", 'problem_description')}
+from booking b join maintenance m on m.space_id = b.space_id and {_MEETS}
+where b.booking_status in {_ACTIVE} and m.maintenance_status in {_REPAIR} and m.impact_level = 'advisory'
+  and not exists (select 1 from advisory_ack a where a.booking_id = b.booking_id and a.maintenance_id = m.maintenance_id)
+""",
+        "v06_bad_ack": _ack_check("advisory_ack"),
+        "v06_bad_ack_batch": _ack_check("claimed_ack"),
+        "v07_session_authority": _session_check("usage_session"),
+        "v07_session_authority_batch": _session_check("claimed_session"),
+        "v08_decision_authority": _decision_check("booking_decision"),
+        "v08_decision_authority_batch": _decision_check("claimed_decision"),
+        "v09_domain_checks": _domain_check(_ALL),
+        "v09_domain_checks_batch": _domain_check({"booking": "broken_booking", "maintenance": "broken_maintenance"}),
+        "v10_unique_keys": _unique_check(_ALL),
+        "v10_unique_keys_batch": _unique_check({"app_user": "doubled_user"}),
+        "v11_orphans": _orphan_check(_ALL),
+        "v11_orphans_batch": _orphan_check({"booking": "stray_booking"}),
+        "v12_ack_completeness": f"""
+select b.booking_id, count(*) as overlapping_advisories, count(a.booking_id) as acknowledged_advisories,
+  count(*) - count(a.booking_id) as missing_advisories
+from booking b join maintenance m on m.space_id = b.space_id and {_MEETS}
+left join advisory_ack a on a.booking_id = b.booking_id and a.maintenance_id = m.maintenance_id
+where b.booking_status in {_ACTIVE} and m.maintenance_status in {_REPAIR} and m.impact_level = 'advisory'
+group by b.booking_id
+""",
+    }
+)
+
+# ---- workflow
+
+_IS_STAFF = "account_status = 'Active' and role in ('FacilityStaff', 'FacilityManager')"
+_NOTE = "{kind} approval after transactional availability validation."
+
+
+def _widened(source: str) -> str:
+    """CTEs ``pending`` and ``wide``: requests with their policy and buffered interval."""
+    return f"""pending as ({source}),
+best as (select * from ({_POLICY.format(request='pending')}) where choice = 1),
+wide as (
+  select q.*, best.policy_id,
+    q.requested_start_time - coalesce(best.pre_buffer_minutes, 0) * interval '1' minute as effective_start,
+    q.requested_end_time + coalesce(best.post_buffer_minutes, 0) * interval '1' minute as effective_end
+  from pending q left join best on for_booking = booking_id)"""
+
+
+_PENDING = "select * from booking where booking_status = 'Pending'"
+
+
+def _standing(levels: str) -> str:
+    return (
+        f"exists (select 1 from maintenance m where m.space_id = b.space_id and m.maintenance_status in {_REPAIR} "
+        f"and m.impact_level = '{levels}' and {_MEETS})"
+    )
+
+
+# Serves the requests of each room one after the other, with the list of accepted intervals.
+_SERVED = f"""with recursive
+{_widened('select * from queue')},
+allowed as (
+  select q.booking_id from queue q join app_user u on u.user_id = q.requester_user_id join booking_policy p
+    on p.auto_approval_enabled and coalesce(p.space_id, q.space_id) = q.space_id
+    and coalesce(p.applicable_role, u.role) = u.role and coalesce(p.applicable_purpose, q.purpose) = q.purpose
+  group by q.booking_id),
+gate as (
+  select a.*, b.* exclude (booking_id), case
+      when b.booking_id is null then 51034
+      when b.booking_status <> 'Pending' then 51036
+      when a.decision_maker_user_id not in (select user_id from app_user where {_IS_STAFF}) then 51037
+      when b.requester_user_id not in (select user_id from app_user where account_status = 'Active') then 51038
+      when not exists (select 1 from space s where s.space_id = b.space_id and s.capacity >= b.expected_participants
+        and s.current_status in ('Available', 'InUse')) then 51039
+      when a.is_auto and b.booking_id not in (select booking_id from allowed) then 51040
+      when exists (select 1 from queue o where o.space_id = b.space_id and o.booking_status in {_ACTIVE}
+        and b.effective_start < o.requested_end_time and b.effective_end > o.requested_start_time) then 51041
+    end as early,
+    case when {_standing('out-of-service')} then 51042
+      when not a.acknowledge and {_standing('advisory')} then 51043 end as late
+  from approval a left join wide b on b.booking_id = a.booking_id),
+line as (
+  select *, row_number() over (partition by space_id order by submitted_at, booking_id) as turn from gate where early is null),
+served as (
+  select distinct space_id, cast(0 as bigint) as turn, cast(null as bigint) as booking_id, cast(null as integer) as code,
+    cast([] as struct(a timestamp, b timestamp)[]) as held from line
+  union all
+  select space_id, turn, booking_id, verdict,
+    case when verdict is null then list_append(held, {{'a': requested_start_time, 'b': requested_end_time}}) else held end
+  from (
+    select l.*, s.held, case
+      when len(list_filter(s.held, lambda x: l.effective_start < x.b and l.effective_end > x.a)) > 0 then 51041
+      else l.late end as verdict
+    from served s join line l on l.space_id = s.space_id and l.turn = s.turn + 1)),
+outcome as (
+  select g.booking_id, g.decision_maker_user_id, cast(coalesce(g.early, s.code) as integer) as code,
+    case when coalesce(g.early, s.code) is null then if(g.is_auto, 'AutoApproved', 'Approved') end as decision
+  from gate g left join served s on s.booking_id = g.booking_id)
+"""
+
+_LEVELS = f"""with changed as (
+  select c.maintenance_id, case when m.maintenance_status in {_REPAIR} then m.impact_level end as prior_impact_level,
+    c.new_level as new_impact_level, c.user_id, c.note, cast(case
+      when c.new_level not in ('advisory', 'out-of-service') then 51045
+      when m.maintenance_id is null then 51046
+      when m.maintenance_status not in {_REPAIR} then 51048
+      when c.user_id not in (select user_id from app_user where {_IS_STAFF}) then 51049 end as integer) as code
+  from level_change c left join maintenance m on m.maintenance_id = c.maintenance_id),
+result as (select *, code is null and coalesce(prior_impact_level <> new_impact_level, false) as changed from changed)
+"""
+
+# two changes per record, the second after the first
+_STREAMED = f"""with valid as (
+  select c.*, m.impact_level, m.space_id, m.start_time, m.completion_time
+  from timed_change c join maintenance m on m.maintenance_id = c.maintenance_id and m.maintenance_status in {_REPAIR}
+  where c.user_id in (select user_id from app_user where {_IS_STAFF})),
+moved as (
+  select *, coalesce(lag(new_level) over (partition by maintenance_id order by at, change_id), impact_level) as prior_level from valid)
+"""
+
+QUERIES.update(
+    {
+        "w01_validate_requests": """
+select *, case when code is null then 'Pending' end as booking_status from (
+  select r.*, cast(case when span_end <= span_start then 51030 when participants <= 0 then 51031
+    when requester_user_id not in (select user_id from app_user where account_status = 'Active') then 51032
+    when auto_approve and decision_maker_user_id is null then 51033 end as integer) as code
+  from new_request r)
+""",
+        "w02_conflict_check": f"""with {_widened(_PENDING)}
+select w.booking_id, o.booking_id as conflicting_booking_id
+from wide w join booking o on o.space_id = w.space_id and o.booking_status in {_ACTIVE} and o.booking_id <> w.booking_id
+  and w.effective_start < o.requested_end_time and w.effective_end > o.requested_start_time
+""",
+        "w03_resolve_policy": f"with {_widened(_PENDING)} select booking_id, policy_id, effective_start, effective_end from wide",
+        "w04_auto_approval_allowed": f"""with {_widened(_PENDING)}
+select booking_id, coalesce(bool_or(auto_approval_enabled), false) as allowed
+from pending left join ({_POLICY.format(request='pending')}) on for_booking = booking_id group by booking_id
+""",
+        "w05_approve_batch": f"{_SERVED} select booking_id, decision_maker_user_id, code, decision from outcome",
+        "w06_record_acks": f"""{_SERVED}
+select b.booking_id, m.maintenance_id, {_AS_OF} as acknowledged_at, m.problem_description as advisory_summary_at_acknowledgement
+from outcome o join booking b on b.booking_id = o.booking_id join maintenance m on m.space_id = b.space_id and {_MEETS}
+where o.code is null and m.maintenance_status in {_REPAIR} and m.impact_level = 'advisory'
+  and not exists (select 1 from advisory_ack a where a.booking_id = b.booking_id and a.maintenance_id = m.maintenance_id)
+""",
+        "w07_record_decisions": f"""{_SERVED}
+select (select max(decision_id) from booking_decision) + row_number() over (order by booking_id) as decision_id, booking_id,
+  decision_maker_user_id, {_AS_OF} as decision_time, decision,
+  if(decision = 'AutoApproved', '{_NOTE.format(kind='Automatic')}', '{_NOTE.format(kind='Manual')}') as decision_note,
+  cast(null as varchar) as rejection_reason
+from outcome where code is null
+""",
+        "w07_booking_snapshot": f"""{_SERVED},
+noticed as (
+  select distinct b.booking_id from outcome o join booking b on b.booking_id = o.booking_id
+  join maintenance m on m.space_id = b.space_id and {_MEETS}
+  where o.code is null and m.maintenance_status in {_REPAIR} and m.impact_level = 'advisory')
+select q.* replace (if(q.booking_id in (select booking_id from outcome where code is null), 'Approved', booking_status) as booking_status),
+  if(q.booking_id in (from noticed), {_AS_OF}, null) as advisories_presented_at,
+  if(q.booking_id in (from noticed), {_AS_OF}, null) as advisory_acknowledged_at
+from queue q
+""",
+        "w08_change_impact_level": f"{_LEVELS} select * from result",
+        "w08_impact_history": f"""{_LEVELS}
+select coalesce((select max(impact_history_id) from impact_history), 0) + row_number() over (order by maintenance_id) as impact_history_id,
+  maintenance_id, prior_impact_level, new_impact_level, user_id as changed_by_user_id, {_AS_OF} as changed_at, note as change_note
+from result where changed
+""",
+        "w08_maintenance_snapshot": f"""{_LEVELS}
+select m.* replace (coalesce(new_impact_level, impact_level) as impact_level)
+from maintenance m left join (select maintenance_id, new_impact_level from result where changed) using (maintenance_id)
+""",
+        "w09_escalation_impacts": f"""{_LEVELS}, hit as (
+  select m.maintenance_id, b.booking_id, r.user_id
+  from result r join maintenance m on m.maintenance_id = r.maintenance_id join booking b on b.space_id = m.space_id and {_MEETS}
+  where r.changed and r.new_impact_level = 'out-of-service' and b.booking_status in {_ACTIVE}
+    and not exists (select 1 from booking_impact i where i.maintenance_id = m.maintenance_id and i.booking_id = b.booking_id))
+select coalesce((select max(maintenance_booking_impact_id) from booking_impact), 0)
+    + row_number() over (order by maintenance_id, booking_id) as maintenance_booking_impact_id,
+  maintenance_id, booking_id, {_AS_OF} as identified_at, user_id as identified_by_user_id, 'PendingContact' as contact_status,
+  cast(null as timestamp) as contacted_at, cast(null as timestamp) as resolved_at, cast(null as bigint) as resolved_by_user_id,
+  cast(null as varchar) as resolution, cast(null as varchar) as resolution_note
+from hit
+""",
+        "w10_verify_approvals": f"""
+select booking_id, booking_status, requested_start_time, requested_end_time from booking
+where space_id = 1 and requested_start_time >= timestamp '{WINDOW[0]}' and requested_start_time < timestamp '{WINDOW[1]}'
+""",
+        "w10_verify_approvals_count": f"""
+select count(*) as approved_booking_count from booking where space_id = 1 and booking_status = 'Approved'
+  and requested_start_time >= timestamp '{WINDOW[0]}' and requested_start_time < timestamp '{WINDOW[1]}'
+""",
+        "w10_verify_approvals_pairs": f"""
+select a.booking_id as first_booking_id, b.booking_id as second_booking_id from booking a join booking b on b.space_id = a.space_id
+  and a.booking_id < b.booking_id and a.requested_start_time < b.requested_end_time and a.requested_end_time > b.requested_start_time
+where a.space_id = 1 and a.booking_status in {_ACTIVE} and b.booking_status in {_ACTIVE}
+""",
+        "w11_verify_escalation": """
+select p.booking_id, p.maintenance_id, count(a.booking_id) as advisory_acknowledgement_count
+from traced_pair p left join advisory_ack a on a.booking_id = p.booking_id and a.maintenance_id = p.maintenance_id group by all
+""",
+        "w11_verify_escalation_impacts": """
+select maintenance_id, booking_id, contact_status, impact_level from booking_impact join maintenance using (maintenance_id)
+where (booking_id, maintenance_id) in (select (booking_id, maintenance_id) from traced_pair)
+""",
+        "s01_stream_approvals": f"{_SERVED} select booking_id, code, decision from outcome where booking_id in (select booking_id from queue)",
+        "s02_stream_escalations": f"""{_STREAMED}
+select distinct m.maintenance_id, b.booking_id, 'PendingContact' as contact_status
+from moved m join booking b on b.space_id = m.space_id and {_MEETS}
+where m.prior_level = 'advisory' and m.new_level = 'out-of-service' and b.booking_status in {_ACTIVE}
+  and not exists (select 1 from booking_impact i where i.maintenance_id = m.maintenance_id and i.booking_id = b.booking_id)
+""",
+        "s02_stream_escalations_history": f"""{_STREAMED}
+select maintenance_id, prior_level as prior_impact_level, new_level as new_impact_level, user_id as changed_by_user_id,
+  at as changed_at, note as change_note
+from moved where prior_level <> new_level
+""",
+    }
+)
+
+# ---- tables and generators
+
+
+def _summary(sources: dict[str, str]) -> str:
+    parts = []
+    for table, source in sources.items():
+        optional = [f"count({f.name})" for f in SCHEMAS[table] if f.nullable] or ["0"]
+        parts.append(
+            f"select '{table}' as table_name, count(*) as row_count, cast({' + '.join(optional)} as bigint) as filled_optional_values "
+            f"from {source}"
+        )
+    return "\nunion all ".join(parts)
+
+
+_HISTORY_AFTER = (
+    "(select prior_impact_level from impact_history union all select prior_impact_level from result where changed)"
+)
+
+_MADE = """made as (
+  select n, n % (select count(*) from space) as room, n // (select count(*) from space) as slot,
+    n % (select count(*) from app_user where role <> 'FacilityStaff') as person from booking_base),
+day as (
+  select booking_date, row_number() over (order by booking_date) - 1 as number from (select distinct booking_date from ship_day)
+  where isodow(booking_date) < 6 and month(booking_date) not in (6, 7)),
+generated as (
+  select n + 1 as booking_id, p.user_id as requester_user_id, s.space_id,
+    booking_date + to_hours(if(slot % 2 = 0, 9, 13)) as requested_start_time,
+    booking_date + to_hours(if(slot % 2 = 0, 11, 15)) as requested_end_time,
+    ['Lecture', 'Examination', 'Seminar', 'Workshop', 'Meeting', 'StudentActivity', 'AdministrativeEvent'][n % 7 + 1] as purpose,
+    cast(if(capacity < 10, capacity, 5 + n % (capacity - 4)) as integer) as expected_participants,
+    case when n % 100 < 70 then 'Approved' when n % 100 < 80 then 'Completed' when n % 100 < 85 then 'NoShow'
+      when n % 100 < 93 then 'Cancelled' when n % 100 < 98 then 'Rejected' else 'Pending' end as booking_status,
+    booking_date - to_days(cast(14 + n % 21 as integer)) as submitted_at,
+    case when n % 100 between 85 and 92 then booking_date - to_days(3) end as cancelled_at,
+    case when n % 100 between 85 and 92 then p.user_id end as cancelled_by_user_id,
+    case when n % 100 between 85 and 92 then 'Generated benchmark cancellation: schedule changed.' end as cancellation_note
+  from made join day on day.number = slot // 2
+  join (select space_id, capacity, row_number() over (order by space_id) - 1 as number from space) s on s.number = room
+  join (select user_id, row_number() over (order by user_id) - 1 as number from app_user where role <> 'FacilityStaff') p
+    on p.number = person),
+staff as (select min(user_id) as staff_id from app_user where role = 'FacilityStaff'),
+advisory as (
+  select space_id * 2 as maintenance_id, space_id, max(requested_start_time) + interval 15 minute as start_time,
+    concat('Generated active advisory for booking ', arg_max(booking_id, (requested_start_time, booking_id)), ': projector degradation.') as problem_description
+  from generated where booking_status = 'Approved' group by space_id),
+ack as (
+  select g.booking_id, maintenance_id, requested_start_time - interval 5 minute as acknowledged_at,
+    problem_description as advisory_summary_at_acknowledgement
+  from generated g join advisory a on a.space_id = g.space_id and requested_end_time > start_time where booking_status = 'Approved')
+"""
+
+QUERIES.update(
+    {
+        "o01_load_tables": _summary(_ALL),
+        "o12_write_tables": _LEVELS + _summary({**_ALL, "impact_history": _HISTORY_AFTER}),
+        "o02_insert_if_absent": """
+select *, cast(null as timestamp) as advisories_presented_at, cast(null as timestamp) as advisory_acknowledged_at from (
+  select * from booking where booking_status <> 'Completed'
+  union all
+  select * from booking s where not exists (select 1 from booking k where k.booking_status <> 'Completed'
+    and k.requester_user_id = s.requester_user_id and k.requested_start_time = s.requested_start_time)
+  qualify row_number() over (partition by requester_user_id, requested_start_time order by booking_id) = 1)
+""",
+        "o03_upgrade_phase1": "select *, 'out-of-service' as impact_level from plain_maintenance",
+        "o03_upgrade_phase1_policy": "select * exclude (auto_approval_enabled), false as auto_approval_enabled from booking_policy",
+        "o03_upgrade_phase1_booking": f"select * from {_FULL_BOOKING}",
+        "o04_generate_users": """
+select n as user_id, concat('Benchmark User ', n) as full_name, concat('bench.', right(concat('0000', n), 4), '@example.org') as email,
+  concat('0908', right(concat('000000', n), 6)) as phone_number,
+  case when n > 980 then 'FacilityStaff' when n % 10 = 0 then 'Lecturer' when n % 10 = 1 then 'TA' else 'Student' end as role,
+  if(n > 980, 'Facilities', 'Computer Science') as department, 'Active' as account_status
+from person_number
+""",
+        "o05_generate_spaces": """
+select n as space_id, concat('BENCH-', right(concat('000', n), 3)) as space_code, concat('Benchmark Space ', n) as space_name,
+  ['Classroom', 'MeetingRoom', 'ComputerLaboratory', 'ProjectLaboratory', 'StudentWorkspace'][n % 5 + 1] as space_type,
+  concat('Benchmark Block ', (n - 1) % 8 + 1) as building, cast((n - 1) % 6 + 1 as varchar) as floor,
+  concat('B', right(concat('000', n), 3)) as room_number, cast(20 + (n * 7) % 181 as integer) as capacity,
+  'Available' as current_status, 'Generated benchmark policy: academic bookings and analysis only.' as usage_policy
+from room_number_source
+""",
+        "o06_generate_calendar": f"with {_MADE} select booking_date, number as academic_day_number from day",
+        "o07_generate_bookings": f"""with {_MADE}
+select *, cast(null as timestamp) as advisories_presented_at, cast(null as timestamp) as advisory_acknowledged_at from generated
+""",
+        "o08_generate_decisions": f"""with {_MADE}
+select booking_id as decision_id, booking_id, staff_id as decision_maker_user_id, submitted_at + interval 1 day as decision_time,
+  if(booking_status = 'Rejected', 'Rejected', 'Approved') as decision, 'Generated benchmark decision.' as decision_note,
+  case when booking_status = 'Rejected' then 'Generated benchmark policy rejection.' end as rejection_reason
+from generated cross join staff where booking_status not in ('Pending', 'Cancelled')
+""",
+        "o09_generate_maintenance": f"""with {_MADE}
+select space_id * 2 - 1 as maintenance_id, space_id, staff_id as reporter_user_id, staff_id as assigned_staff_user_id,
+  'Generated completed electrical inspection.' as problem_description, timestamp '2022-06-01 00:00:00' as start_time,
+  timestamp '2022-06-01 04:00:00' as completion_time, 'Completed' as maintenance_status, 'out-of-service' as impact_level,
+  'Generated inspection completed before benchmark horizon.' as result_note
+from space cross join staff
+union all
+select maintenance_id, space_id, staff_id, staff_id, problem_description, start_time, null, 'InProgress', 'advisory', null
+from advisory cross join staff
+""",
+        "o10_generate_acks": f"with {_MADE} select * from ack",
+        "o10_generate_ack_times": f"""with {_MADE}
+select g.*,
+  case when booking_id in (select booking_id from ack) then requested_start_time - interval 5 minute end as advisories_presented_at,
+  case when booking_id in (select booking_id from ack) then requested_start_time - interval 4 minute end as advisory_acknowledged_at
+from generated g
+""",
+        "o11_dataset_summary": """
+select count(*) as generated_bookings, min(requested_start_time) as first_booking, max(requested_end_time) as last_booking from booking
+""",
+        "o11_dataset_summary_status": "select booking_status, count(*) as booking_count from booking group by booking_status",
+        "o11_dataset_summary_maintenance": """
+select impact_level, maintenance_status, count(*) as maintenance_count from maintenance group by all
+""",
+    }
+)
+
+
 def oracle(name: str) -> str:
     return with_fragments(QUERIES[name].strip(), PARAMETERS)

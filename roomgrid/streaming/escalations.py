@@ -20,7 +20,7 @@ CHANGES = "change_id bigint, at timestamp_ntz, maintenance_id bigint, new_level
 _ORDER = ["at", "change_id"]
 
 
-def _written(spark, table: str, folder: str, before: int | None = None) -> DataFrame:
+def written(spark, table: str, folder: str, before: int | None = None) -> DataFrame:
     """What the stream has written so far, up to a batch."""
     schema = T.StructType([*SCHEMAS[table].fields, T.StructField("batch", T.LongType())])
     rows = spark.read.schema(schema).parquet(f"{folder}/{table}")
@@ -38,7 +38,7 @@ def _with_levels(maintenance: DataFrame, history: DataFrame) -> DataFrame:
 def apply_changes(t, changes: DataFrame, batch: int, folder: str) -> None:
     """One micro-batch: history rows, then one follow-up row per newly hit booking."""
     spark = changes.sparkSession
-    history, impacts = (_written(spark, name, folder, batch) for name in ("impact_history", "booking_impact"))
+    history, impacts = (written(spark, name, folder, batch) for name in ("impact_history", "booking_impact"))
     now = t.replace(
         maintenance=_with_levels(t["maintenance"], history),
         impact_history=t["impact_history"].unionByName(history),
@@ -65,4 +65,4 @@ def s02_stream_escalations(changes: DataFrame, t, folder: str, checkpoint: str)
         .start()
     )
     query.awaitTermination()
-    return _written(spark, "impact_history", folder), _written(spark, "booking_impact", folder)
+    return written(spark, "impact_history", folder), written(spark, "booking_impact", folder)
