@@ -27,7 +27,7 @@ from roomgrid.session import cut_lineage
 
 MAX_ISLAND = 1 << 20
 # a round that decides less than this share of the open requests is the last one
-WORTHWHILE = 0.001
+WORTHWHILE = 0.05
 
 
 def with_islands(

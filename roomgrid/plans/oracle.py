@@ -529,7 +529,7 @@ _STREAMED = f"""with valid as (
   from timed_change c join maintenance m on m.maintenance_id = c.maintenance_id and m.maintenance_status in {_REPAIR}
   where c.user_id in (select user_id from app_user where {_IS_STAFF})),
 moved as (
-  select *, coalesce(lag(new_level) over (partition by maintenance_id order by at, change_id), impact_level) as prior_level from valid)
+  select *, coalesce(lag(new_level) over (partition by maintenance_id order by "at", change_id), impact_level) as prior_level from valid)
 """
 
 QUERIES.update(
@@ -627,7 +627,7 @@ where m.prior_level = 'advisory' and m.new_level = 'out-of-service' and b.bookin
 """,
         "s02_stream_escalations_history": f"""{_STREAMED}
 select maintenance_id, prior_level as prior_impact_level, new_level as new_impact_level, user_id as changed_by_user_id,
-  at as changed_at, note as change_note
+  "at" as changed_at, note as change_note
 from moved where prior_level <> new_level
 """,
     }
