@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only what the jobs rely on for right results or for skewed keys. Memory, cores and
 # the number of shuffle partitions belong to whoever runs the cluster.
@@ -50,9 +50,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint, so that a lost executor does not replay the whole plan."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store the rows as a table in the shared folder and go on from there.
+
+    A lost executor then reads them again instead of replaying the plan, jobs that read them
+    several times compute them once, and the planner knows their size.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
+    path = shared_dir(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from roomgrid.schema import SCHEMAS
-from roomgrid.sources.tables import Tables
+from roomgrid.sources.tables import Tables, conform
 
 
 def at(text: str) -> dt.datetime:
@@ -19,7 +19,7 @@ def frame(spark, table: str, rows: list[dict]):
     schema = SCHEMAS[table]
     full = [{f.name: row.get(f.name) for f in schema} for row in rows]
     arrow = pa.Table.from_pylist(full, schema=pa.schema([f.with_nullable(True) for f in to_arrow_schema(schema)]))
-    return spark.createDataFrame(arrow)
+    return conform(spark.createDataFrame(arrow), table)
 
 
 def tables(spark, **rows: list[dict]) -> Tables:
