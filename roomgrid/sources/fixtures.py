@@ -142,7 +142,6 @@ where b.booking_status in ('Approved', 'CheckedIn')
 }
 
 _WORD = re.compile(r"[a-z_]+")
-_registered: dict[tuple[int, str], str] = {}
 
 
 def fragments_for(text: str, extra: dict[str, str] | None = None) -> list[str]:
@@ -173,14 +172,12 @@ def with_fragments(query: str, extra: dict[str, str] | None = None) -> str:
 
 
 def _source_views(spark: SparkSession, folder: str) -> str:
-    """Register the source files once per session; returns the prefix of the view names."""
-    session = (id(spark._jsparkSession), folder)
-    if session not in _registered:
-        prefix = f"src_{zlib.crc32(folder.encode()):08x}_"
-        for name in SOURCES:
+    """Register the source files in the session, unless it knows them; returns the prefix of the view names."""
+    prefix = f"src_{zlib.crc32(folder.encode()):08x}_"
+    for name in SOURCES:
+        if not spark.catalog.tableExists(prefix + name):
             spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(prefix + name)
-        _registered[session] = prefix
-    return _registered[session]
+    return prefix
 
 
 def derived(spark: SparkSession, folder: str, query: str, extra: dict[str, str] | None = None) -> DataFrame:
