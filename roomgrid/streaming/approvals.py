@@ -75,7 +75,7 @@ def prepare(commands: DataFrame, t, standing: DataFrame) -> DataFrame:
         "command_id",
         "kind",
         F.coalesce("space_id", "record_space", F.lit(-1).cast("long")).alias("space_id"),
-        F.col("at").cast("timestamp").alias("at"),
+        F.timestamp_seconds(epoch_second("at")).alias("at"),  # the watermark counts as at_second does, in any session zone
         epoch_second("at").alias("at_second"),
         "booking_id",
         F.coalesce("is_auto", F.lit(False)).alias("is_auto"),

@@ -126,6 +126,29 @@ def test_stream_sees_escalation_and_earlier_approvals(spark):
     assert got(result.where("result = 'Impact'").select("command_id", "impacted_booking_id")) == [(7, 3)]
 
 
+def test_stream_with_lead_rule_forgets_what_is_past(spark):
+    t = contest(spark, maintenance=[])
+    columns = [c.split()[0] for c in stream.COMMANDS.split(", ")]
+
+    def ask(command_id, when, booking_id):
+        row = dict(command_id=command_id, kind="approve", at=at(when), booking_id=booking_id, decision_maker_user_id=2, is_auto=False, acknowledge=True)
+        return tuple(row.get(c) for c in columns)
+
+    runs = [
+        [ask(1, "2029-12-10 08:00:00", 1), ask(2, "2030-01-16 10:30:00", 3)],  # the second reaches back
+        [ask(3, "2030-01-16 11:00:00", 1), ask(4, "2030-01-15 09:59:00", 2)],
+    ]
+    source, out, checkpoint = (shared_dir(spark, n) for n in ("s", "o", "c"))
+    standing = cut_lineage(workflow.standing_facts(t))
+    for rows in runs:
+        spark.createDataFrame(rows, stream.COMMANDS).write.mode("append").parquet(source)
+        commands = spark.readStream.schema(stream.COMMANDS).parquet(source)
+        outcomes = stream.s01_stream_approvals(commands, t, standing, lead_rule=True, delay="3 days")
+        stream.run_available(outcomes, out, checkpoint)
+    # booking 1 stays known as approved, and within the delay its time stays taken
+    assert {r.command_id: r.code for r in spark.read.parquet(out).collect()} == {1: None, 2: stream.LEAD_CODE, 3: 51036, 4: 51041}
+
+
 def test_session_and_room_reports(spark):
     start, end = "2026-07-25 13:00:00", "2026-07-25 17:00:00"
     t = tables(
