@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -37,17 +40,50 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
+# Local runs without a setting: one temporary folder per application.
+_LOCAL: dict[str, str] = {}
+_MADE: dict[str, list[str]] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the driver and all executors can reach.
+
+    It is the one named in ``spark.checkpoint.dir``. Where that is unset, a run whose only
+    process is the driver (``local`` or ``local[n]``) gets a temporary folder; on a cluster
+    that would scatter the files over the executors' own disks, so it is an error there.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if base:
+        return base.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    app = context.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="roomgrid-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return _LOCAL[app]
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, unused path below the folder that all executors can reach.
+    """A new, unused path below the shared folder."""
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_shared(spark: SparkSession) -> int:
+    """Remove everything this application has put into the shared folder; returns how many paths.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only where that
-    is unset (a local run) a temporary folder takes its place.
+    Call it when the results of the jobs have been stored: frames that still read a step
+    table cannot be computed afterwards.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="roomgrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    paths = _MADE.pop(spark.sparkContext.applicationId, [])
+    configuration, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(configuration).delete(path, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
