@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,28 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), _SPACE_RUN), "")
 
 
-def stored(df: DataFrame, purpose: str = "step") -> DataFrame:
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
+    """Hand rows to Python in batches that stay small when each holds a long text or list."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def stored(df: DataFrame, purpose: str = "step", batch_rows: int = 256) -> DataFrame:
     """Write the rows into the shared folder and read them from there.
 
     What follows does not repeat the work when an executor is lost, and jobs that read the
-    rows several times compute them once.
+    rows several times compute them once. Python steps in between get ``batch_rows`` rows at
+    a time.
     """
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession, batch_rows):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from roomgrid.llm.chat import OP1_SQL, op1_chat_formatting
+from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
 from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
 from roomgrid.llm.quality import OP8_SQL, op8_quality_rules
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES = {
     "op1_chat_formatting": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
+    "op3_ngram_jaccard_join": OP3_SQL,
     "op8_quality_rules": OP8_SQL,
 }
