@@ -5,12 +5,16 @@ from __future__ import annotations
 from roomgrid.llm.chat import OP1_SQL, op1_chat_formatting
 from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
 from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
+from roomgrid.llm.mixing import OP5_SQL, op5_source_mixing
+from roomgrid.llm.packing import op7_packing
 from roomgrid.llm.quality import OP8_SQL, op8_quality_rules
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op5_source_mixing": op5_source_mixing,
+    "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
 }
 
@@ -18,5 +22,6 @@ ORACLES = {
     "op1_chat_formatting": OP1_SQL,
     "op2_line_dedup": OP2_SQL,
     "op3_ngram_jaccard_join": OP3_SQL,
+    "op5_source_mixing": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
 }
