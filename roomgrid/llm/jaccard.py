@@ -14,8 +14,10 @@ deletions need a key per element, but fewer segments hold more elements each and
 
 *Candidates.* The sets that share a key are a list. All of them are compared with its first;
 then only those of a list that are still in different components are compared with each
-other, so a list of copies costs a row each. A count of elements in 512 buckets bounds the
-difference of two sets from below and refuses most pairs.
+other, so a list of copies costs a row each. That second comparison takes a list in blocks of
+bounded size and gives out only pairs that a sketch allows: the parities of the elements in
+2048 buckets. Two sets whose parities differ in k buckets differ in k elements at least, so
+the sketch refuses no pair that is similar.
 
 *Verification* compares the sets themselves. Equal sets are one node, known by a 64-bit sum
 of their mixed shingle hashes; elements are 64-bit hashes too, which is the only way in which
@@ -35,7 +37,8 @@ from roomgrid.llm.common import components, stored, table
 from roomgrid.llm.shingles import chunks, mixed, shingle_sets, text_bytes
 
 _U = np.uint64
-_BUCKETS = 512
+_BUCKETS = 2048
+_BLOCK = 2048  # sets of a list that meet others of the list in one step
 SHARED_ELEMENTS = 0.02  # of two unrelated sets; only costs depend on it
 
 
@@ -169,16 +172,63 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (key, node, first)], ["key", "node", "first"])
 
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, _BUCKETS // 64)
+
+
 def _near_enough(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (x, y, nx, ny, cx, cy) whose bucket counts allow the similarity."""
+    """Pairs (x, y, nx, ny, bx, by) whose sketches allow the similarity."""
+    for batch in batches:
+        least = np.bitwise_count(_sketches(batch.column("bx")) ^ _sketches(batch.column("by"))).sum(axis=1, dtype=np.int64)
+        both = batch.column("nx").to_numpy() + batch.column("ny").to_numpy()
+        fits = pa.array(least * (100 + percent) <= both * (100 - percent))
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(fits) for k in ("x", "y")], ["x", "y"])
+
+
+def _pairs_in_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components from rows in order of (key, i, j), as the sketches allow.
+
+    Rows of a (key, i, j) are the sets of blocks i and j of a list; only pairs between the
+    two blocks are meant, and within the block if i = j.
+    """
+    names = ["key", "i", "j", "node", "block", "component", "n"]
+    held: list[np.ndarray] | None = None
+    bits = np.empty((0, _BUCKETS // 64), dtype=np.uint64)
+
+    def compare(rows: list[np.ndarray], sketch: np.ndarray) -> pa.RecordBatch:
+        i, j, node, block, component, n = rows[1][0], rows[2][0], *rows[3:]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        x, y = [], []
+        for at in range(0, len(left), 64):  # so many rows of one block against the whole other
+            some = left[at : at + 64]
+            apart = component[some][:, None] != component[right][None]
+            if i == j:
+                apart &= node[some][:, None] < node[right][None]
+            small, large = np.minimum(n[some][:, None], n[right][None]), np.maximum(n[some][:, None], n[right][None])
+            a, b = np.nonzero(apart & (100 * small >= percent * large))
+            for k in range(0, len(a), 1 << 15):
+                p, q = some[a[k : k + (1 << 15)]], right[b[k : k + (1 << 15)]]
+                least = np.bitwise_count(sketch[p] ^ sketch[q]).sum(axis=1, dtype=np.int64)
+                fits = least * (100 + percent) <= (n[p] + n[q]) * (100 - percent)
+                x.append(node[p[fits]])
+                y.append(node[q[fits]])
+        x, y = (np.concatenate(v) if v else np.empty(0, dtype=np.int64) for v in (x, y))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["x", "y"])
+
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            counts = [np.frombuffer(b"".join(part.column(k).to_pylist()), dtype=np.uint8).reshape(-1, _BUCKETS).astype(np.int16) for k in ("cx", "cy")]
-            least = np.abs(counts[0] - counts[1]).sum(axis=1, dtype=np.int64)
-            both = part.column("nx").to_numpy() + part.column("ny").to_numpy()
-            fits = pa.array(least * (100 + percent) <= both * (100 - percent))
-            yield pa.RecordBatch.from_arrays([part.column(k).filter(fits) for k in ("x", "y")], ["x", "y"])
+        rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
+        sketch = _sketches(batch.column("bits"))
+        if held is not None:
+            rows, sketch = [np.concatenate(v) for v in zip(held, rows)], np.concatenate([bits, sketch])
+        if not len(rows[0]):
+            continue
+        change = np.flatnonzero(np.any([r[1:] != r[:-1] for r in rows[:3]], axis=0)) + 1
+        edges = [0, *change.tolist()]
+        for a, b in zip(edges, edges[1:]):
+            yield compare([r[a:b] for r in rows], sketch[a:b])
+        held, bits = [r[edges[-1] :] for r in rows], sketch[edges[-1] :]
+    if held is not None and len(held[0]):
+        yield compare(held, bits)
 
 
 def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -243,32 +293,33 @@ class _Join:
         return stored(found, "lists", batch_rows=1 << 16)
 
     def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """(node, n, counts, elements) of the given nodes, from one document each."""
+        """(node, n, bits, elements) of the given nodes, from one document each."""
         size = self.size
         one = self.sizes.where("n > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("d"))
 
         def run(batches):
             for rows, sets, first in _blocks(batches, size):
                 owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                bucket = (mixed(sets + _U(0x589965CC75374CC3)) % _U(_BUCKETS)).astype(np.int64)
-                counts = np.minimum(np.bincount(owner * _BUCKETS + bucket, minlength=_BUCKETS * (len(first) - 1)), 255).astype(np.uint8).reshape(-1, _BUCKETS)
+                bucket = mixed(sets + _U(0x589965CC75374CC3)) % _U(_BUCKETS)
+                bits = np.zeros((len(first) - 1, _BUCKETS // 64), dtype=np.uint64)
+                np.bitwise_xor.at(bits, (owner, (bucket >> _U(6)).astype(np.int64)), _U(1) << (bucket & _U(63)))
                 order = np.lexsort((sets.view(np.int64), owner))
                 yield pa.RecordBatch.from_arrays(
-                    [_longs(_node(sets, first)), pa.array(np.diff(first)), pa.array([c.tobytes() for c in counts], pa.binary()), _lists(sets[order], first)],
-                    ["node", "n", "counts", "elements"],
+                    [_longs(_node(sets, first)), pa.array(np.diff(first)), pa.array([b.tobytes() for b in bits], pa.binary()), _lists(sets[order], first)],
+                    ["node", "n", "bits", "elements"],
                 )
 
         wanted = self.docs.join(one, F.col("doc").eqNullSafe(F.col("d")), "left_semi").select("doc", "text")
-        made = wanted.mapInArrow(run, "node long, n long, counts binary, elements array<long>").join(nodes, "node", "left_semi")
-        once = made.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "counts", "elements")])
+        made = wanted.mapInArrow(run, "node long, n long, bits binary, elements array<long>").join(nodes, "node", "left_semi")
+        once = made.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "bits", "elements")])
         return stored(once, "elements")
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (x, y) that are similar, as (a, b)."""
         percent = self.percent
-        side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("counts").alias(f"c{k}"))
+        side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"b{k}"))
         sized = pairs.join(side("x"), "x").join(side("y"), "y")
-        sized = sized.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")).select("x", "y", "nx", "ny", "cx", "cy")
+        sized = sized.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")).select("x", "y", "nx", "ny", "bx", "by")
         near = stored(sized.mapInArrow(lambda batches: _near_enough(batches, percent), "x long, y long"), "near")
         whole = lambda k: sets.select(F.col("node").alias(k), F.col("elements").alias(f"s{k}"))
         both = near.join(whole("x"), "x").join(whole("y"), "y").select("x", "y", "sx", "sy")
@@ -298,17 +349,18 @@ def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", s
     placed = stored(
         lists.join(found, "node", "left").select("key", "node", "first", F.coalesce("component", "node").alias("component")), "placed"
     )
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("key")
-    rest = placed.where("node <> first").join(mixed_keys, "key").join(sets.select("node", "n"), "node")
-    left = rest.select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"))
-    right = rest.select("key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
-    pairs = (
-        left.join(right, "key")
-        .where("x < y and cx <> cy")
-        .where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-        .select("x", "y")
-        .distinct()
+    sizes = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("k")).where("a <> b")
+    blocks = F.ceil(F.col("k") / _BLOCK).cast("int")
+    rest = placed.where("node <> first").join(sizes.select("key", blocks.alias("blocks")), "key")
+    rest = rest.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))
     )
+    spread = rest.select("key", "node", "component", "block", F.explode(meets).alias("m")).select("key", "m.i", "m.j", "node", "block", "component")
+    sketched = spread.join(sets.select("node", "n", "bits"), "node").select("key", "i", "j", "node", "block", "component", "n", "bits")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = sketched.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = stored(ordered.mapInArrow(lambda batches: _pairs_in_blocks(batches, percent), "x long, y long"), "pairs", batch_rows=2048).distinct()
     final = components(edges.union(join.linked(pairs, sets)))
     nodes = join.sizes.where("n > 0").groupBy("node").agg(F.min("doc").alias("least")).join(final, "node", "left")
     named = nodes.select("node", F.coalesce("component", "node").alias("root"), "least")

@@ -77,6 +77,14 @@ def test_groups_of_near_copies(spark):
     _check(spark, rows)
 
 
+def test_lists_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(J, "_BLOCK", 5)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(100)]
+    rows = [(k, " ".join(_edited(rng, base, rng.choice([0.004, 0.01, 0.02, 0.04])))) for k in range(150)]
+    _check(spark, rows)
+
+
 def test_edges(spark):
     long = " ".join(f"v{k}" for k in range(150_000))
     rows = [
