@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from roomgrid.llm.chat import OP1_SQL, op1_chat_formatting
 from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
+from roomgrid.llm.language import op9_language_id
 from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
 from roomgrid.llm.mixing import OP5_SQL, op5_source_mixing
 from roomgrid.llm.packing import op7_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_source_mixing": op5_source_mixing,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES = {
