@@ -9,6 +9,7 @@ from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
 from roomgrid.llm.mixing import OP5_SQL, op5_source_mixing
 from roomgrid.llm.packing import op7_packing
 from roomgrid.llm.quality import OP8_SQL, op8_quality_rules
+from roomgrid.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
@@ -26,4 +28,5 @@ ORACLES = {
     "op3_ngram_jaccard_join": OP3_SQL,
     "op5_source_mixing": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op10_warc": OP10_SQL,
 }
