@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from roomgrid.llm.chat import OP1_SQL, op1_chat_formatting
+from roomgrid.llm.html_text import op4_html_extraction
 from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
 from roomgrid.llm.language import op9_language_id
 from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_line_dedup": op2_line_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_html_extraction": op4_html_extraction,
     "op5_source_mixing": op5_source_mixing,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
