@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from roomgrid.llm.chat import OP1_SQL, op1_chat_formatting
+from roomgrid.llm.embeddings import op6_embedding_near_dedup
 from roomgrid.llm.html_text import op4_html_extraction
 from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
 from roomgrid.llm.language import op9_language_id
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_html_extraction": op4_html_extraction,
     "op5_source_mixing": op5_source_mixing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
