@@ -1,22 +1,23 @@
 """Ordered scans inside groups of any size.
 
 A Spark window puts a whole group into one task. Here one group may hold a third of all
-rows, so a scan first cuts the order into slices:
-
-1. A fixed hash picks about one order key in ``rows_per_slice``; the picked keys are only
-   cut points, every row stays. The choice depends on the key alone, so a task that is run
-   again finds the same slices.
-2. Each row gets the number of cut points up to its own key. Slices follow the order, and
-   since the order ends in a unique id they hold about ``rows_per_slice`` rows each, however
-   skewed the groups are.
+rows, so a scan first cuts the order of large groups into slices:
+
+1. A fixed hash picks about one row in ``rows_per_slice`` as a cut point of its group; every
+   row stays. The choice depends on the row's keys alone, so a task that is run again finds
+   the same slices. A small group has no cut point as a rule, a large one has many.
+2. Each row gets the number of its group's cut points up to its own order key. The cut points
+   are joined by group, so a row only meets those of its own group.
 3. The window runs per (group, slice). What a slice needs from the slices before it comes
-   from one aggregate row per (group, slice), scanned per group and joined back.
+   from one aggregate row per slice, made for cut groups only and joined back.
 
-With less than ``rows_per_slice`` rows there are no cut points and one slice per group.
+Group keys may be NULL; NULLs are one group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,34 +28,39 @@ SLICE = "_slice"
 _EDGE = {"max": F.max, "min": F.min, "sum": F.sum}
 
 
+def _same(left: list[str], right: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(left, right)])
+
+
 def with_slices(df: DataFrame, keys: list[str], order: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Add ``_slice``. ``order`` ascends and should end in a unique column."""
-    key = F.struct(*keys, *order)
+    """Add ``_slice`` and ``_cut``, whether the group has cut points. ``order`` should end in a unique column."""
+    key = F.struct(*order)
+    own = [f"_key_{k}" for k in range(len(keys))]
     cuts = (
-        df.select(key.alias("k"))
-        .where(F.pmod(F.xxhash64("k"), F.lit(rows_per_slice)) == 0)
-        .agg(F.sort_array(F.collect_set("k")).alias("cuts"))
-        .select(F.struct("cuts", F.filter("cuts", lambda _, i: i % _CHUNK == 0).alias("heads")))
+        df.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rows_per_slice)) == 0)
+        .groupBy(*[F.col(k).alias(o) for k, o in zip(keys, own)])
+        .agg(F.sort_array(F.collect_set(key)).alias("_cuts"))
+        .withColumn("_heads", F.filter("_cuts", lambda _, i: i % _CHUNK == 0))
     )
     # two short searches instead of one long one: first the chunk, then the place in it
-    chunk = F.size(F.filter("_cuts.heads", lambda cut: cut <= key))
-    within = F.slice("_cuts.cuts", F.greatest(F.col("_chunk") - 1, F.lit(0)) * _CHUNK + 1, _CHUNK)
+    chunk = F.size(F.filter("_heads", lambda cut: cut <= key))
+    within = F.slice("_cuts", F.greatest(F.col("_chunk") - 1, F.lit(0)) * _CHUNK + 1, _CHUNK)
+    number = F.when(F.col("_chunk") > 0, (F.col("_chunk") - 1) * _CHUNK + F.size(F.filter(within, lambda cut: cut <= key)))
     return (
-        df.withColumn("_cuts", cuts.scalar())
-        .withColumn("_chunk", chunk)
-        .withColumn(
-            SLICE,
-            F.when(F.col("_chunk") == 0, F.lit(0)).otherwise(
-                (F.col("_chunk") - 1) * _CHUNK + F.size(F.filter(within, lambda cut: cut <= key))
-            ),
-        )
-        .drop("_cuts", "_chunk")
+        df.join(cuts, _same(keys, own), "left")
+        .withColumn("_cut", F.col("_cuts").isNotNull())
+        .withColumn("_chunk", F.when(F.col("_cut"), chunk).otherwise(0))
+        .withColumn(SLICE, F.coalesce(number, F.lit(0)))
+        .drop("_cuts", "_heads", "_chunk", *own)
     )
 
 
 def _with_carry(df: DataFrame, keys: list[str], edges: list[Column], carries: list[Column]) -> DataFrame:
-    per_slice = df.groupBy(*keys, SLICE).agg(*edges)
-    return df.join(per_slice.select(*keys, SLICE, *carries), [*keys, SLICE])
+    """Add what each slice takes over from those before it; NULL in groups that are not cut."""
+    own = [f"_key_{k}" for k in range(len(keys) + 1)]
+    per_slice = df.where("_cut").groupBy(*keys, SLICE).agg(*edges)
+    found = per_slice.select(*[F.col(k).alias(o) for k, o in zip([*keys, SLICE], own)], *carries)
+    return df.join(found, _same([*keys, SLICE], own), "left").drop("_cut", *own)
 
 
 def neighbour(

@@ -108,6 +108,14 @@ select booking_id as request_id, requester_user_id, space_id, requested_start_ti
   booking_id % 2 = 0 as acknowledge
 from booking
 """
+# the same wishes ten years later, where only each other is in the way; some rooms and purposes are unknown
+PARAMETERS["fresh_request"] = """
+select request_id, requester_user_id, case when request_id % 23 = 0 then -1 - space_id else space_id end as space_id,
+  span_start + INTERVAL '3652' DAY as span_start, span_end + INTERVAL '3652' DAY as span_end,
+  case when request_id % 29 = 0 then 'Party' when request_id % 31 = 0 then null else purpose end as purpose, participants,
+  auto_approve, case when request_id % 35 = 0 then null when request_id % 25 = 0 then cast(3 as bigint) else 50 end as decision_maker_user_id, acknowledge
+from new_request
+"""
 PARAMETERS["level_change"] = """
 select maintenance_id, case maintenance_id % 7 when 0 then 'broken' when 1 then 'advisory' else 'out-of-service' end as new_level,
   case maintenance_id % 11 when 0 then cast(3 as bigint) else 50 end as user_id, 'level review' as note
@@ -121,8 +129,8 @@ PARAMETERS["plain_maintenance"] = """
 select maintenance_id, space_id, reporter_user_id, assigned_staff_user_id, problem_description, start_time, completion_time,
   maintenance_status, result_note from maintenance
 """
-PARAMETERS["person_number"] = "select user_id as n from app_user where user_id > 0"
-PARAMETERS["room_number_source"] = "select space_id as n from space where space_id > 0"
+PARAMETERS["person_number"] = "select user_id + 1 as n from app_user"
+PARAMETERS["room_number_source"] = "select space_id + 1 as n from space"
 PARAMETERS["ship_day"] = "select cast(l_shipdate as date) as booking_date from lineitem"
 WINDOW = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
 
@@ -141,6 +149,17 @@ def _new_requests(spark: SparkSession, folder: str) -> DataFrame:
     return df.withColumnsRenamed({"span_start": "start", "span_end": "end"})
 
 
+def _created(spark: SparkSession, folder: str):
+    requests = parameter(spark, folder, "fresh_request").withColumnsRenamed({"span_start": "start", "span_end": "end"})
+    return workflow.w12_create_and_approve(derived_tables(spark, folder), requests, AS_OF)
+
+
+def _created_decisions(spark: SparkSession, folder: str) -> DataFrame:
+    before = derived_tables(spark, folder)["booking_decision"].agg(F.max("decision_id")).scalar()
+    made = _created(spark, folder)[1]["booking_decision"].where(F.col("decision_id") > before)
+    return made.select("decision_id", "booking_id", "decision_maker_user_id", "decision_time", "decision", "decision_note")
+
+
 def _on_pending(job) -> Job:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         t = derived_tables(spark, folder)
@@ -227,6 +246,8 @@ JOBS.update(
         "w01_validate_requests": lambda spark, folder: workflow.w01_validate_requests(
             derived_tables(spark, folder), _new_requests(spark, folder)
         ).withColumnsRenamed({"start": "span_start", "end": "span_end"}),
+        "w12_create_and_approve": lambda s, f: _created(s, f)[0],
+        "w12_create_and_approve_decisions": lambda s, f: _created_decisions(s, f),
         "w02_conflict_check": _on_pending(workflow.w02_conflict_check),
         "w03_resolve_policy": _on_pending(
             lambda t, pending: workflow.w03_resolve_policy(t, pending).select(
@@ -280,11 +301,11 @@ JOBS.update(
 
 # ---- streams
 
-# the approvals of the batch job, plus a level change for every maintenance record, by submission time
+# the approvals of the batch job by submission time; those of unknown bookings come first
 PARAMETERS["command"] = """
-select booking_id as command_id, 'approve' as kind, submitted_at as at, booking_id, decision_maker_user_id, is_auto, acknowledge,
+select booking_id as command_id, 'approve' as kind, coalesce(submitted_at, date '1990-01-01' + INTERVAL '0' SECOND) as at, booking_id, decision_maker_user_id, is_auto, acknowledge,
   cast(null as bigint) as maintenance_id, cast(null as varchar(20)) as new_level, cast(null as varchar(20)) as note
-from approval join queue using (booking_id)
+from approval left join queue using (booking_id)
 """
 PARAMETERS["timed_change"] = """
 select maintenance_id * 2 as change_id, start_time + INTERVAL '1' HOUR as at, maintenance_id,
@@ -341,7 +362,9 @@ def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame,
 JOBS.update(
     {
         "s01_stream_approvals": _streamed_approvals,
-        "s02_stream_escalations": lambda s, f: _streamed_escalations(s, f)[1].select("maintenance_id", "booking_id", "contact_status"),
+        "s02_stream_escalations": lambda s, f: _streamed_escalations(s, f)[1].select(
+            "maintenance_id", "booking_id", "identified_at", "identified_by_user_id", "contact_status"
+        ),
         "s02_stream_escalations_history": lambda s, f: _streamed_escalations(s, f)[0].select(
             "maintenance_id", "prior_impact_level", "new_impact_level", "changed_by_user_id", "changed_at", "change_note"
         ),
@@ -352,7 +375,7 @@ JOBS.update(
 
 PARAMETERS["claimed_ack"] = """
 select booking_id, maintenance_id from booking join maintenance
-  on maintenance_id = (booking_id % (select count(*) from maintenance)) * 10
+  on maintenance_id = booking_id % (select count(*) from maintenance)
 union all select booking_id, maintenance_id from booking_impact
 union all select booking_id, maintenance_id from advisory_ack
 """

@@ -512,6 +512,30 @@ outcome as (
   from gate g left join served s on s.booking_id = g.booking_id)
 """
 
+# The code of a new request. The table of requests and the room's columns are given by name.
+_ASKED = """select r.*, cast(case when span_end <= span_start then 51030 when participants <= 0 then 51031
+    when requester_user_id not in (select user_id from app_user where account_status = 'Active') then 51032
+    when auto_approve and decision_maker_user_id is null then 51033
+    when s.space_id is null or purpose is null or purpose not in ('Lecture', 'Examination', 'Seminar', 'Workshop', 'Meeting',
+      'StudentActivity', 'AdministrativeEvent') then 547
+    when current_status in ('UnderMaintenance', 'TemporarilyClosed', 'Retired') or participants > capacity then 51001 end as integer) as code
+  from {requests} r left join space s on s.space_id = r.space_id"""
+
+# the batch of approvals that comes of new requests, served like any other
+_CREATED = (
+    _SERVED.replace("with recursive", f"""with recursive asked as ({_ASKED.format(requests='fresh_request')}),
+fresh as (
+  select *, (select max(booking_id) from booking) + row_number() over (order by request_id) as booking_id from asked where code is null),
+desk as (
+  select booking_id, requester_user_id, space_id, requested_start_time, requested_end_time, purpose, expected_participants, booking_status,
+    submitted_at from booking
+  union all
+  select booking_id, requester_user_id, space_id, span_start, span_end, purpose, participants, 'Pending', {_AS_OF} from fresh),
+wanted as (select booking_id, decision_maker_user_id, true as is_auto, acknowledge from fresh where auto_approve),""", 1)
+    .replace("from queue", "from desk")
+    .replace("from approval a", "from wanted a")
+)
+
 _LEVELS = f"""with changed as (
   select c.maintenance_id, case when m.maintenance_status in {_REPAIR} then m.impact_level end as prior_impact_level,
     c.new_level as new_impact_level, c.user_id, c.note, cast(case
@@ -534,12 +558,18 @@ moved as (
 
 QUERIES.update(
     {
-        "w01_validate_requests": """
-select *, case when code is null then 'Pending' end as booking_status from (
-  select r.*, cast(case when span_end <= span_start then 51030 when participants <= 0 then 51031
-    when requester_user_id not in (select user_id from app_user where account_status = 'Active') then 51032
-    when auto_approve and decision_maker_user_id is null then 51033 end as integer) as code
-  from new_request r)
+        "w01_validate_requests": f"""
+select *, case when code is null then 'Pending' end as booking_status from ({_ASKED.format(requests='new_request')})
+""",
+        "w12_create_and_approve": f"""{_CREATED}
+select a.request_id, f.booking_id, coalesce(a.code, o.code) as code, o.decision,
+  case when a.code is null then if(o.decision is null, 'Pending', 'Approved') end as booking_status
+from asked a left join fresh f on f.request_id = a.request_id left join outcome o on o.booking_id = f.booking_id
+""",
+        "w12_create_and_approve_decisions": f"""{_CREATED}
+select (select max(decision_id) from booking_decision) + row_number() over (order by booking_id) as decision_id, booking_id,
+  decision_maker_user_id, {_AS_OF} as decision_time, decision, '{_NOTE.format(kind='Automatic')}' as decision_note
+from outcome where code is null
 """,
         "w02_conflict_check": f"""with {_widened(_PENDING)}
 select w.booking_id, o.booking_id as conflicting_booking_id
@@ -618,12 +648,14 @@ from traced_pair p left join advisory_ack a on a.booking_id = p.booking_id and a
 select maintenance_id, booking_id, contact_status, impact_level from booking_impact join maintenance using (maintenance_id)
 where (booking_id, maintenance_id) in (select (booking_id, maintenance_id) from traced_pair)
 """,
-        "s01_stream_approvals": f"{_SERVED} select booking_id, code, decision from outcome where booking_id in (select booking_id from queue)",
+        "s01_stream_approvals": f"{_SERVED} select booking_id, code, decision from outcome",
         "s02_stream_escalations": f"""{_STREAMED}
-select distinct m.maintenance_id, b.booking_id, 'PendingContact' as contact_status
+select m.maintenance_id, b.booking_id, min(m."at") as identified_at, arg_min(m.user_id, m."at") as identified_by_user_id,
+  'PendingContact' as contact_status
 from moved m join booking b on b.space_id = m.space_id and {_MEETS}
 where m.prior_level = 'advisory' and m.new_level = 'out-of-service' and b.booking_status in {_ACTIVE}
   and not exists (select 1 from booking_impact i where i.maintenance_id = m.maintenance_id and i.booking_id = b.booking_id)
+group by m.maintenance_id, b.booking_id
 """,
         "s02_stream_escalations_history": f"""{_STREAMED}
 select maintenance_id, prior_level as prior_impact_level, new_level as new_impact_level, user_id as changed_by_user_id,
@@ -668,7 +700,7 @@ generated as (
     booking_date - to_days(cast(14 + n % 21 as integer)) as submitted_at,
     case when n % 100 between 85 and 92 then booking_date - to_days(3) end as cancelled_at,
     case when n % 100 between 85 and 92 then p.user_id end as cancelled_by_user_id,
-    case when n % 100 between 85 and 92 then 'Generated benchmark cancellation: schedule changed.' end as cancellation_note
+    case when n % 100 between 85 and 92 then 'Made cancellation.' end as cancellation_note
   from made join day on day.number = slot // 2
   join (select space_id, capacity, row_number() over (order by space_id) - 1 as number from space) s on s.number = room
   join (select user_id, row_number() over (order by user_id) - 1 as number from app_user where role <> 'FacilityStaff') p
@@ -676,7 +708,7 @@ generated as (
 staff as (select min(user_id) as staff_id from app_user where role = 'FacilityStaff'),
 advisory as (
   select space_id * 2 as maintenance_id, space_id, max(requested_start_time) + interval 15 minute as start_time,
-    concat('Generated active advisory for booking ', arg_max(booking_id, (requested_start_time, booking_id)), ': projector degradation.') as problem_description
+    concat('Made advisory on booking ', arg_max(booking_id, (requested_start_time, booking_id)), ': take care.') as problem_description
   from generated where booking_status = 'Approved' group by space_id),
 ack as (
   select g.booking_id, maintenance_id, requested_start_time - interval 5 minute as acknowledged_at,
@@ -700,18 +732,18 @@ select *, cast(null as timestamp) as advisories_presented_at, cast(null as times
         "o03_upgrade_phase1_policy": "select * exclude (auto_approval_enabled), false as auto_approval_enabled from booking_policy",
         "o03_upgrade_phase1_booking": f"select * from {_FULL_BOOKING}",
         "o04_generate_users": """
-select n as user_id, concat('Benchmark User ', n) as full_name, concat('bench.', right(concat('0000', n), 4), '@example.org') as email,
-  concat('0908', right(concat('000000', n), 6)) as phone_number,
+select n as user_id, concat('Person ', n) as full_name, concat('bench.', if(n < 10000, right(concat('0000', n), 4), cast(n as varchar)), '@example.org') as email,
+  concat('0908', if(n < 1000000, right(concat('000000', n), 6), cast(n as varchar))) as phone_number,
   case when n > 980 then 'FacilityStaff' when n % 10 = 0 then 'Lecturer' when n % 10 = 1 then 'TA' else 'Student' end as role,
   if(n > 980, 'Facilities', 'Computer Science') as department, 'Active' as account_status
 from person_number
 """,
         "o05_generate_spaces": """
-select n as space_id, concat('BENCH-', right(concat('000', n), 3)) as space_code, concat('Benchmark Space ', n) as space_name,
+select n as space_id, concat('BENCH-', if(n < 1000, right(concat('000', n), 3), cast(n as varchar))) as space_code, concat('Room ', n) as space_name,
   ['Classroom', 'MeetingRoom', 'ComputerLaboratory', 'ProjectLaboratory', 'StudentWorkspace'][n % 5 + 1] as space_type,
-  concat('Benchmark Block ', (n - 1) % 8 + 1) as building, cast((n - 1) % 6 + 1 as varchar) as floor,
-  concat('B', right(concat('000', n), 3)) as room_number, cast(20 + (n * 7) % 181 as integer) as capacity,
-  'Available' as current_status, 'Generated benchmark policy: academic bookings and analysis only.' as usage_policy
+  concat('Wing ', (n - 1) % 8 + 1) as building, cast((n - 1) % 6 + 1 as varchar) as floor,
+  concat('B', if(n < 1000, right(concat('000', n), 3), cast(n as varchar))) as room_number, cast(20 + (n * 7) % 181 as integer) as capacity,
+  'Available' as current_status, 'Made room; open to all made people.' as usage_policy
 from room_number_source
 """,
         "o06_generate_calendar": f"with {_MADE} select booking_date, number as academic_day_number from day",
@@ -720,15 +752,15 @@ select *, cast(null as timestamp) as advisories_presented_at, cast(null as times
 """,
         "o08_generate_decisions": f"""with {_MADE}
 select booking_id as decision_id, booking_id, staff_id as decision_maker_user_id, submitted_at + interval 1 day as decision_time,
-  if(booking_status = 'Rejected', 'Rejected', 'Approved') as decision, 'Generated benchmark decision.' as decision_note,
-  case when booking_status = 'Rejected' then 'Generated benchmark policy rejection.' end as rejection_reason
+  if(booking_status = 'Rejected', 'Rejected', 'Approved') as decision, 'Made decision.' as decision_note,
+  case when booking_status = 'Rejected' then 'Made refusal.' end as rejection_reason
 from generated cross join staff where booking_status not in ('Pending', 'Cancelled')
 """,
         "o09_generate_maintenance": f"""with {_MADE}
 select space_id * 2 - 1 as maintenance_id, space_id, staff_id as reporter_user_id, staff_id as assigned_staff_user_id,
-  'Generated completed electrical inspection.' as problem_description, timestamp '2022-06-01 00:00:00' as start_time,
+  'Made outage.' as problem_description, timestamp '2022-06-01 00:00:00' as start_time,
   timestamp '2022-06-01 04:00:00' as completion_time, 'Completed' as maintenance_status, 'out-of-service' as impact_level,
-  'Generated inspection completed before benchmark horizon.' as result_note
+  'Over before the first booking.' as result_note
 from space cross join staff
 union all
 select maintenance_id, space_id, staff_id, staff_id, problem_description, start_time, null, 'InProgress', 'advisory', null

@@ -598,8 +598,10 @@ def r20_audit_timeline(t, *, ordered: bool = True) -> DataFrame:
     )
     # equal events differ in nothing but their place, so text closes the order
     order = ["event_time", "event_type", "actor_name", "event_detail"]
+    # a booking has a handful of events, so a plain window has no large group here
+    before = F.lag("event_time").over(Window.partitionBy("booking_id").orderBy(*order))
     out = (
-        neighbour(named, ["booking_id"], order, "event_time", "_previous")
+        named.withColumn("_previous", before)
         .withColumn("minutes_since_previous_event", minute_diff("_previous", "event_time"))
         .drop("_previous")
     )

@@ -17,6 +17,8 @@ from roomgrid.operators.policy import with_policy
 from roomgrid.operators.slices import neighbour, numbered
 from roomgrid.plans.reports import active_maintenance, maintenance_overlaps
 from roomgrid.schema import (
+    CLOSED_SPACE,
+    PURPOSES,
     ACTIVE_BOOKING,
     ACTIVE_MAINTENANCE,
     ADVISORY,
@@ -59,21 +61,71 @@ def w01_validate_requests(t, requests: DataFrame) -> DataFrame:
     """New requests with their code; those without one become Pending.
 
     ``requests``: request_id, requester_user_id, space_id, start, end, purpose, participants,
-    auto_approve, decision_maker_user_id, acknowledge.
+    auto_approve, decision_maker_user_id, acknowledge. After the checks of the call come those
+    of the insert: a room that is not there or a purpose that is not known (547, the server's
+    number for a broken reference or check), a closed room or too many participants (51001).
     """
     people = _active_people(t, "requester")
+    rooms = t["space"].select(F.col("space_id").alias("_room"), "capacity", "current_status")
     code = _first_code(
         (F.col("end") <= F.col("start"), 51030),
         (F.col("participants") <= 0, 51031),
         (F.col("requester_found").isNull(), 51032),
         (F.col("auto_approve") & F.col("decision_maker_user_id").isNull(), 51033),
+        (F.col("_room").isNull() | ~F.coalesce(F.col("purpose").isin(*PURPOSES), F.lit(False)), 547),
+        (F.col("current_status").isin(*CLOSED_SPACE) | (F.col("participants") > F.col("capacity")), 51001),
     )
-    checked = requests.join(people, F.col("requester_user_id") == F.col("requester_found"), "left").withColumn("code", code)
+    known = requests.join(people, F.col("requester_user_id") == F.col("requester_found"), "left")
+    checked = known.join(rooms, F.col("space_id") == F.col("_room"), "left").withColumn("code", code)
     return checked.select(
         *requests.columns, "code", F.when(F.col("code").isNull(), F.lit("Pending")).alias("booking_status")
     )
 
 
+def w12_create_and_approve(t, requests: DataFrame, as_of) -> tuple[DataFrame, object]:
+    """Create bookings from new requests and decide those that ask for it at once.
+
+    Returns (request_id, booking_id, code, decision, booking_status) per request, and the
+    tables with the bookings, acknowledgements and decisions added. Accepted requests get the
+    booking numbers after the highest in use, in order of request_id, and are submitted at
+    ``as_of``. A booking whose approval is refused stays Pending; ``code`` says why.
+    """
+    checked = cut_lineage(w01_validate_requests(t, requests))
+    accepted = _next_numbers(checked.where(F.col("code").isNull()), ["request_id"], t["booking"], "booking_id")
+    accepted = cut_lineage(accepted)
+    none = {name: F.lit(None).cast(kind) for name, kind in t["booking"].dtypes}
+    given = {
+        "booking_id": F.col("booking_id"),
+        "requester_user_id": F.col("requester_user_id"),
+        "space_id": F.col("space_id"),
+        "requested_start_time": F.col("start"),
+        "requested_end_time": F.col("end"),
+        "purpose": F.col("purpose"),
+        "expected_participants": F.col("participants"),
+        "booking_status": F.lit("Pending"),
+        "submitted_at": ntz(as_of),
+    }
+    rows = accepted.select(*[given.get(name, none[name]).cast(kind).alias(name) for name, kind in t["booking"].dtypes])
+    inserted = cut_lineage(t["booking"].unionByName(rows))
+    now = t.replace(booking=inserted)
+    wanted = accepted.where(F.col("auto_approve")).select("booking_id", "decision_maker_user_id", F.lit(True).alias("is_auto"), "acknowledge")
+    outcomes = cut_lineage(w05_approve_batch(now, wanted))
+    after = t.replace(
+        booking=w07_booking_snapshot(now, outcomes, as_of),
+        advisory_ack=t["advisory_ack"].unionByName(w06_record_acks(now, outcomes, as_of)),
+        booking_decision=t["booking_decision"].unionByName(w07_record_decisions(now, outcomes, as_of)),
+    )
+    decided = outcomes.select("booking_id", F.col("code").alias("_late"), "decision")
+    status = F.when(F.col("decision").isNotNull(), F.lit("Approved")).otherwise(F.lit("Pending"))
+    made = accepted.join(decided, "booking_id", "left").select(
+        "request_id", "booking_id", F.col("_late").alias("code"), "decision", status.alias("booking_status")
+    )
+    refused = checked.where(F.col("code").isNotNull()).select(
+        "request_id", F.lit(None).cast("long").alias("booking_id"), "code", F.lit(None).cast("string").alias("decision"), "booking_status"
+    )
+    return made.unionByName(refused), after
+
+
 def pending_bookings(t) -> DataFrame:
     return t["booking"].where(F.col("booking_status") == "Pending")
 
@@ -414,16 +466,20 @@ def w08_maintenance_snapshot(t, outcomes: DataFrame) -> DataFrame:
     return joined.withColumn("impact_level", F.coalesce("_level", "impact_level")).select(*t["maintenance"].columns)
 
 
-def w09_escalation_impacts(t, outcomes: DataFrame, as_of) -> DataFrame:
-    """One row to follow up per booking hit by an advisory that became an outage; known pairs are not repeated."""
+def w09_escalation_impacts(t, outcomes: DataFrame, as_of=None) -> DataFrame:
+    """One row to follow up per booking hit by an advisory that became an outage; known pairs are not repeated.
+
+    Outcomes with a time ``at`` of their own give the time of the row, others ``as_of``.
+    """
     raised = outcomes.where(
         F.col("changed") & (F.col("prior_impact_level") == ADVISORY) & (F.col("new_impact_level") == OUT_OF_SERVICE)
     )
     # with several escalations of one record in a batch, the earliest finds the bookings
     sequence = [c for c in raised.columns if c not in ("maintenance_id", "prior_impact_level", "new_impact_level", "note", "code", "changed")]
-    sequence = [c for c in sequence if c != "user_id"] + ["user_id"]
+    timed = "at" in sequence
+    sequence = ["at"] * timed + [c for c in sequence if c not in ("user_id", "at")] + ["user_id"]
     raised = raised.groupBy("maintenance_id").agg(F.min(F.struct(*sequence)).alias("_first")).select(
-        "maintenance_id", "_first.user_id"
+        "maintenance_id", "_first.user_id", (F.col("_first.at") if timed else ntz(as_of)).alias("_at")
     )
     records = t["maintenance"].select("maintenance_id", "space_id", "start_time", "completion_time").join(raised, "maintenance_id")
     bookings = t["booking"].where(F.col("booking_status").isin(*ACTIVE_BOOKING)).select(
@@ -432,14 +488,14 @@ def w09_escalation_impacts(t, outcomes: DataFrame, as_of) -> DataFrame:
     pair = ["maintenance_id", "booking_id"]
     fresh = (
         maintenance_overlaps(bookings, records)
-        .select(*pair, "user_id")
+        .select(*pair, "user_id", "_at")
         .join(t["booking_impact"].select(*pair), pair, "left_anti")
     )
     rows = _next_numbers(fresh, pair, t["booking_impact"], "maintenance_booking_impact_id")
     return rows.select(
         "maintenance_booking_impact_id",
         *pair,
-        ntz(as_of).alias("identified_at"),
+        F.col("_at").alias("identified_at"),
         F.col("user_id").alias("identified_by_user_id"),
         F.lit("PendingContact").alias("contact_status"),
         F.lit(None).cast("timestamp_ntz").alias("contacted_at"),

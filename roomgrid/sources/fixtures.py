@@ -7,7 +7,6 @@ the same text as the head of its own query. ``FIXTURES.md`` explains the choices
 from __future__ import annotations
 
 import re
-import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,7 +48,7 @@ from nation join region on r_regionkey = n_regionkey
     "space_facility": """
 select s_suppkey as space_id, cast(n_nationkey as bigint) as facility_id,
   cast(1 + (s_suppkey + n_nationkey) % 5 as int) as quantity, cast(null as varchar(500)) as notes
-from supplier cross join nation where (s_suppkey * 3 + n_nationkey) % 4 = 0
+from supplier join nation on (4 - n_nationkey % 4) % 4 = (s_suppkey * 3) % 4
 """,
     "booking_policy": """
 select cast(1 as bigint) as policy_id, cast(null as bigint) as space_id, cast(null as varchar(30)) as applicable_role,
@@ -111,7 +110,7 @@ select event_id as maintenance_id, (event_id * 7 + user_id) % (select count(*) f
   case event_id % 200 when 0 then 'InProgress' when 100 then 'Assigned' when 50 then 'Reported' when 150 then 'Cancelled' else 'Completed' end as maintenance_status,
   case when user_id % 3 = 0 then 'out-of-service' else 'advisory' end as impact_level,
   case when event_id % 50 <> 0 then 'fixed' end as result_note
-from events where event_id % 10 = 0
+from events
 """,
     "advisory_ack": """
 select b.booking_id, m.maintenance_id, b.requested_start_time - INTERVAL '5' MINUTE as acknowledged_at,
@@ -173,7 +172,7 @@ def with_fragments(query: str, extra: dict[str, str] | None = None) -> str:
 
 def _source_views(spark: SparkSession, folder: str) -> str:
     """Register the source files in the session, unless it knows them; returns the prefix of the view names."""
-    prefix = f"src_{zlib.crc32(folder.encode()):08x}_"
+    prefix = f"src_{folder.encode().hex()}_"
     for name in SOURCES:
         if not spark.catalog.tableExists(prefix + name):
             spark.read.parquet(f"{folder}/{name}.parquet").createOrReplaceTempView(prefix + name)

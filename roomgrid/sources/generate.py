@@ -17,11 +17,13 @@ from roomgrid.operators.slices import numbered
 from roomgrid.plans.reports import maintenance_overlaps
 from roomgrid.schema import PURPOSES
 
-SMALLEST, LARGEST = 100_000, 500_000
+#: Bounds of a benchmark data set; pass them as ``limits`` to have other counts refused.
+BENCHMARK = (100_000, 500_000)
 
 
 def _padded(number: str, digits: int):
-    return F.expr(f"right(concat('{'0' * digits}', {number}), {digits})")
+    """At least so many digits; a longer number stays whole."""
+    return F.expr(f"lpad(cast({number} as string), greatest({digits}, length(cast({number} as string))), '0')")
 
 
 def _choice(number, words):
@@ -42,7 +44,7 @@ def users_from(numbers: DataFrame, requesters: int, prefix: str = "bench", domai
     role = F.when(staff, "FacilityStaff").when(n % 10 == 0, "Lecturer").when(n % 10 == 1, "TA").otherwise("Student")
     return numbers.select(
         n.cast("long").alias("user_id"),
-        F.concat(F.lit("Benchmark User "), n.cast("string")).alias("full_name"),
+        F.concat(F.lit("Person "), n.cast("string")).alias("full_name"),
         F.concat(F.lit(f"{prefix}."), _padded("n", 4), F.lit(f"@{domain}")).alias("email"),
         F.concat(F.lit("0908"), _padded("n", 6)).alias("phone_number"),
         role.alias("role"),
@@ -63,14 +65,14 @@ def spaces_from(numbers: DataFrame, prefix: str = "BENCH") -> DataFrame:
     return numbers.select(
         n.cast("long").alias("space_id"),
         F.concat(F.lit(f"{prefix}-"), _padded("n", 3)).alias("space_code"),
-        F.concat(F.lit("Benchmark Space "), n.cast("string")).alias("space_name"),
+        F.concat(F.lit("Room "), n.cast("string")).alias("space_name"),
         _choice(n % 5, kinds).alias("space_type"),
-        F.concat(F.lit("Benchmark Block "), ((n - 1) % 8 + 1).cast("string")).alias("building"),
+        F.concat(F.lit("Wing "), ((n - 1) % 8 + 1).cast("string")).alias("building"),
         ((n - 1) % 6 + 1).cast("string").alias("floor"),
         F.concat(F.lit("B"), _padded("n", 3)).alias("room_number"),
         (20 + (n * 7) % 181).cast("int").alias("capacity"),
         F.lit("Available").alias("current_status"),
-        F.lit("Generated benchmark policy: academic bookings and analysis only.").alias("usage_policy"),
+        F.lit("Made room; open to all made people.").alias("usage_policy"),
     )
 
 
@@ -139,7 +141,7 @@ def bookings_from(numbers: DataFrame, spaces: DataFrame, requesters: DataFrame,
         shift_minutes(midnight, (F.lit(-14) - n % 21) * 1440).alias("submitted_at"),
         F.when(cancelled, shift_minutes(midnight, -3 * 1440)).alias("cancelled_at"),
         F.when(cancelled, F.col("user_id")).alias("cancelled_by_user_id"),
-        F.when(cancelled, F.lit("Generated benchmark cancellation: schedule changed.")).alias("cancellation_note"),
+        F.when(cancelled, F.lit("Made cancellation.")).alias("cancellation_note"),
         F.lit(None).cast("timestamp_ntz").alias("advisories_presented_at"),
         F.lit(None).cast("timestamp_ntz").alias("advisory_acknowledged_at"),
     )
@@ -152,14 +154,30 @@ def generate_bookings(
     users: DataFrame,
     days: DataFrame | None = None,
     *,
-    limits: tuple[int, int] = (SMALLEST, LARGEST),
+    limits: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """``n`` bookings of the rooms by everyone who is not staff. Counts outside ``limits`` are refused."""
-    if not limits[0] <= n <= limits[1]:
+    """``n`` bookings of the rooms by everyone who is not staff.
+
+    Counts outside ``limits`` are refused, if given. Without ``days`` the calendar is as long
+    as the bookings need; with days that are too few it is an error, so no booking is lost.
+    """
+    if limits and not limits[0] <= n <= limits[1]:
         raise ValueError(f"51200: the number of bookings must be between {limits[0]} and {limits[1]}")
     requesters = users.where(F.col("role") != "FacilityStaff")
     numbers = spark.range(n).withColumnRenamed("id", "n")
-    return bookings_from(numbers, spaces, requesters, academic_days(spark) if days is None else days)
+    if n == 0:
+        needed = 0
+    else:
+        rooms = spaces.count()
+        if rooms == 0:
+            raise ValueError("bookings need rooms")
+        needed = (n - 1) // rooms // 2 + 1  # two slots a day in every room
+    if days is None:
+        # at least 200 of 365 days are taught
+        days = academic_days(spark, days=max(1200, needed * 365 // 200 + 365))
+    elif days.where(F.col("academic_day_number") < needed).count() < needed:
+        raise ValueError(f"{n} bookings need {needed} days")
+    return bookings_from(numbers, spaces, requesters, days)
 
 
 def _first_staff(users: DataFrame):
@@ -176,8 +194,8 @@ def generate_decisions(bookings: DataFrame, users: DataFrame) -> DataFrame:
         _first_staff(users).alias("decision_maker_user_id"),
         shift_minutes("submitted_at", 1440).alias("decision_time"),
         F.when(rejected, "Rejected").otherwise("Approved").alias("decision"),
-        F.lit("Generated benchmark decision.").alias("decision_note"),
-        F.when(rejected, F.lit("Generated benchmark policy rejection.")).alias("rejection_reason"),
+        F.lit("Made decision.").alias("decision_note"),
+        F.when(rejected, F.lit("Made refusal.")).alias("rejection_reason"),
     )
 
 
@@ -207,12 +225,12 @@ def generate_maintenance(spaces: DataFrame, bookings: DataFrame, users: DataFram
     finished = record(
         spaces,
         double - 1,
-        F.lit("Generated completed electrical inspection."),
+        F.lit("Made outage."),
         outage_start,
         shift_minutes(outage_start, 240),
         "Completed",
         "out-of-service",
-        F.lit("Generated inspection completed before benchmark horizon."),
+        F.lit("Over before the first booking."),
     )
     latest = (
         bookings.where(F.col("booking_status") == "Approved")
@@ -220,7 +238,7 @@ def generate_maintenance(spaces: DataFrame, bookings: DataFrame, users: DataFram
         .agg(F.max(F.struct("requested_start_time", "booking_id")).alias("last"))
     )
     text = F.concat(
-        F.lit("Generated active advisory for booking "), F.col("last.booking_id").cast("string"), F.lit(": projector degradation.")
+        F.lit("Made advisory on booking "), F.col("last.booking_id").cast("string"), F.lit(": take care.")
     )
     start = shift_minutes("last.requested_start_time", 15)
     advisory = record(latest, double, text, start, F.lit(None), "InProgress", "advisory", F.lit(None))

@@ -25,6 +25,8 @@ from roomgrid.schema import ACTIVE_MAINTENANCE, PERSONNEL
 
 # Fixed value: the code of the optional lead-time rule, next to the codes in use.
 LEAD_CODE = 51050
+# Stands for NULL in whole numbers on their way to Python, where a NULL would make doubles of the column.
+_NONE = -(1 << 63)
 
 COMMANDS = (
     "command_id bigint, kind string, at timestamp_ntz, booking_id bigint, decision_maker_user_id bigint, is_auto boolean, "
@@ -96,7 +98,13 @@ def prepare(commands: DataFrame, t, standing: DataFrame) -> DataFrame:
     )
 
 
-def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str]):
+def _without_null(df: DataFrame) -> DataFrame:
+    """Whole numbers with ``_NONE`` for NULL; codes with 0."""
+    marks = {"bigint": _NONE, "int": 0}
+    return df.select(*[F.coalesce(c, F.lit(marks[kind]).cast(kind)).alias(c) if kind in marks else c for c, kind in df.dtypes])
+
+
+def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str], none: int = _NONE):
     """The function for the workers; nested, so that it travels by value."""
     from bisect import bisect_left
 
@@ -104,7 +112,7 @@ def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str]):
         import pandas as pd
 
         def whole(value):
-            return None if pd.isna(value) else int(value)
+            return None if value == none else int(value)
 
         rows = [row for batch in batches for row in batch.to_dict("records")]
         rows.sort(key=lambda r: (r["at_second"], r["command_id"]))
@@ -119,7 +127,7 @@ def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str]):
             out.append((int(r["command_id"]), r["kind"], int(key[0]), booking, record, code, result, impacted))
 
         def change_level(r):
-            code, record, level = whole(r["code"]), whole(r["maintenance_id"]), r["new_level"]
+            code, record, level = int(r["code"]) or None, whole(r["maintenance_id"]), r["new_level"]
             if code is not None or level_of.get(record, r["record_level"]) == level:
                 return emit(r, code, "Unchanged" if code is None else None)
             level_of[record] = level
@@ -150,7 +158,7 @@ def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str]):
             if r["kind"] == "level":
                 change_level(r)
                 continue
-            code, booking = whole(r["code"]), whole(r["booking_id"])
+            code, booking = int(r["code"]) or None, whole(r["booking_id"])
             code = refusal(r, booking) if code is None else code
             if code is None:
                 at = bisect_left(starts, r["raw_from"])
@@ -176,8 +184,8 @@ def _decider(lead_rule: bool, lead_code: int, outcome_columns: list[str]):
                 [booking for _, booking in pairs],
             )
         )
-        frame = pd.DataFrame(out, columns=outcome_columns)
-        for c in ("booking_id", "maintenance_id", "code", "impacted_booking_id"):
+        frame = pd.DataFrame(out, columns=outcome_columns, dtype=object)
+        for c in ("command_id", "space_id", "booking_id", "maintenance_id", "code", "impacted_booking_id"):
             frame[c] = frame[c].astype("Int32" if c == "code" else "Int64")
         yield frame
 
@@ -192,7 +200,7 @@ def s01_stream_approvals(
     A level change reports the bookings that this stream has approved before; for those that
     were active when it started, run the changes through ``escalations`` as well.
     """
-    ready = prepare(commands, t, standing)
+    ready = _without_null(prepare(commands, t, standing))
     if lead_rule:
         ready = ready.withWatermark("at", delay)
     names = [c.split()[0] for c in OUTCOMES.split(", ")]

@@ -47,8 +47,7 @@ def apply_changes(t, changes: DataFrame, batch: int, folder: str) -> None:
     outcomes = cut_lineage(w08_change_impact_level(now, changes, order=_ORDER))
     made = w08_impact_history(now, outcomes, F.col("at"), order=_ORDER)
     conform(made, "impact_history").write.mode("overwrite").parquet(f"{folder}/impact_history/batch={batch}")
-    last = outcomes.agg(F.max("at")).scalar()
-    hit = w09_escalation_impacts(now, outcomes, last)
+    hit = w09_escalation_impacts(now, outcomes)
     conform(hit, "booking_impact").write.mode("overwrite").parquet(f"{folder}/booking_impact/batch={batch}")
 
 

@@ -220,7 +220,7 @@ def test_upgrade_is_repeatable(spark):
 def test_generated_year(spark):
     users, spaces = generate.generate_users(spark), generate.generate_spaces(spark, generate.space_count(100_000))
     with pytest.raises(ValueError, match="51200"):
-        generate.generate_bookings(spark, 99_999, spaces, users)
+        generate.generate_bookings(spark, 99_999, spaces, users, limits=generate.BENCHMARK)
     made = cut_lineage(generate.generate_bookings(spark, 100_000, spaces, users))
     shares = {r.booking_status: r["count"] for r in made.groupBy("booking_status").count().collect()}
     assert shares == {"Approved": 70000, "Completed": 10000, "NoShow": 5000, "Cancelled": 8000, "Rejected": 5000, "Pending": 2000}
