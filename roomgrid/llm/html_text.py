@@ -28,6 +28,8 @@ from roomgrid.llm.common import stored, table
 MIN_PAGES = 5
 MIN_SHARE = 0.1
 FEW_WORDS = 40
+#: A template of at most so many digests goes to every task (a few megabytes); a larger one is joined.
+BROADCAST_ROWS = 100_000
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']|"[^"]*"|'[^']*')*+)>""", re.S
@@ -245,7 +247,8 @@ def host_of(url: Column) -> Column:
 
 
 def extract(
-    df: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
+    df: DataFrame, page: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per row of ``df``: its id, url, ``text`` and ``n_chars`` in code points.
 
@@ -267,9 +270,11 @@ def extract(
     elements = stored(parsed.select("host", "key", F.explode("digests").alias("digest")), "elements").distinct()
     sizes = keyed.where("html is not null").select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     counts = elements.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    template = counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "digest")
-    # a page holds few elements of its template: at most all of its own
-    own = elements.join(template, ["host", "digest"]).groupBy("host", "key").agg(F.collect_set("digest").alias("template"))
+    template = stored(counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "digest"), "template")
+    if template.limit(broadcast_rows + 1).count() <= broadcast_rows:  # pages stay where they are
+        by, own = ["host"], F.broadcast(template.groupBy("host").agg(F.collect_set("digest").alias("template")))
+    else:  # each page meets only those of the template that are its own
+        by, own = ["host", "key"], elements.join(template, ["host", "digest"]).groupBy("host", "key").agg(F.collect_set("digest").alias("template"))
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,7 +283,7 @@ def extract(
             yield pa.RecordBatch.from_arrays(columns, ["page", "url", "text", "n_chars"])
 
     kinds = dict(pages.dtypes)
-    joined = keyed.join(own, ["host", "key"], "left").select("page", "url", "html", "template")
+    joined = keyed.join(own, by, "left").select("page", "url", "html", "template")
     made = joined.mapInArrow(texts, f"page {kinds['page']}, url {kinds['url']}, text string, n_chars long")
     return stored(made, "texts").withColumnsRenamed({"page": page, "url": url})
 

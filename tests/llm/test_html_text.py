@@ -76,7 +76,8 @@ def _site(rng, i):
     return paragraphs, top, widget, body
 
 
-def test_templates_without_names(spark):
+@pytest.mark.parametrize("broadcast_rows", [H.BROADCAST_ROWS, 0])
+def test_templates_without_names(spark, broadcast_rows):
     """Pages of one host share parts that no tag or class gives away."""
     rng = random.Random(4)
     rows, want = [], {}
@@ -89,7 +90,7 @@ def test_templates_without_names(spark):
     paragraphs, top, widget, body = _site(rng, 1)
     rows.append((100, "http://other.example.org/", f"<body>{body}{widget}</body>"))
     want[100] = " ".join(paragraphs) + " Was this page any good? yes no"
-    got = {r["page_id"]: r for r in H.extract(_frame(spark, rows)).collect()}
+    got = {r["page_id"]: r for r in H.extract(_frame(spark, rows), broadcast_rows=broadcast_rows).collect()}
     drop = lambda t: " ".join(w for w in t.split() if w not in "abc")
     assert {k: drop(r["text"]) for k, r in got.items()} == want
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
