@@ -278,7 +278,8 @@ def extract(
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [Page(x).text(frozenset(t or ())) for x, t in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())]
+            # one row's template at a time is turned into numbers
+            found = [Page(x.as_py()).text(frozenset(t.as_py() or ())) for x, t in zip(batch.column("html"), batch.column("template"))]
             columns = [batch.column("page"), batch.column("url"), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["page", "url", "text", "n_chars"])
 
