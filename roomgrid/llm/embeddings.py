@@ -3,11 +3,14 @@
 1. Equal vectors are one node. A pass hashes each node to the signs of its products with
    random directions, put together to one number, most significant direction first, and
    sorts all nodes by it. Near vectors agree in most signs, so in some passes they agree in
-   the leading ones and lie near each other.
+   the leading ones and lie near each other. A common direction would make all signs alike,
+   so a mean is taken off first: in even passes that of all vectors, in odd ones that of the
+   node's cell, which is the nearest of some nodes picked by hash; a cell sorts by itself.
 2. A node is compared with the next ``window`` nodes in the order, in blocks of the sorted
-   order of bounded size; each block also gets the head of the next one. Every pass has its
-   own directions. Pairs with a cosine of ``threshold`` or more (double precision) are kept,
-   and the union of all passes gives components.
+   order of bounded size; each block also gets the head of the next one. Of the pairs with a
+   cosine of ``threshold`` or more (double precision) a block gives out those that join what
+   was apart. Rounds of passes, each with its own directions and cells, are added until a
+   whole round joins nothing any more.
 3. A window is bounded, so a dense group has more pairs than its windows show. What the
    windows leave out is filled in exactly inside each component: members within half the
    threshold angle of the component's mean are all linked with each other, by the triangle
@@ -29,7 +32,8 @@ from roomgrid.llm.common import components, stored, table
 
 PASSES = 12
 BITS = 48
-WINDOW = 32
+WINDOW = 512
+_CELLS = 64  # of a round, about
 THRESHOLD = 0.95
 _BLOCK = 2048
 _SEED = 20240229
@@ -52,42 +56,130 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.list_(pa.float64()))], ["node", "u"])
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], passes: int, bits: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """A row per node and pass with the node's number in the pass's order."""
+def _cells(u: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return (u @ pivots.T).argmax(axis=1)
+
+
+def _sums(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """The number and the sum of a task's vectors in each cell."""
+    total: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        dims = np.array(batch.column("dim").to_pylist())
+        for dim in set(dims.tolist()):
+            m = _matrix(batch.column("u").take(pa.array(np.flatnonzero(dims == dim))))
+            cell = _cells(m, pivots[dim])
+            for c in set(cell.tolist()):
+                n, x = total.get((dim, c), (0, 0.0))
+                total[dim, c] = (n + int((cell == c).sum()), x + m[cell == c].sum(axis=0))
+    columns = [[k[0] for k in total], [k[1] for k in total], [n for n, _ in total.values()], [x.tolist() for _, x in total.values()]]
+    kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64())]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["dim", "cell", "n", "x"])
+
+
+def _centres(nodes: DataFrame, seed: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per length of vectors: the nodes its cells are nearest to, and the cells' means, that of all vectors last."""
+    counts = {r["dim"]: r["count"] for r in nodes.groupBy("dim").count().collect()}  # a row per length
+    share = F.lit(1.0)
+    for dim, n in counts.items():
+        share = F.when(F.col("dim") == dim, _CELLS / n).otherwise(share)
+    number = F.xxhash64("node", F.lit(seed)).bitwiseAND((1 << 52) - 1).cast("double") / float(1 << 52)
+    pivots: dict[int, list] = {}
+    for r in nodes.where(number < share).select("dim", "u").collect():
+        pivots.setdefault(r["dim"], []).append(r["u"])
+    fixed = {dim: np.array(pivots.get(dim, [[0.0] * dim])) for dim in counts}
+    sums: dict[tuple[int, int], list] = {}
+    for r in nodes.select("dim", "u").mapInArrow(lambda batches: _sums(batches, fixed), "dim int, cell int, n long, x array<double>").collect():
+        n, x = sums.get((r["dim"], r["cell"]), (0, 0.0))
+        sums[r["dim"], r["cell"]] = (n + r["n"], x + np.array(r["x"]))
+    found = {}
+    for dim, n in counts.items():
+        means = np.zeros((len(fixed[dim]) + 1, dim))
+        for (d, c), (k, x) in sums.items():
+            if d == dim:
+                # a cell of a few vectors has no common direction but its own
+                means[c] = x / k if k >= _CELLS else 0.0
+                means[-1] += x / n
+        found[dim] = (fixed[dim], means)
+    return found
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], passes: int, bits: int, seed: int, centres: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """A row per node and pass with the node's cell and number in the pass's order."""
     directions: dict[int, np.ndarray] = {}
     weights = 1 << np.arange(bits - 1, -1, -1, dtype=np.int64)
+    odd = np.arange(passes) % 2 == 1
     for batch in batches:
         dims = np.array(batch.column("dim").to_pylist())
         keys = np.zeros((batch.num_rows, passes), dtype=np.int64)
+        cells = np.full((batch.num_rows, passes), -1, dtype=np.int32)
         for dim in set(dims.tolist()):
+            pivots, means = centres[dim]
             if dim not in directions:
                 directions[dim] = np.random.default_rng([seed, dim]).standard_normal((dim, passes * bits))
             at = np.flatnonzero(dims == dim)
             m = _matrix(batch.column("u").take(pa.array(at)))
-            keys[at] = ((m @ directions[dim] > 0).reshape(len(at), passes, bits) * weights).sum(axis=2)
-        node, u = (np.repeat(np.arange(batch.num_rows), passes), None)
+            cell = _cells(m, pivots)
+            product = (m @ directions[dim]).reshape(len(at), passes, bits)
+            off = (means @ directions[dim]).reshape(len(means), passes, bits)
+            signs = product > np.where(odd[None, :, None], off[cell], off[-1][None])
+            keys[at] = (signs * weights).sum(axis=2)
+            cells[at] = np.where(odd[None], cell[:, None], -1)
+        node = pa.array(np.repeat(np.arange(batch.num_rows), passes))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("node").take(pa.array(node)), batch.column("dim").take(pa.array(node)), pa.array(np.tile(np.arange(passes, dtype=np.int32), batch.num_rows)), pa.array(keys.ravel())],
-            ["node", "dim", "pass", "key"],
+            [batch.column("node").take(node), batch.column("dim").take(node), pa.array(np.tile(np.arange(passes, dtype=np.int32), batch.num_rows)), pa.array(cells.ravel()), pa.array(keys.ravel())],
+            ["node", "dim", "pass", "cell", "key"],
         )
 
 
 def _near_in_block(rows: pa.Table, window: int, threshold: float) -> pa.Table:
-    """Pairs of a block: each row with the next ``window`` ones, if the first of both is the block's own."""
+    """Pairs of a block that join components: each own row with the next ``window`` ones."""
     rows = rows.sort_by("place")
     node, own, u = rows.column("node").to_numpy(), rows.column("own").to_numpy(), _matrix(rows.column("u").combine_chunks())
+    label = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
     a, b = [], []
     for at in range(0, len(node), 256):
         to = min(at + 256 + window, len(node))
-        s = u[at : at + 256] @ u[at:to].T
-        i, j = np.nonzero(s >= threshold)
-        fits = (j > i) & (j - i <= window) & own[at + i]
-        a.append(node[at + i[fits]])
-        b.append(node[at + j[fits]])
+        near = u[at : at + 256] @ u[at:to].T >= threshold
+        ahead = np.arange(to - at)[None] - np.arange(len(near))[:, None]
+        near &= (ahead > 0) & (ahead <= window) & own[at : at + 256, None] & (label[at : at + 256, None] != label[None, at:to])
+        for k in np.flatnonzero(near.any(axis=1)):
+            with_ = at + np.flatnonzero(near[k])
+            others, first = np.unique(label[with_], return_index=True)
+            first = first[others != label[at + k]]
+            if len(first):
+                a.append(np.full(len(first), node[at + k]))
+                b.append(node[with_[first]])
+                label[np.isin(label, others)] = label[at + k]
     a, b = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (a, b))
     return pa.table({"a": pa.array(np.maximum(a, b), pa.int64()), "b": pa.array(np.minimum(a, b), pa.int64())})
 
 
+def _joining(nodes: DataFrame, found: DataFrame | None, threshold: float, passes: int, bits: int, window: int, seed: int) -> DataFrame:
+    """Links (a, b) of one round of passes between nodes that are not in one component of ``found`` yet."""
+    centres = _centres(nodes, seed)
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = nodes.sparkSession.sparkContext.broadcast(centres)
+    keyed = nodes.select("node", "dim", "u").mapInArrow(lambda batches: _keyed(batches, passes, bits, seed, shared.value), "node long, dim int, pass int, cell int, key long")
+    # the order of each pass as places: sorted ranges are written, so a place stays what it is
+    order = ["dim", "pass", "cell", "key", "node"]
+    ranged = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered = stored(ranged.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")), "order", 1 << 14)
+    upto = {r["part"]: r["n"] for r in ordered.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per task of the sort
+    starts, total = [], 0
+    for k in range(max(upto, default=-1) + 1):
+        starts.append(total)
+        total += upto.get(k, 0)
+    begin = F.array(*[F.lit(x).cast("long") for x in starts or [0]])
+    of = nodes.select("node", "u", F.col("node").alias("component")) if found is None else nodes.join(found, "node", "left").select("node", "u", F.coalesce("component", "node").alias("component"))
+    placed = ordered.select("node", "dim", "pass", (begin[F.col("part")] + F.col("at")).alias("place")).join(of, "node")
+    block = F.floor(F.col("place") / _BLOCK)
+    window = min(window, _BLOCK)
+    halo = (F.col("place") % _BLOCK < window) & (F.col("place") >= _BLOCK)
+    shares = F.explode(F.when(halo, F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct((block - 1).alias("block"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(block.alias("block"), F.lit(True).alias("own")))))
+    blocks = placed.select("node", "component", "dim", "pass", "place", "u", shares.alias("s")).select("node", "component", "dim", "pass", "place", "u", "s.block", "s.own")
+    return blocks.groupBy("block", "dim", "pass").applyInArrow(lambda t: _near_in_block(t, window, threshold), "a long, b long")
+
+
 def _counts_in_blocks(rows: pa.Table, threshold: float) -> pa.Table:
     """For the rows of ``left`` (not central): how many copies of the ``right`` rows are linked with each, and back."""
     left, right = (rows.filter(rows.column("left") if side else pa.compute.invert(rows.column("left"))) for side in (True, False))
@@ -136,24 +228,16 @@ def near_duplicates(
     units = copies.select("node", "v").mapInArrow(_units, "node long, u array<double>")
     nodes = stored(units.join(copies.select("node", "copies", "least"), "node").withColumn("dim", F.size("u")), "nodes", 1024)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = nodes.select("node", "dim", "u").mapInArrow(lambda batches: _keyed(batches, passes, bits, seed), "node long, dim int, pass int, key long")
-    # the order of each pass as places: sorted ranges are written, so a place stays what it is
-    ranged = keyed.repartitionByRange(parts, "dim", "pass", "key", "node").sortWithinPartitions("dim", "pass", "key", "node")
-    ordered = stored(ranged.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at")), "order", 1 << 14)
-    upto = {r["part"]: r["n"] for r in ordered.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per task of the sort
-    starts, total = [], 0
-    for k in range(max(upto, default=-1) + 1):
-        starts.append(total)
-        total += upto.get(k, 0)
-    begin = F.array(*[F.lit(x).cast("long") for x in starts or [0]])
-    placed = ordered.select("node", "dim", "pass", (begin[F.col("part")] + F.col("at")).alias("place")).join(nodes.select("node", "u"), "node")
-    block = F.floor(F.col("place") / _BLOCK)
-    halo = (F.col("place") % _BLOCK < window) & (F.col("place") >= _BLOCK)
-    shares = F.explode(F.when(halo, F.array(F.struct(block.alias("block"), F.lit(True).alias("own")), F.struct((block - 1).alias("block"), F.lit(False).alias("own")))).otherwise(F.array(F.struct(block.alias("block"), F.lit(True).alias("own")))))
-    blocks = placed.select("node", "dim", "pass", "place", "u", shares.alias("s")).select("node", "dim", "pass", "place", "u", "s.block", "s.own")
-    pairs = blocks.groupBy("block", "dim", "pass").applyInArrow(lambda t: _near_in_block(t, window, threshold), "a long, b long")
-    found = components(pairs)
+    # a round whose links join nothing ends it; every other one leaves fewer components
+    links = stored(_joining(nodes, None, threshold, passes, bits, window, seed), "pairs")
+    found, number = stored(components(links), "found"), 0
+    while True:
+        number += 1
+        more = stored(_joining(nodes, found, threshold, passes, bits, window, seed + number), "pairs")
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        found = stored(components(links), "found")
 
     members = stored(nodes.join(found, "node"), "members", 1024)  # those that have a link
     sums = members.select("component", F.posexplode("u").alias("k", "x")).groupBy("component", "k").agg(F.sum("x").alias("x"))
@@ -170,9 +254,9 @@ def near_duplicates(
     some = row.where("not central").select("component", F.col("i"), F.explode(F.sequence(F.lit(0).cast("long"), rights - 1)).alias("j"), "node", "copies", "u", "central", F.lit(True).alias("left"))
     every = row.select("component", F.explode(F.sequence(F.lit(0).cast("long"), lefts - 1)).alias("i"), F.col("j"), "node", "copies", "u", "central", F.lit(False).alias("left"))
     met = some.unionByName(every).groupBy("component", "i", "j").applyInArrow(lambda t: _counts_in_blocks(t, threshold), "node long, n long")
-    links = counted.unionByName(met).groupBy("node").agg(F.sum("n").alias("n"))
+    linked_with = counted.unionByName(met).groupBy("node").agg(F.sum("n").alias("n"))
 
-    named = nodes.select("node", "copies", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(links, "node", "left")
+    named = nodes.select("node", "copies", "least").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(linked_with, "node", "left")
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     answer = named.join(ids, "component").select("node", "component_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).cast("long").alias("n_links"))
     linked = usable.select("vec", "node").join(answer, "node").select("vec", "n_links", "component_id")
