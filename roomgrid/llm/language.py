@@ -5,7 +5,8 @@ triples of characters with the word's ends marked (so its affixes too), its firs
 three characters with their end, and the word itself (a lexicon). Learned transition scores
 join neighbouring words. Forward-backward gives every word a distribution over the languages,
 in the light of the whole text, so a word in a passage of another language is labelled by its
-surroundings; a text's language has the largest share of them.
+surroundings; a text's language has the largest share of them. A word of more than 80
+letters, as in scripts without blanks, counts as consecutive pieces of 8 letters.
 
 Learning takes a bounded sample (``per_language`` texts, ``words_per_text`` words each, both
 parameters), on the driver. Its sequences are spans of texts of different languages, so that
@@ -32,6 +33,8 @@ UNDETERMINED = "und"
 _BLOCK = 64  # words that are scanned one after another; blocks run side by side
 _WORDS = 100_000  # words that are labelled together
 _LONGEST = 1_000_000  # a longer text is read as several sequences
+_LONG_WORD = 80  # letters; a longer word is text without blanks
+_PIECE = 8  # letters of its pieces
 _CACHE = 300_000  # words whose scores a task keeps
 
 
@@ -42,7 +45,21 @@ def core(word: str) -> str:
         a += 1
     while b > a and not word[b - 1].isalpha():
         b -= 1
-    return word[a:b].lower()[:80]
+    return word[a:b].lower()
+
+
+def pieces(words: list[str]) -> list[str]:
+    """The words, those of more than ``_LONG_WORD`` letters in consecutive pieces of ``_PIECE``."""
+    if max(map(len, words), default=0) <= _LONG_WORD:
+        return words
+    out: list[str] = []
+    for word in words:
+        inner = core(word) if len(word) > _LONG_WORD else word
+        if len(inner) > _LONG_WORD:
+            out += [inner[k : k + _PIECE] for k in range(0, len(inner), _PIECE)]
+        else:
+            out.append(inner)
+    return out
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +159,7 @@ def train(texts: list[tuple[str, str]], words_per_text: int, epochs: int = 5, se
     known: dict[str, int] = {}
     spans: list[tuple[int, list[int]]] = []
     for text, lang in sorted(texts):
-        words = [w for w in map(core, (text or "").split()) if w]
+        words = [w for w in map(core, pieces((text or "").split())) if w]
         skip = int(rng.integers(0, max(1, len(words) - words_per_text + 1)))
         ids = [known.setdefault(w, len(known)) for w in words[skip : skip + words_per_text]]
         at = 0
@@ -255,7 +272,7 @@ class Labeller:
         """(language, share of the words) of each text."""
         if not self.field.languages:
             return [(UNDETERMINED, 0.0)] * len(texts)
-        split = [(text or "").split() for text in texts]
+        split = [pieces((text or "").split()) for text in texts]
         out: list[tuple[str, float]] = []
         at = 0
         while at < len(split):
