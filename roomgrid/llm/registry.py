@@ -9,8 +9,11 @@ from roomgrid.llm.jaccard import OP3_SQL, op3_ngram_jaccard_join
 from roomgrid.llm.language import op9_language_id
 from roomgrid.llm.lines import OP2_SQL, op2_line_dedup
 from roomgrid.llm.mixing import OP5_SQL, op5_source_mixing
+from roomgrid.llm.nearest import op11_nearest_neighbours
 from roomgrid.llm.packing import op7_packing
+from roomgrid.llm.periodic import op13_periodic_runs
 from roomgrid.llm.quality import OP8_SQL, op8_quality_rules
+from roomgrid.llm.repair import op12_conversation_repair
 from roomgrid.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
