@@ -5,12 +5,16 @@ Two sets of s and l shingles with a Jaccard similarity of T percent or more diff
 that partners lie in the same or in adjacent bands; a *class* is a band with the one below,
 and H is the largest possible difference in it.
 
-*Universe partition.* In a class, hashes deal the elements to p + q segments with
-``p + 2q = H + 1``. If no p segment were equal and every q segment differed in two elements
-or more, the sets would differ in more than H elements. So they share one of: a p segment, a
-q segment, or a q segment but for one element. Each set is indexed under its p and q segments
-and under the q segments with one element deleted. ``allocation`` picks q for a class by cost:
-deletions need a key per element, but fewer segments hold more elements each and collide less.
+*Universe partition.* In a class, hashes deal the elements to segments; each segment has a
+tolerance, and the segments' tolerances, one more each, sum to more than H. So two similar sets
+have a segment in which they differ in no more elements than it tolerates. A segment of
+tolerance d is cut into parts, and every subset of all but d parts is a key: one subset holds
+none of the differences. Or, for a tolerance of one, the segment and what is left of it
+without any one of its elements are keys (one-deletion neighbours). ``allocation`` chooses by
+cost: more tolerance means fewer, larger segments and keys that hold more elements, so that
+unrelated sets share them less (mostly keys without any element are shared), but more keys for
+a set. What pairs cost grows with the square of the number of sets, so large tables get more
+tolerance.
 
 *Candidates.* The sets that share a key are a list. All of them are compared with its first;
 then only those of a list that are still in different components are compared with each
@@ -26,7 +30,11 @@ the result is not exact.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +47,10 @@ from roomgrid.llm.shingles import chunks, mixed, shingle_sets, text_bytes
 _U = np.uint64
 _BUCKETS = 2048
 _BLOCK = 2048  # sets of a list that meet others of the list in one step
-SHARED_ELEMENTS = 0.02  # of two unrelated sets; only costs depend on it
+# Only costs depend on these: the share of elements that unrelated sets have in common, and
+# how many keys a pair to be compared costs.
+SHARED_ELEMENTS, PAIR_COST = 0.1, 16
+_MOST_PARTS, _MOST_SUBSETS = 9, 126
 
 
 def size_bands(percent: int, largest: int) -> np.ndarray:
@@ -55,20 +66,51 @@ def most_different(percent: int, bound: int) -> int:
     return 2 * bound * (100 - percent) // (100 + percent)
 
 
-def allocation(percent: int, bound: int, sets: int) -> tuple[int, int]:
-    """(p, q) of a class, of least cost if ``sets`` sets of ``bound`` elements are in it.
+class Scheme(NamedTuple):
+    """``segments`` of ``parts`` parts, of which ``drop`` may differ; the last ``deletions`` segments tolerate a deletion instead."""
 
-    The cost is the keys of all sets, plus the pairs of unrelated sets that share a segment.
+    segments: int = 0
+    parts: int = 1
+    drop: int = 0
+    deletions: int = 0
+
+    def tolerated(self) -> int:
+        """Sets that differ in no more elements share a key."""
+        return (self.segments - self.deletions) * (self.drop + 1) + 2 * self.deletions - 1
+
+    def keys(self, elements: float) -> float:
+        """Keys of a set, about."""
+        each = elements / self.segments
+        return (self.segments - self.deletions) * math.comb(self.parts, self.drop) + self.deletions * (1 + each)
+
+    def shared(self, elements: float) -> float:
+        """Keys that two unrelated sets share, about: those for which either set has only common elements."""
+        each = 2 * (1 - SHARED_ELEMENTS) * elements / self.segments  # elements of a segment that are in one set only; Poisson
+        whole = (self.segments - self.deletions) * math.comb(self.parts, self.drop) * math.exp(-each * (self.parts - self.drop) / self.parts)
+        return whole + self.deletions * math.exp(-each) * (1 + each / 2) ** 2
+
+
+def schemes(different: int) -> list[Scheme]:
+    """All ways looked at to find sets that differ in ``different`` elements."""
+    found = [Scheme(different + 1 - (different + 1) // 2, deletions=(different + 1) // 2)]
+    for drop in range(0, min(different, _MOST_PARTS - 2) + 1):
+        for parts in range(drop + 1, _MOST_PARTS + 1) if drop else [1]:
+            if math.comb(parts, drop) <= _MOST_SUBSETS:
+                found.append(Scheme(-(-(different + 1) // (drop + 1)), parts, drop))
+    return found
+
+
+@lru_cache(4096)
+def allocation(percent: int, bound: int, sets: int) -> Scheme:
+    """The scheme of a class of least cost if ``sets`` sets of ``bound`` elements are in it.
+
+    The cost is the keys of all sets, plus the pairs of unrelated sets that share one.
     """
-    different = most_different(percent, bound)
 
-    def cost(q: int) -> float:
-        p = different + 1 - 2 * q
-        each = bound / (p + q)
-        return sets * (p + q * (1 + each)) + 0.5 * sets * sets * (p * SHARED_ELEMENTS**each + q * (1 + each) * SHARED_ELEMENTS ** max(each - 1, 0))
+    def cost(scheme: Scheme) -> float:
+        return sets * scheme.keys(bound) + PAIR_COST * 0.5 * sets * sets * scheme.shared(bound)
 
-    q = min(range(min(4, (different + 1) // 2) + 1), key=cost)
-    return different + 1 - 2 * q, q
+    return min(schemes(most_different(percent, bound)), key=cost)
 
 
 def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
@@ -78,35 +120,42 @@ def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return low + (high << _U(32))
 
 
-def set_keys(sets: np.ndarray, first: np.ndarray, bounds: np.ndarray, plan: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets and the set of each key. ``plan[c]``: (p, q) of class c; (0, 0): no keys."""
+def set_keys(sets: np.ndarray, first: np.ndarray, bounds: np.ndarray, plan: list[Scheme]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all sets and the set of each key. ``plan[c]``: scheme of class c; no segments: no keys."""
     n = len(first) - 1
     size = np.diff(first)
     owner = np.repeat(np.arange(n), size)
     band = np.searchsorted(bounds, size)
-    p_of, q_of = (np.array([x[k] for x in plan], dtype=np.int64) for k in (0, 1))
-    keys, owners = [], []
     value, place = mixed(sets + _U(0xA0761D6478BD642F)), mixed(sets + _U(0xE7037ED1A0B428DB))
+    kinds = sorted({scheme[1:3] for scheme in plan})
+    kind_of = np.array([kinds.index(scheme[1:3]) for scheme in plan])
+    segments_of, deletions_of = (np.array([scheme[k] for scheme in plan], dtype=np.int64) for k in (0, 3))
+    keys, owners = [], []
     for up in (0, 1):
         cls = band + up
-        parts = (p_of + q_of)[cls] * (size > 0)
-        base = np.concatenate([[0], np.cumsum(parts)])
-        if not base[-1]:
-            continue
-        used = parts[owner] > 0
-        element, mine = np.flatnonzero(used), owner[used]
-        segment = (place[element] % parts[mine].astype(np.uint64)).astype(np.int64)
-        at = base[mine] + segment
-        total = _sums(value[element], at, int(base[-1]))
-        of = np.repeat(np.arange(n), parts)
-        number = np.arange(int(base[-1])) - base[of]
-        salt = mixed((cls[of].astype(np.uint64) << _U(32)) + number.astype(np.uint64))
-        keys.append(mixed(total + salt))
-        owners.append(of)
-        deleted = segment >= p_of[cls[mine]]
-        if deleted.any():
-            keys.append(mixed(total[at[deleted]] - value[element[deleted]] + salt[at[deleted]]))
-            owners.append(mine[deleted])
+        for kind in np.unique(kind_of[cls]).tolist():
+            parts, drop = kinds[kind]
+            many = segments_of[cls] * ((size > 0) & (kind_of[cls] == kind))
+            base = np.concatenate([[0], np.cumsum(many)])
+            if not base[-1]:
+                continue
+            used = many[owner] > 0
+            element, mine = np.flatnonzero(used), owner[used]
+            segment = ((place[element] >> _U(24)) % many[mine].astype(np.uint64)).astype(np.int64)
+            at = base[mine] + segment
+            part = ((place[element] & _U(0xFFFFFF)) % _U(parts)).astype(np.int64)
+            total = _sums(value[element], at * parts + part, int(base[-1]) * parts).reshape(-1, parts)
+            of = np.repeat(np.arange(n), many)
+            number = np.arange(int(base[-1])) - base[of]
+            salt = mixed((cls[of].astype(np.uint64) << _U(32)) + number.astype(np.uint64))
+            plain = number < segments_of[cls[of]] - deletions_of[cls[of]]
+            for k, subset in enumerate(combinations(range(parts), parts - drop)):
+                keys.append(mixed(total[:, subset].sum(axis=1, dtype=np.uint64) + salt + _U(k)))
+                owners.append(of)
+            deleted = ~plain[at]
+            if deleted.any():
+                keys.append(mixed(total[at[deleted], 0] - value[element[deleted]] + salt[at[deleted]]))
+                owners.append(mine[deleted])
     if not keys:
         return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
     keys, owners = np.concatenate(keys), np.concatenate(owners)
@@ -246,20 +295,31 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(fits)) for k in ("x", "y")], ["a", "b"])
 
 
+def _parities(sets: np.ndarray, first: np.ndarray) -> pa.Array:
+    """Sketches: the parities of the elements in the buckets."""
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    bucket = mixed(sets + _U(0x589965CC75374CC3)) % _U(_BUCKETS)
+    bits = np.zeros((len(first) - 1, _BUCKETS // 64), dtype=np.uint64)
+    np.bitwise_xor.at(bits, (owner, (bucket >> _U(6)).astype(np.int64)), _U(1) << (bucket & _U(63)))
+    return pa.array([b.tobytes() for b in bits], pa.binary())
+
+
 class _Join:
     """The stored tables of one join."""
 
     def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
-        """``docs``: (row, doc, text); ``row`` tells different rows apart where ``doc`` does not."""
+        """``docs``: (doc, h, text); ``h`` tells texts of one id apart."""
         self.docs, self.size, self.percent = docs, size, percent
-        self.sizes = stored(docs.select("doc", "text").mapInArrow(self._sizes(), "doc long, n long, node long"), "sets")
+        self.sizes = stored(docs.mapInArrow(self._sizes(), "doc long, h long, n long, node long, bits binary"), "sets")
 
     def _sizes(self):
         size = self.size
 
         def run(batches):
             for rows, sets, first in _blocks(batches, size):
-                yield pa.RecordBatch.from_arrays([rows.column("doc"), pa.array(np.diff(first)), _longs(_node(sets, first))], ["doc", "n", "node"])
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column("doc"), rows.column("h"), pa.array(np.diff(first)), _longs(_node(sets, first)), _parities(sets, first)], ["doc", "h", "n", "node", "bits"]
+                )
 
         return run
 
@@ -270,11 +330,11 @@ class _Join:
         bounds = size_bands(percent, largest)
         # one row per size band: about fifty for any table
         upper = F.array(*[F.lit(int(b)) for b in bounds])
-        counts = dict(self.sizes.where("n > 0").select(F.size(F.filter(upper, lambda b: b < F.col("n"))).alias("band")).groupBy("band").count().collect())
+        counts = dict(self.sizes.where("n > 0").select("node", "n").distinct().select(F.size(F.filter(upper, lambda b: b < F.col("n"))).alias("band")).groupBy("band").count().collect())
         plan = []
         for c, bound in enumerate([*bounds.tolist(), bounds.tolist()[-1] * 100 // percent + 1]):
             some = counts.get(c, 0) + counts.get(c - 1, 0)
-            plan.append(allocation(percent, bound, some) if some > 1 and most_different(percent, bound) else (0, 0))
+            plan.append(allocation(percent, bound, some) if some > 1 and most_different(percent, bound) else Scheme())
 
         def run(batches):
             for rows, sets, first in _blocks(batches, size):
@@ -282,74 +342,69 @@ class _Join:
                 keys, owner = set_keys(sets, first, bounds, plan)
                 yield pa.RecordBatch.from_arrays([_longs(keys), _longs(node[owner])], ["key", "node"])
 
-        # one row of equal sets stands for all: leave out the ids that have copies of others only
-        again = self.sizes.where("n > 0").groupBy("node").agg(F.count("*").alias("k"), F.min("doc").alias("least")).where("k > 1")
-        copy = F.coalesce((F.col("doc") != F.col("least")) | (F.col("doc").isNull() & F.col("least").isNotNull()), F.lit(False))
-        copies = self.sizes.join(again, "node", "left").groupBy("doc").agg(F.every(copy).alias("all")).where("all").select(F.col("doc").alias("other"))
-        docs = self.docs.join(copies, F.col("doc").eqNullSafe(F.col("other")), "left_anti").select("doc", "text")
+        copies = self.rows_of(None)
+        docs = self.docs.join(copies, F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_anti").select("doc", "text")
         keyed = docs.mapInArrow(run, "key long, node long")
         parts = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         found = keyed.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, first long")
         return stored(found, "lists", batch_rows=1 << 16)
 
-    def sets_of(self, nodes: DataFrame) -> DataFrame:
-        """(node, n, bits, elements) of the given nodes, from one document each."""
+    def rows_of(self, nodes: DataFrame | None) -> DataFrame:
+        """(d, k): id and text hash of the first row of each node; without ``nodes`` those of all other rows of nodes."""
+        name = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "h")
+        rows = self.sizes.where("n > 0")
+        first = F.min(name).alias("first")
+        if nodes is not None:
+            found = rows.join(nodes, "node", "left_semi").groupBy("node").agg(first)
+            return found.select(F.col("first.doc").alias("d"), F.col("first.h").alias("k"))
+        again = rows.groupBy("node").agg(first, F.count("*").alias("times")).where("times > 1")
+        return rows.join(again, "node").where(name != F.col("first")).select(F.col("doc").alias("d"), F.col("h").alias("k")).distinct()
+
+    def sketches(self, lists: DataFrame) -> DataFrame:
+        """(node, n, bits) of the nodes of lists."""
+        listed = self.sizes.where("n > 0").join(lists.select("node").distinct(), "node", "left_semi")
+        return stored(listed.groupBy("node").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits")), "sketches")
+
+    def elements(self, pairs: DataFrame) -> DataFrame:
+        """(node, elements) of the nodes of pairs (x, y), from one text each."""
         size = self.size
-        one = self.sizes.where("n > 0").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc").alias("d"))
+        nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
 
         def run(batches):
             for rows, sets, first in _blocks(batches, size):
-                owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-                bucket = mixed(sets + _U(0x589965CC75374CC3)) % _U(_BUCKETS)
-                bits = np.zeros((len(first) - 1, _BUCKETS // 64), dtype=np.uint64)
-                np.bitwise_xor.at(bits, (owner, (bucket >> _U(6)).astype(np.int64)), _U(1) << (bucket & _U(63)))
-                order = np.lexsort((sets.view(np.int64), owner))
-                yield pa.RecordBatch.from_arrays(
-                    [_longs(_node(sets, first)), pa.array(np.diff(first)), pa.array([b.tobytes() for b in bits], pa.binary()), _lists(sets[order], first)],
-                    ["node", "n", "bits", "elements"],
-                )
+                order = np.lexsort((sets.view(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(first))))
+                yield pa.RecordBatch.from_arrays([_longs(_node(sets, first)), _lists(sets[order], first)], ["node", "elements"])
 
-        wanted = self.docs.join(one, F.col("doc").eqNullSafe(F.col("d")), "left_semi").select("doc", "text")
-        made = wanted.mapInArrow(run, "node long, n long, bits binary, elements array<long>").join(nodes, "node", "left_semi")
-        once = made.groupBy("node").agg(*[F.any_value(c).alias(c) for c in ("n", "bits", "elements")])
-        return stored(once, "elements")
+        wanted = self.docs.join(self.rows_of(nodes), F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_semi").select("doc", "text")
+        return stored(wanted.mapInArrow(run, "node long, elements array<long>").dropDuplicates(["node"]), "elements")
 
-    def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def linked(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
         """The pairs (x, y) that are similar, as (a, b)."""
         percent = self.percent
-        side = lambda k: sets.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"b{k}"))
+        side = lambda k: sketches.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"b{k}"))
         sized = pairs.join(side("x"), "x").join(side("y"), "y")
         sized = sized.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")).select("x", "y", "nx", "ny", "bx", "by")
         near = stored(sized.mapInArrow(lambda batches: _near_enough(batches, percent), "x long, y long"), "near")
+        sets = self.elements(near)
         whole = lambda k: sets.select(F.col("node").alias(k), F.col("elements").alias(f"s{k}"))
         both = near.join(whole("x"), "x").join(whole("y"), "y").select("x", "y", "sx", "sy")
         return stored(both.mapInArrow(lambda batches: _similar(batches, percent), "a long, b long"), "links", batch_rows=64)
 
 
-def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``df``: its id, ``n_shingles`` and ``component_id``.
-
-    A-Z are lower-cased; words are what white space (9 to 13 and 32) parts; the set of a text
-    is its different shingles of ``size`` words, with fewer words the whole sequence. Rows
-    link if their sets have a similarity of ``percent`` percent or more; ``component_id`` is
-    the smallest id that links reach, the row's own included.
-
-    A null or empty text, or one without words, has an empty set and links with nothing.
-    Repeated rows and copies are one node of the join. A row without an id gets the smallest
-    id it reaches, or null. Other columns are ignored; an empty table gives no rows.
-    """
-    source = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).alias("text"))
+def _components(df: DataFrame, doc: str, text: str, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Per row (doc, h, n, node), h a hash of its text, and (node, root) of the nodes that have links."""
+    source = df.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     join = _Join(source, size, percent)
     lists = join.lists()
-    sets = join.sets_of(lists.select("node").distinct())
+    sketches = join.sketches(lists)
     star = lists.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct()
-    edges = join.linked(star, sets)
+    edges = join.linked(star, sketches)
     # lists that one component does not hold: compare their sets with each other
     found = components(edges)
     placed = stored(
         lists.join(found, "node", "left").select("key", "node", "first", F.coalesce("component", "node").alias("component")), "placed"
     )
-    sizes = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("k")).where("a <> b")
+    sizes = placed.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("k")).where("a <> b and k > 2")
     blocks = F.ceil(F.col("k") / _BLOCK).cast("int")
     rest = placed.where("node <> first").join(sizes.select("key", blocks.alias("blocks")), "key")
     rest = rest.withColumn("block", F.pmod(F.hash("node"), F.col("blocks")))
@@ -357,24 +412,62 @@ def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", s
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("i"), F.greatest("block", o).alias("j"))
     )
     spread = rest.select("key", "node", "component", "block", F.explode(meets).alias("m")).select("key", "m.i", "m.j", "node", "block", "component")
-    sketched = spread.join(sets.select("node", "n", "bits"), "node").select("key", "i", "j", "node", "block", "component", "n", "bits")
+    sketched = spread.join(sketches, "node").select("key", "i", "j", "node", "block", "component", "n", "bits")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = sketched.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     pairs = stored(ordered.mapInArrow(lambda batches: _pairs_in_blocks(batches, percent), "x long, y long"), "pairs", batch_rows=2048).distinct()
-    final = components(edges.union(join.linked(pairs, sets)))
-    nodes = join.sizes.where("n > 0").groupBy("node").agg(F.min("doc").alias("least")).join(final, "node", "left")
-    named = nodes.select("node", F.coalesce("component", "node").alias("root"), "least")
+    final = components(edges.union(join.linked(pairs, sketches)))
+    return join.sizes.select("doc", "h", "n", "node"), final.select("node", F.col("component").alias("root"))
+
+
+def jaccard_components(df: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """Per row of ``df``: its id, ``n_shingles`` and ``component_id``.
+
+    A-Z are lower-cased; words are what white space (9 to 13 and 32) parts; the set of a text
+    is its different shingles of ``size`` words, with fewer words the whole sequence. Rows
+    link if their sets have a similarity of ``percent`` percent or more; ``component_id`` is
+    the smallest id that links reach, the row's own included.
+
+    A null or empty text, or one without words, has an empty set and links with nothing.
+    Repeated rows and copies are one node of the join. A row without an id gets the smallest
+    id it reaches, or null. Other columns are ignored; an empty table gives no rows.
+    """
+    rows, final = _components(df, doc, text, size, percent)
+    nodes = rows.where("n > 0").groupBy("node").agg(F.min("doc").alias("least")).join(final, "node", "left")
+    named = nodes.select("node", F.coalesce("root", "node").alias("root"), "least")
     ids = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
-    with_words = join.sizes.where("n > 0").join(ids, "node").select("doc", "n", "component_id")
-    without = join.sizes.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
+    with_words = rows.where("n > 0").join(ids, "node").select("doc", "n", "component_id")
+    without = rows.where("n = 0").select("doc", "n", F.col("doc").alias("component_id"))
     return with_words.union(without).select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), "component_id")
 
 
+def without_near_copies(df: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` but for near copies of others: one of each group stays.
+
+    Groups are those of ``jaccard_components``. The row with the smallest id stays; rows
+    without an id come last; of several texts with that id the one with the smallest hash
+    stays, and repeated rows of one id and text stay once. Rows without words are no copies.
+    Columns of any name pass through unchanged; an empty table stays empty.
+    """
+    rows, final = _components(df, doc, text, size, percent)
+    name = F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "h")
+    grouped = rows.where("n > 0").join(final, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    firsts = grouped.groupBy("root").agg(F.min(name).alias("first")).select("first.doc", "first.h")
+    chosen = firsts.union(rows.where("n = 0").select("doc", "h")).distinct()
+    # rows that are there once need no search for repeats
+    repeats = rows.groupBy("doc", "h").agg(F.count("*").alias("times"))
+    wanted = chosen.alias("c").join(repeats.alias("r"), F.expr("c.doc <=> r.doc and c.h = r.h")).select("c.doc", "c.h", "times")
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(doc).cast("long").alias("own"), F.xxhash64(text).alias("hash"))
+    kept = packed.join(wanted, F.col("own").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("h")))
+    once = kept.where("times = 1").select("row")
+    return once.union(kept.where("times > 1").dropDuplicates(["own", "hash"]).select("row")).select("row.*")
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
-#: (doc_id, n_shingles, component_id) in ``answer``; {documents} names the table.
+#: (doc_id, n_shingles, component_id) in ``answer``, by sets of three words and a similarity of 0.9; {documents} names the table.
 COMPONENTS_SQL = r"""
 worded as (
   select distinct doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

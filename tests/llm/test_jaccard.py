@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from roomgrid.llm import jaccard as J
 from roomgrid.llm import shingles as S
@@ -25,8 +26,8 @@ def _set(text, size=3):
     return {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} if w else set()
 
 
-def _expected(rows, percent):
-    sets = [_set(t) for _, t in rows]
+def _expected(rows, percent, size=3):
+    sets = [_set(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -47,9 +48,9 @@ def _expected(rows, percent):
     return sorted(((doc, len(s), least.get(find(i))) for i, ((doc, _), s) in enumerate(zip(rows, sets))), key=str)
 
 
-def _check(spark, rows, percent=90):
-    got = J.jaccard_components(_frame(spark, rows), percent=percent).collect()
-    assert sorted((tuple(r) for r in got), key=str) == _expected(rows, percent)
+def _check(spark, rows, percent=90, size=3):
+    got = J.jaccard_components(_frame(spark, rows), size=size, percent=percent).collect()
+    assert sorted((tuple(r) for r in got), key=str) == _expected(rows, percent, size)
 
 
 def _edited(rng, words, rate):
@@ -75,6 +76,24 @@ def test_groups_of_near_copies(spark):
         words[3 * k : 3 * k + 1] = [f"y{k}"]
     rng.shuffle(rows)
     _check(spark, rows)
+    _check(spark, rows, 80, 5)
+
+
+def test_without_near_copies(spark):
+    a, b = " ".join(f"a{k}" for k in range(100)), " ".join(f"b{k}" for k in range(100))
+    rows = [
+        (5, a), (3, a + " more"), (None, a), (9, b), (9, b), (9, a + " less"), (7, None), (7, None), (8, ""), (None, "alone without"), (None, "alone  WITHOUT"), (None, "alone without"),
+        (20, "q r s"), (20, "t u v"),
+    ]
+    schema = "doc_id long, text string, node long, h long, row string, root int, first int, times string, own int, `a b` int"
+    df = spark.createDataFrame([(*r, 1, 2, "x", 3, 4, "y", 5, 6) for r in rows], schema)
+    kept = J.without_near_copies(df)
+    assert kept.schema == df.schema
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    by_hash = {t for d, t in got if d is None}
+    assert len(by_hash) == 1 and by_hash < {"alone without", "alone  WITHOUT"}
+    assert [g for g in got if g[0] is not None] == sorted([(3, a + " more"), (9, b), (7, None), (8, ""), (20, "q r s"), (20, "t u v")], key=str)
+    assert J.without_near_copies(df.limit(0)).collect() == []
 
 
 def test_lists_in_many_blocks(spark, monkeypatch):
@@ -100,17 +119,17 @@ def test_empty_table(spark):
     assert J.jaccard_components(_frame(spark, [(1, None)])).collect() == [(1, 0, 1)]
 
 
-def test_similar_sets_share_a_key_under_any_allocation():
+@pytest.mark.parametrize("percent", [80, 90])
+def test_similar_sets_share_a_key_under_any_scheme(percent):
     rng = np.random.default_rng(4)
-    percent = 90
     bounds = J.size_bands(percent, 400)
-    for deletions in range(4):
-        plan = [(0, 0)]
-        for b in [*bounds[1:].tolist(), 500]:
+    for choice in range(0, 120, 7):
+        plan = []
+        for b in [0, *bounds[1:].tolist(), 500]:
             h = J.most_different(percent, b)
-            q = min(deletions, (h + 1) // 2)
-            plan.append((h + 1 - 2 * q, q) if h else (0, 0))
-        for _ in range(60):
+            all_ = J.schemes(h)
+            plan.append(all_[choice % len(all_)] if h else J.Scheme())
+        for _ in range(12):
             n = int(rng.integers(10, 380))
             x = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
             y = x.copy()
@@ -124,13 +143,40 @@ def test_similar_sets_share_a_key_under_any_allocation():
             assert np.array_equal(x, y) or set(keys[owner == 0]) & set(keys[owner == 1])
 
 
+def test_every_scheme_tolerates_the_difference():
+    for different in (1, 2, 5, 11, 44, 300):
+        found = J.schemes(different)
+        assert all(s.tolerated() >= different for s in found)
+        assert any(s.deletions for s in found) and any(s.drop > 1 for s in found) == (different > 1)
+
+
 def test_allocation_weighs_keys_against_pairs():
-    assert J.allocation(90, 300, 100)[1] == 0
-    assert J.allocation(90, 14, 10**14)[1] == 1
-    for bound in (10, 50, 1000):
-        for sets in (1, 10**6, 10**13):
-            p, q = J.allocation(90, bound, sets)
-            assert p >= 0 and p + 2 * q == J.most_different(90, bound) + 1
+    for percent in (80, 90):
+        for bound in (15, 50, 1000):
+            some = [J.allocation(percent, bound, sets) for sets in (100, 10**6, 10**12)]
+            assert all(s.tolerated() >= J.most_different(percent, bound) for s in some)
+            assert [s.keys(bound) for s in some] == sorted(s.keys(bound) for s in some)
+            assert [s.shared(bound) for s in some] == sorted((s.shared(bound) for s in some), reverse=True)
+    assert J.allocation(90, 300, 100).drop == 0 and J.allocation(80, 300, 10**6).drop > 0
+
+
+def test_unrelated_sets_share_keys_as_reckoned():
+    """The number of pairs that the cost expects is about the one that comes."""
+    rng = np.random.default_rng(6)
+    for percent, size in ((80, 100), (80, 300), (90, 200)):
+        bounds = J.size_bands(percent, size + 50)
+        cls = int(np.searchsorted(bounds, size))
+        for scheme in J.schemes(J.most_different(percent, int(bounds[cls]))):
+            plan = [J.Scheme()] * (len(bounds) + 1)
+            plan[cls] = scheme
+            n = 400
+            sets = np.sort(rng.integers(0, 1 << 63, (n, size), dtype=np.uint64), axis=1).ravel()
+            keys, owner = J.set_keys(sets, np.arange(n + 1) * size, bounds, plan)
+            assert 0.7 * scheme.keys(size) <= len(keys) / n <= 1.3 * scheme.keys(size)
+            _, times = np.unique(keys, return_counts=True)
+            pairs, want = (times * (times - 1) / 2).sum(), 0.5 * n * n * scheme.shared(size / (1 - J.SHARED_ELEMENTS))
+            if want > 200:
+                assert want / 3 <= pairs <= want * 3
 
 
 def test_lists_do_not_depend_on_batches():
