@@ -72,18 +72,30 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return path
 
 
+def shared_paths(spark: SparkSession) -> list[str]:
+    """What this application has put into the shared folder and not removed, oldest first."""
+    return list(_MADE.get(spark.sparkContext.applicationId, []))
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Remove some of ``shared_paths``; returns how many."""
+    made = _MADE.get(spark.sparkContext.applicationId, [])
+    configuration, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    gone = [name for name in paths if name in made]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(configuration).delete(path, True)
+        made.remove(name)
+    return len(gone)
+
+
 def drop_shared(spark: SparkSession) -> int:
     """Remove everything this application has put into the shared folder; returns how many paths.
 
     Call it when the results of the jobs have been stored: frames that still read a step
     table cannot be computed afterwards.
     """
-    paths = _MADE.pop(spark.sparkContext.applicationId, [])
-    configuration, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
-    for name in paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(configuration).delete(path, True)
-    return len(paths)
+    return drop_paths(spark, shared_paths(spark))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
