@@ -5,11 +5,13 @@ from __future__ import annotations
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline as C
 from roomgrid.llm import mixing as M
+from roomgrid.session import shared_paths
 from test_jaccard import _expected as jaccard_expected
 from test_lines import _expected as lines_expected
 from test_packing import check as packing_check
@@ -52,7 +54,7 @@ def test_line_dedup(steps):
 
 def test_near_dedup(steps):
     before, after = steps[0][2:4]
-    want = {d for d, _, component in jaccard_expected([(r["doc_id"], r["text"]) for r in before], 90) if d == component}
+    want = {d for d, _, component in jaccard_expected([(r["doc_id"], r["text"]) for r in before], C.NEAR_PERCENT, C.NEAR_WORDS) if d == component}
     assert want == {r["doc_id"] for r in after} and len(want) == len(after)
 
 
@@ -76,7 +78,7 @@ def test_packing(steps):
 def test_run_and_registration(spark):
     found = __spark_entry__.queries()
     assert found["pipeline"] is C.run and "pipeline" not in __spark_entry__.oracle_sql()
-    assert [f"op{n}_" in " ".join(found) for n in range(1, 11)] == [True] * 10
+    assert [f"op{n}_" in " ".join(found) for n in range(1, 14)] == [True] * 13
     assert C.run(spark, FOLDER).count() > 100
 
 
@@ -85,3 +87,35 @@ def test_empty_documents(spark):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, FOLDER)
         assert docs.count() == 0
+
+
+def test_clashing_names_nulls_and_long_texts(spark, tmp_path):
+    """Every stage passes other columns through, whatever their names."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(40)
+    odd = [(None, None, None, None, None), (None, "wort " * 30_000 + "ende", "de", "s", 1), (5, "", "en", None, 0), (5, "", "en", None, 0)]
+    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    extra = ["id", "rows", "row", "score", "lang_pred", "_lines", "_deleted", "doc", "key", "node", "h", "own", "times", "c0", "copies", "n", "runs", "text_", "root", "first"]
+    for c in extra:
+        docs = docs.withColumn(c, F.coalesce(F.col("doc_id"), F.lit(-1)).cast("string"))
+    for k, (_, stage) in enumerate(C.STAGES):
+        out = stage(spark, docs, FOLDER)
+        if k == len(C.STAGES) - 1:
+            assert out.count() > 30
+            break
+        assert out.columns == docs.columns
+        out.write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        rows = docs.collect()
+        assert rows and all(r[c] == str(-1 if r["doc_id"] is None else r["doc_id"]) for r in rows for c in extra)
+
+
+def test_step_tables_go_when_the_next_stage_starts(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(30)
+    before = set(shared_paths(spark))
+    first = C.line_dedup(spark, docs, FOLDER)
+    made = set(shared_paths(spark)) - before
+    lazily = C.mixing(spark, first, FOLDER)  # reads the step tables, so they stay
+    assert lazily.count() > 0
+    first.write.parquet(f"{tmp_path}/1")
+    C.mixing(spark, spark.read.parquet(f"{tmp_path}/1"), FOLDER)
+    assert made and not made & set(shared_paths(spark))
