@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import sys
 import types
@@ -35,7 +37,11 @@ WINDOW = 2048
 END_ID = 1
 ROWS_PER_BUCKET = 200_000
 _CACHE = 400_000  # words whose ids a worker keeps
-_PUNCTUATION = '.,!?;:|"()-[]{}/*#%&<>=+_~@$'
+# by lines: punctuation, letters of Latin-1, punctuation, or something else; no word that may hold a special token
+_MARKS = r"[.,!?;:|\"()\[\]{}/*#%&>=+_~@$-]*"
+_PARTS = re.compile(rf"^(?:({_MARKS})([a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]{{1,63}})({_MARKS})|.*)$", re.MULTILINE).findall
+_PROBES = ["a b", "One two,  three.", "(x) y-z 12 3,4", "Straße à la carte", "tab\there \u00a0 end\n\nnew", "<| a |> b", "word" * 30 + " b", "\u4e00\u4e8c \u4e09"]
+_PROBED_TEXTS = 32
 
 
 class WordIds:
@@ -44,79 +50,91 @@ class WordIds:
     Only a word's own characters decide its ids, so a text's ids are those of its words. A word
     of Latin-1 letters between punctuation is looked up in lower case without it; those not yet
     known are tokenized together. Any other word goes to the tokenizer as it stands, as do
-    words that may hold one of its special tokens.
+    words that may hold one of its special tokens. Whether the tokenizer is of that kind is
+    tried on probes and on the first texts; if it is not, texts go to it whole.
+
+    Words are kept in two generations: when the younger is full it becomes the elder, and
+    words met again move back.
     """
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the tasks use the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.cache = _CACHE
         self.words: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def _direct(self, word: str) -> bytes:
-        ids = self._encode(word)
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str, str] | None:
-        rest = word.lstrip(_PUNCTUATION)
-        core = rest.rstrip(_PUNCTUATION)
-        if "<|" not in word and core.isalpha() and max(core) < "Ā" and len(core) < 64:
-            return word[: len(word) - len(rest)], core.lower(), rest[len(core) :]
-        return None
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.words) + len(words) > _CACHE:
-            self.words.clear()
-        if len(self.cores) > _CACHE:
-            self.cores.clear()
-        parts = {word: self._parts(word) for word in words}
-        new = sorted({x for p in parts.values() if p for x in (p[1],) if x not in self.cores})
+        self.elder: dict[str, bytes] = {}
+        self.cores: dict[str, bytes] = {"": b""}
+        self.probed = 0
+        self.by_words = all(self._fits(text) for text in _PROBES)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _fits(self, text: str) -> bool:
+        """Whether the text's ids are those of its words."""
+        return self._by_words([text]) == self._whole([text])
+
+    def _learn_cores(self, new: list[str]) -> None:
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
-            ids = np.array(self._encode(" ".join(some)), dtype="<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
+            raw = self._whole([" ".join(some)])[0]
+            ends = np.flatnonzero(self.last[np.frombuffer(raw, dtype="<u4")]) + 1
             if len(ends) == len(some):
-                raw = ids.tobytes()
-                self.cores.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, [0, *ends[:-1].tolist()], ends.tolist()))
-            else:
-                self.cores.update((w, self._direct(w)) for w in some)
-        for word, p in parts.items():
-            if p is None:
-                self.words[word] = self._direct(word)
+                place = [0, *(4 * ends).tolist()]
+                self.cores.update(zip(some, (raw[a:b] for a, b in zip(place, place[1:]))))
             else:
-                for mark in (p[0], p[2]):
-                    if mark not in self.cores:
-                        self.cores[mark] = self._direct(mark)
-                self.words[word] = self.cores[p[0]] + self.cores[p[1]] + self.cores[p[2]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text; a null counts as empty."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+                self.cores.update(zip(some, self._whole(some)))
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.cores) > self.cache:
+            self.cores = {"": b""}
+        cores = self.cores
+        parts = _PARTS("\n".join(words).lower())  # of each word, empty where it is not of that form
+        self._learn_cores(list({p[1] for p in parts}.difference(cores)))
+        marks = list({p[0] for p in parts}.union(p[2] for p in parts).difference(cores))
+        cores.update(zip(marks, self._whole(marks)))
+        self.words.update(zip(words, [cores[core] if not left and not right else cores[left] + cores[core] + cores[right] for left, core, right in parts]))
+        odd = [word for word, p in zip(words, parts) if not p[1] and word]
+        for at in range(0, len(odd), 4096):
+            self.words.update(zip(odd[at : at + 4096], self._whole(odd[at : at + 4096])))
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [text.replace("\n", " ").split(" ") for text in texts]
         out: list[bytes] = []
         at = 0
-        while at < len(split):  # so many texts at a time that their words fit the cache
+        while at < len(split):  # so many texts at a time that their words fit a generation
             end, total = at, 0
-            while end < len(split) and (end == at or total + len(split[end]) < _CACHE // 4):
+            while end < len(split) and (end == at or total + len(split[end]) < self.cache // 4):
                 total += len(split[end])
                 end += 1
-            for words in split[at:end]:
-                missing = {w for w in words if w not in self.words}
-                if missing:
-                    self._learn(missing)
-                    if any(w not in self.words for w in words):  # the cache was emptied meanwhile
-                        self._learn(set(words))
-                out.append(b"".join(map(self.words.__getitem__, words)))
+            some = set().union(*split[at:end])
+            new = some.difference(self.words)
+            if len(self.words) + len(new) > self.cache:
+                self.words, self.elder, new = {}, self.words, some
+            known = [word for word in new if word in self.elder] if self.elder else []
+            self.words.update((word, self.elder[word]) for word in known)
+            self._learn(list(new.difference(known)))
+            of = self.words.__getitem__
+            out += [b"".join(map(of, words)) for words in split[at:end]]
             at = end
         return out
 
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text; a null counts as empty."""
+        plain = [text or "" for text in texts]
+        while self.by_words and self.probed < _PROBED_TEXTS and self.probed < len(plain):
+            self.by_words = self._fits(plain[self.probed][:4000])
+            self.probed += 1
+        if self.by_words:
+            return self._by_words(plain)
+        return [ids for at in range(0, len(plain), 64) for ids in self._whole(plain[at : at + 64])]
+
 
 def worker_ids(path: str) -> WordIds:
     """The worker process's own table of words, kept from task to task."""

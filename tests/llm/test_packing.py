@@ -59,6 +59,13 @@ def test_a_full_cache_is_emptied(tokenizer, monkeypatch):
     assert [x + b"\x01\0\0\0" for x in small.encode(texts)] == [_ids(tokenizer, t) for t in texts]
 
 
+def test_a_tokenizer_that_looks_across_blanks():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, words = Tokenizer.from_file(path), P.WordIds(path)
+    texts = ["one two", " lead", *NASTY, None]
+    assert words.encode(texts) == [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+
+
 def check(rows, texts, tokenizer, window):
     """texts: bag of (doc, text). Returns the padded share."""
     want = defaultdict(list)
