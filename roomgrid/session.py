@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import re
 import shutil
@@ -98,6 +99,16 @@ def drop_shared(spark: SparkSession) -> int:
     return drop_paths(spark, shared_paths(spark))
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of jobs whose frames are out of use.
+
+    Spark does so when the driver's collector finds them, which may be long after their
+    disk space is wanted.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows as a table in the shared folder and go on from there.
 
