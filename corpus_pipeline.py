@@ -7,7 +7,6 @@ and read again as the next one's docs. All but the last return the columns of do
 from __future__ import annotations
 
 import functools
-import gc
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +18,7 @@ from roomgrid.llm.language import UNDETERMINED, fit, held_out, predict
 from roomgrid.llm.lines import dedup_lines
 from roomgrid.llm.mixing import OTHER, WEIGHTS, mix
 from roomgrid.llm.packing import pack
-from roomgrid.session import drop_paths, shared_paths
+from roomgrid.session import drop_paths, release_shuffles, shared_paths
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -39,14 +38,13 @@ def _frees_steps(stage: Stage) -> Stage:
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release_shuffles(spark)
         earlier = _steps.setdefault(spark.sparkContext.applicationId, [])
         if earlier:
             folders = {name.rsplit("/", 1)[0] for name in docs.inputFiles()}
             if not any(folder.endswith(path.split(":", 1)[-1]) for folder in folders for path in earlier):
                 drop_paths(spark, earlier)
                 earlier.clear()
-                gc.collect()  # frames of earlier stages keep their shuffle files
-                spark.sparkContext._jvm.System.gc()
         before = set(shared_paths(spark))
         result = stage(spark, docs, sf_dir)
         earlier += [path for path in shared_paths(spark) if path not in before]
