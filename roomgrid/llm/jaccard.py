@@ -20,8 +20,8 @@ tolerance.
 then only those of a list that are still in different components are compared with each
 other, so a list of copies costs a row each. That second comparison takes a list in blocks of
 bounded size and gives out only pairs that a sketch allows: the parities of the elements in
-2048 buckets. Two sets whose parities differ in k buckets differ in k elements at least, so
-the sketch refuses no pair that is similar.
+2048 buckets, or in as many as a larger set has elements. Two sets whose parities differ in k
+buckets differ in k elements at least, so the sketch refuses no pair that is similar.
 
 *Verification* compares the sets themselves. Equal sets are one node, known by a 64-bit sum
 of their mixed shingle hashes; elements are 64-bit hashes too, which is the only way in which
@@ -43,9 +43,10 @@ from pyspark.sql import functions as F
 
 from roomgrid.llm.common import components, stored, table
 from roomgrid.llm.shingles import chunks, mixed, shingle_sets, text_bytes
+from roomgrid.session import release_shuffles
 
 _U = np.uint64
-_BUCKETS = 2048
+_BUCKETS = 2048  # of a sketch, or as many as the set has elements
 _BLOCK = 2048  # sets of a list that meet others of the list in one step
 # Only costs depend on these: the share of elements that unrelated sets have in common, and
 # how many keys a pair to be compared costs.
@@ -221,14 +222,27 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (key, node, first)], ["key", "node", "first"])
 
 
-def _sketches(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(-1, _BUCKETS // 64)
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches with ``size`` bytes each: the halves of a larger one are put together."""
+    out = np.empty((len(sketches), size // 8), dtype=np.uint64)
+    lengths = np.array([len(x) for x in sketches])
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        some = np.frombuffer(b"".join(sketches[k] for k in at.tolist()), dtype=np.uint64).reshape(len(at), -1, size // 8)
+        out[at] = np.bitwise_xor.reduce(some, axis=1)
+    return out
 
 
 def _near_enough(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs (x, y, nx, ny, bx, by) whose sketches allow the similarity."""
     for batch in batches:
-        least = np.bitwise_count(_sketches(batch.column("bx")) ^ _sketches(batch.column("by"))).sum(axis=1, dtype=np.int64)
+        bx, by = batch.column("bx").to_pylist(), batch.column("by").to_pylist()
+        size = np.array([min(len(x), len(y)) for x, y in zip(bx, by)])
+        least = np.zeros(len(size), dtype=np.int64)
+        for some in np.unique(size).tolist():
+            at = np.flatnonzero(size == some)
+            left, right = (_folded([side[k] for k in at.tolist()], some) for side in (bx, by))
+            least[at] = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
         both = batch.column("nx").to_numpy() + batch.column("ny").to_numpy()
         fits = pa.array(least * (100 + percent) <= both * (100 - percent))
         yield pa.RecordBatch.from_arrays([batch.column(k).filter(fits) for k in ("x", "y")], ["x", "y"])
@@ -242,9 +256,10 @@ def _pairs_in_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterato
     """
     names = ["key", "i", "j", "node", "block", "component", "n"]
     held: list[np.ndarray] | None = None
-    bits = np.empty((0, _BUCKETS // 64), dtype=np.uint64)
+    bits: list[bytes] = []
 
-    def compare(rows: list[np.ndarray], sketch: np.ndarray) -> pa.RecordBatch:
+    def compare(rows: list[np.ndarray], sketches: list[bytes]) -> pa.RecordBatch:
+        sketch = _folded(sketches, min(map(len, sketches)))
         i, j, node, block, component, n = rows[1][0], rows[2][0], *rows[3:]
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         x, y = [], []
@@ -266,9 +281,9 @@ def _pairs_in_blocks(batches: Iterator[pa.RecordBatch], percent: int) -> Iterato
 
     for batch in batches:
         rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in names]
-        sketch = _sketches(batch.column("bits"))
+        sketch = batch.column("bits").to_pylist()
         if held is not None:
-            rows, sketch = [np.concatenate(v) for v in zip(held, rows)], np.concatenate([bits, sketch])
+            rows, sketch = [np.concatenate(v) for v in zip(held, rows)], bits + sketch
         if not len(rows[0]):
             continue
         change = np.flatnonzero(np.any([r[1:] != r[:-1] for r in rows[:3]], axis=0)) + 1
@@ -296,12 +311,16 @@ def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 def _parities(sets: np.ndarray, first: np.ndarray) -> pa.Array:
-    """Sketches: the parities of the elements in the buckets."""
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    bucket = mixed(sets + _U(0x589965CC75374CC3)) % _U(_BUCKETS)
-    bits = np.zeros((len(first) - 1, _BUCKETS // 64), dtype=np.uint64)
-    np.bitwise_xor.at(bits, (owner, (bucket >> _U(6)).astype(np.int64)), _U(1) << (bucket & _U(63)))
-    return pa.array([b.tobytes() for b in bits], pa.binary())
+    """Sketches: the parities of the elements in the buckets, a power of two of them."""
+    size = np.diff(first)
+    owner = np.repeat(np.arange(len(size)), size)
+    many = np.maximum(_BUCKETS, 1 << np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))
+    begin = np.concatenate([[0], np.cumsum(many // 64)])
+    bucket = mixed(sets + _U(0x589965CC75374CC3)) & (many[owner] - 1).astype(np.uint64)
+    bits = np.zeros(int(begin[-1]), dtype=np.uint64)
+    np.bitwise_xor.at(bits, begin[owner] + (bucket >> _U(6)).astype(np.int64), _U(1) << (bucket & _U(63)))
+    raw = bits.tobytes()
+    return pa.array([raw[8 * a : 8 * b] for a, b in zip(begin, begin[1:])], pa.binary())
 
 
 class _Join:
@@ -396,6 +415,7 @@ def _components(df: DataFrame, doc: str, text: str, size: int, percent: int) ->
     source = df.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     join = _Join(source, size, percent)
     lists = join.lists()
+    release_shuffles(df.sparkSession)  # the keys are many, and what they share is stored
     sketches = join.sketches(lists)
     star = lists.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct()
     edges = join.linked(star, sketches)

@@ -179,6 +179,20 @@ def test_unrelated_sets_share_keys_as_reckoned():
                 assert want / 3 <= pairs <= want * 3
 
 
+def test_sketches_of_any_size_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(9)
+    for n in (1, 3, 100, 2047, 2048, 2049, 4097, 9000):
+        x = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        y = np.unique(np.concatenate([x[: int(0.93 * len(x))], rng.integers(0, 1 << 62, n // 20, dtype=np.uint64)]))
+        far = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        sketches = J._parities(np.concatenate([x, y, far]), np.cumsum([0, len(x), len(y), len(far)])).to_pylist()
+        size = min(map(len, sketches))
+        a, b, c = J._folded(sketches, size)
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+        # unrelated sets differ in more buckets than similar ones may
+        assert n < 3 or np.bitwise_count(a ^ c).sum() > 0.3 * n
+
+
 def test_lists_do_not_depend_on_batches():
     rng = np.random.default_rng(1)
     key = np.sort(rng.integers(0, 40, 300))
