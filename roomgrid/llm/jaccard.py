@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -52,6 +52,7 @@ _BLOCK = 2048  # sets of a list that meet others of the list in one step
 # how many keys a pair to be compared costs.
 SHARED_ELEMENTS, PAIR_COST = 0.1, 16
 _MOST_PARTS, _MOST_SUBSETS = 9, 126
+_KEY_BYTES, _WORD_BYTES = 12, 6  # of a shuffled key and of a word of text, about
 
 
 def size_bands(percent: int, largest: int) -> np.ndarray:
@@ -121,8 +122,11 @@ def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return low + (high << _U(32))
 
 
-def set_keys(sets: np.ndarray, first: np.ndarray, bounds: np.ndarray, plan: list[Scheme]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all sets and the set of each key. ``plan[c]``: scheme of class c; no segments: no keys."""
+def set_keys(sets: np.ndarray, first: np.ndarray, bounds: np.ndarray, plan: list[Scheme], turn: int = 0, rounds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of all sets and the set of each key. ``plan[c]``: scheme of class c; no segments: no keys.
+
+    Of several ``rounds`` each has the keys of its own segments.
+    """
     n = len(first) - 1
     size = np.diff(first)
     owner = np.repeat(np.arange(n), size)
@@ -149,11 +153,12 @@ def set_keys(sets: np.ndarray, first: np.ndarray, bounds: np.ndarray, plan: list
             of = np.repeat(np.arange(n), many)
             number = np.arange(int(base[-1])) - base[of]
             salt = mixed((cls[of].astype(np.uint64) << _U(32)) + number.astype(np.uint64))
-            plain = number < segments_of[cls[of]] - deletions_of[cls[of]]
+            now = number % rounds == turn
+            deletes = now & (number >= segments_of[cls[of]] - deletions_of[cls[of]])
             for k, subset in enumerate(combinations(range(parts), parts - drop)):
-                keys.append(mixed(total[:, subset].sum(axis=1, dtype=np.uint64) + salt + _U(k)))
-                owners.append(of)
-            deleted = ~plain[at]
+                keys.append(mixed(total[now][:, subset].sum(axis=1, dtype=np.uint64) + salt[now] + _U(k)))
+                owners.append(of[now])
+            deleted = deletes[at]
             if deleted.any():
                 keys.append(mixed(total[at[deleted], 0] - value[element[deleted]] + salt[at[deleted]]))
                 owners.append(mine[deleted])
@@ -344,29 +349,43 @@ class _Join:
 
     def lists(self) -> DataFrame:
         """(key, node, first) of all keys that two or more different sets have."""
-        size, percent = self.size, self.percent
+        percent = self.percent
         largest = self.sizes.agg(F.max("n")).first()[0] or 0
         bounds = size_bands(percent, largest)
         # one row per size band: about fifty for any table
         upper = F.array(*[F.lit(int(b)) for b in bounds])
-        counts = dict(self.sizes.where("n > 0").select("node", "n").distinct().select(F.size(F.filter(upper, lambda b: b < F.col("n"))).alias("band")).groupBy("band").count().collect())
-        plan = []
+        band = F.size(F.filter(upper, lambda b: b < F.col("n"))).alias("band")
+        bands = self.sizes.where("n > 0").select("node", "n").distinct().groupBy(band).agg(F.count("*").alias("sets"), F.sum("n").alias("elements")).collect()
+        counts = {r["band"]: r["sets"] for r in bands}
+        plan, keys = [], 0.0
         for c, bound in enumerate([*bounds.tolist(), bounds.tolist()[-1] * 100 // percent + 1]):
             some = counts.get(c, 0) + counts.get(c - 1, 0)
             plan.append(allocation(percent, bound, some) if some > 1 and most_different(percent, bound) else Scheme())
+            keys += some * plan[-1].keys(bound) if plan[-1].segments else 0
+        # so many rounds that the keys of one take about the room of the texts
+        rounds = max(1, math.ceil(keys * _KEY_BYTES / max(1, sum(r["elements"] for r in bands) * _WORD_BYTES)))
+
+        copies = stored(self.rows_of(None), "copies")  # stored, so that its size is known before texts are moved
+        docs = self.docs.join(copies, F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_anti").select("doc", "text")
+        parts = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found = []
+        for turn in range(rounds):
+            keyed = docs.mapInArrow(self._keys(bounds, plan, turn, rounds), "key long, node long")
+            shared = keyed.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, first long")
+            found.append(stored(shared, "lists", batch_rows=1 << 16))
+            release_shuffles(self.docs.sparkSession)  # the keys are many, those that are shared few
+        return reduce(DataFrame.union, found)
+
+    def _keys(self, bounds: np.ndarray, plan: list[Scheme], turn: int, rounds: int):
+        size = self.size
 
         def run(batches):
-            for rows, sets, first in _blocks(batches, size):
+            for _, sets, first in _blocks(batches, size):
                 node = _node(sets, first)
-                keys, owner = set_keys(sets, first, bounds, plan)
+                keys, owner = set_keys(sets, first, bounds, plan, turn, rounds)
                 yield pa.RecordBatch.from_arrays([_longs(keys), _longs(node[owner])], ["key", "node"])
 
-        copies = self.rows_of(None)
-        docs = self.docs.join(copies, F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_anti").select("doc", "text")
-        keyed = docs.mapInArrow(run, "key long, node long")
-        parts = int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        found = keyed.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_shared_keys, "key long, node long, first long")
-        return stored(found, "lists", batch_rows=1 << 16)
+        return run
 
     def rows_of(self, nodes: DataFrame | None) -> DataFrame:
         """(d, k): id and text hash of the first row of each node; without ``nodes`` those of all other rows of nodes."""
@@ -388,13 +407,14 @@ class _Join:
         """(node, elements) of the nodes of pairs (x, y), from one text each."""
         size = self.size
         nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
+        one = stored(self.rows_of(nodes), "wanted")  # stored, so that its size is known before texts are moved
 
         def run(batches):
             for rows, sets, first in _blocks(batches, size):
                 order = np.lexsort((sets.view(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(first))))
                 yield pa.RecordBatch.from_arrays([_longs(_node(sets, first)), _lists(sets[order], first)], ["node", "elements"])
 
-        wanted = self.docs.join(self.rows_of(nodes), F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_semi").select("doc", "text")
+        wanted = self.docs.join(one, F.col("doc").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")), "left_semi").select("doc", "text")
         return stored(wanted.mapInArrow(run, "node long, elements array<long>").dropDuplicates(["node"]), "elements")
 
     def linked(self, pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -415,7 +435,6 @@ def _components(df: DataFrame, doc: str, text: str, size: int, percent: int) ->
     source = df.select(F.col(doc).cast("long").alias("doc"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
     join = _Join(source, size, percent)
     lists = join.lists()
-    release_shuffles(df.sparkSession)  # the keys are many, and what they share is stored
     sketches = join.sketches(lists)
     star = lists.where("node <> first").select(F.col("first").alias("x"), F.col("node").alias("y")).distinct()
     edges = join.linked(star, sketches)

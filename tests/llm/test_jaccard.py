@@ -141,6 +141,8 @@ def test_similar_sets_share_a_key_under_any_scheme(percent):
                 y = z
             keys, owner = J.set_keys(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), bounds, plan)
             assert np.array_equal(x, y) or set(keys[owner == 0]) & set(keys[owner == 1])
+            turns = [J.set_keys(np.concatenate([x, y]), np.array([0, len(x), len(x) + len(y)]), bounds, plan, k, 3) for k in range(3)]
+            assert sorted(zip(keys, owner)) == sorted((k, o) for t in turns for k, o in zip(*t))
 
 
 def test_every_scheme_tolerates_the_difference():
