@@ -16,7 +16,7 @@ from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables
 from roomgrid.sources.tables import append_rows, conform, load_tables, table_summary, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
-from roomgrid.streaming import approvals, escalations
+from roomgrid.streaming import approvals, commands, escalations
 
 AS_OF = "1998-07-01 00:00:00"
 SEMESTER = ("1998-01-01 00:00:00", "1998-06-01 00:00:00")
@@ -315,6 +315,16 @@ from maintenance
 union all select maintenance_id * 2 + 1, start_time + INTERVAL '2' HOUR, maintenance_id, 'out-of-service', 50, 'second look'
 from maintenance
 """
+# level changes among the approvals, some by people who may not, some of records that are closed or not there
+PARAMETERS["level_command"] = """
+select 10000000000 + maintenance_id * 2 + k as command_id, 'level' as kind, start_time - INTERVAL '1' DAY * (maintenance_id % 40 - 10 * k) as at,
+  cast(null as bigint) as booking_id, case maintenance_id % 11 when 0 then cast(3 as bigint) else 50 end as decision_maker_user_id, false as is_auto, false as acknowledge,
+  case when maintenance_id % 17 = 0 then maintenance_id + 1000000 else maintenance_id end as maintenance_id,
+  case when (maintenance_id + k) % 3 = 0 then 'advisory' when maintenance_id % 23 = 0 then 'closed' else 'out-of-service' end as new_level, 'look' as note
+from maintenance cross join (values (0), (1)) as turns(k)
+"""
+
+
 def _halves(df: DataFrame, order: str) -> list[DataFrame]:
     """The earlier and the later rows, cut at the middle time."""
     middle = df.agg(F.percentile_approx(epoch_second(order), 0.5)).scalar()
@@ -336,17 +346,28 @@ def _names(schema: str) -> list[str]:
 
 def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
     t = queue_tables(spark, folder)
-    commands = parameter(spark, folder, "command").select(*_names(approvals.COMMANDS))
+    given = parameter(spark, folder, "command").select(*_names(approvals.COMMANDS))
     standing = cut_lineage(workflow.standing_facts(t))
     out = shared_dir(spark, "outcomes")
 
     def run(stream: DataFrame, checkpoint: str) -> None:
         approvals.run_available(approvals.s01_stream_approvals(stream, t, standing), out, checkpoint)
 
-    _in_two_runs(commands, "at", approvals.COMMANDS, run)
+    _in_two_runs(given, "at", approvals.COMMANDS, run)
     return spark.read.schema(approvals.OUTCOMES).parquet(out).select("booking_id", "code", F.col("result").alias("decision"))
 
 
+def _streamed_commands(spark: SparkSession, folder: str) -> DataFrame:
+    t = queue_tables(spark, folder)
+    names = _names(approvals.COMMANDS)
+    given = parameter(spark, folder, "command").select(*names).union(parameter(spark, folder, "level_command").select(*names))
+    standing = cut_lineage(workflow.standing_facts(t))
+    out = shared_dir(spark, "outcomes")
+    _in_two_runs(given, "at", approvals.COMMANDS, lambda stream, checkpoint: commands.run_commands(stream, t, standing, out, checkpoint))
+    found = spark.read.schema(approvals.OUTCOMES).parquet(out)
+    return found.select("command_id", "booking_id", "maintenance_id", "code", "result", "impacted_booking_id")
+
+
 def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     t = derived_tables(spark, folder)
     # read again by every micro-batch
@@ -362,6 +383,7 @@ def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame,
 JOBS.update(
     {
         "s01_stream_approvals": _streamed_approvals,
+        "s01_stream_approvals_impacts": _streamed_commands,
         "s02_stream_escalations": lambda s, f: _streamed_escalations(s, f)[1].select(
             "maintenance_id", "booking_id", "identified_at", "identified_by_user_id", "contact_status"
         ),

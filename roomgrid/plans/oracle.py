@@ -556,6 +556,35 @@ moved as (
   select *, coalesce(lag(new_level) over (partition by maintenance_id order by "at", change_id), impact_level) as prior_level from valid)
 """
 
+# approvals served with the levels that records have at their time, and what level changes report
+_LEVEL_AT = (
+    "coalesce((select arg_max(v.new_level, (v.\"at\", v.command_id)) from moved v where v.maintenance_id = m.maintenance_id "
+    "and (v.\"at\", v.command_id) < (coalesce(b.submitted_at, date '1990-01-01' + INTERVAL '0' SECOND), a.booking_id)), m.impact_level)"
+)
+
+
+def _then(level: str) -> str:
+    return (
+        f"exists (select 1 from maintenance m where m.space_id = b.space_id and m.maintenance_status in {_REPAIR} "
+        f"and {_LEVEL_AT} = '{level}' and {_MEETS})"
+    )
+
+
+_COMMANDED = (
+    _SERVED.replace("with recursive", f"""with recursive judged as (
+  select c.*, m.space_id, m.start_time, m.completion_time, m.impact_level, cast(case
+      when c.new_level not in ('advisory', 'out-of-service') then 51045
+      when m.maintenance_id is null then 51046
+      when m.maintenance_status not in {_REPAIR} then 51048
+      when c.decision_maker_user_id not in (select user_id from app_user where {_IS_STAFF}) then 51049 end as integer) as code
+  from level_command c left join maintenance m on m.maintenance_id = c.maintenance_id),
+moved as (
+  select *, coalesce(lag(new_level) over (partition by maintenance_id order by "at", command_id), impact_level) as prior_level
+  from judged where code is null),""", 1)
+    .replace(_standing("out-of-service"), _then("out-of-service"))
+    .replace(_standing("advisory"), _then("advisory"))
+)
+
 QUERIES.update(
     {
         "w01_validate_requests": f"""
@@ -649,6 +678,21 @@ select maintenance_id, booking_id, contact_status, impact_level from booking_imp
 where (booking_id, maintenance_id) in (select (booking_id, maintenance_id) from traced_pair)
 """,
         "s01_stream_approvals": f"{_SERVED} select booking_id, code, decision from outcome",
+        "s01_stream_approvals_impacts": f"""{_COMMANDED}
+select booking_id as command_id, booking_id, cast(null as bigint) as maintenance_id, code, decision as result, cast(null as bigint) as impacted_booking_id
+from outcome
+union all
+select command_id, null, maintenance_id, code, null, null from judged where code is not null
+union all
+select command_id, null, maintenance_id, null, if(prior_level = new_level, 'Unchanged', 'Changed'), null from moved
+union all
+select arg_min(m.command_id, (m."at", m.command_id)), null, m.maintenance_id, null, 'Impact', b.booking_id
+from moved m join queue b on b.space_id = m.space_id and {_MEETS}
+join outcome o on o.booking_id = b.booking_id and o.decision is not null
+where m.prior_level <> m.new_level and m.new_level = 'out-of-service'
+  and (coalesce(b.submitted_at, date '1990-01-01' + INTERVAL '0' SECOND), b.booking_id) < (m."at", m.command_id)
+group by m.maintenance_id, b.booking_id
+""",
         "s02_stream_escalations": f"""{_STREAMED}
 select m.maintenance_id, b.booking_id, min(m."at") as identified_at, arg_min(m.user_id, m."at") as identified_by_user_id,
   'PendingContact' as contact_status

@@ -15,6 +15,7 @@ from roomgrid.sources import generate
 from roomgrid.sources.tables import load_tables, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1
 from roomgrid.streaming import approvals as stream
+from roomgrid.streaming.commands import run_commands
 from small import approvals, at, booking, frame, got, person, policy, repair, room, tables
 
 NOW = "2029-12-20 12:00:00"
@@ -102,7 +103,12 @@ def test_two_approvals_of_one_booking_are_an_error(spark):
         workflow.w05_approve_batch(contest(spark), approvals(spark, (1, 2, False, False), (1, 5, False, False)))
 
 
-def test_stream_sees_escalation_and_earlier_approvals(spark):
+def _by_room(source, t, standing, out, checkpoint):
+    stream.run_available(stream.s01_stream_approvals(source, t, standing), out, checkpoint)
+
+
+@pytest.mark.parametrize("run", [_by_room, run_commands])
+def test_stream_sees_escalation_and_earlier_approvals(spark, run):
     t = contest(spark)
     rows = [
         (1, "approve", at("2029-12-10 08:00:00"), 1, 2, False, False, None, None, None),
@@ -119,13 +125,37 @@ def test_stream_sees_escalation_and_earlier_approvals(spark):
     standing = cut_lineage(workflow.standing_facts(t))
     for part in (df.where("command_id <= 5"), df.where("command_id > 5")):
         part.write.mode("append").parquet(source)
-        commands = spark.readStream.schema(stream.COMMANDS).parquet(source)
-        stream.run_available(stream.s01_stream_approvals(commands, t, standing), out, checkpoint)
+        run(spark.readStream.schema(stream.COMMANDS).parquet(source), t, standing, out, checkpoint)
     result = spark.read.parquet(out)
     assert {r.command_id: r.code for r in result.where("kind = 'approve'").collect()} == {1: None, 2: 51041, 4: 51042, 6: None, 8: 51036}
     assert got(result.where("result = 'Impact'").select("command_id", "impacted_booking_id")) == [(7, 3)]
 
 
+def test_stream_reports_long_bookings_and_open_records_once(spark):
+    """Intervals over many days and records without an end."""
+    t = tables(
+        spark, app_user=[person(1), person(2, "FacilityStaff")], space=[room(1)], booking_policy=[policy(1)],
+        booking=[
+            booking(1, "2030-01-05 09:00:00", "2030-01-25 10:00:00", "Pending"), booking(2, "2030-01-20 09:00:00", "2030-01-20 10:00:00", "Pending"),
+            booking(3, "2030-02-05 09:00:00", "2030-02-05 10:00:00", "Pending"), booking(4, "2030-01-25 10:00:00", "2030-01-25 11:00:00", "Pending"),
+        ],
+        maintenance=[repair(1, "2030-01-25 09:30:00")],
+    )
+    rows = [(k, "approve", at(f"2029-12-10 0{k}:00:00"), k, 2, False, True, None, None, None) for k in (1, 2, 3, 4)]
+    rows += [(k, "level", at(f"2029-12-11 0{k}:00:00"), None, 2, None, None, 1, level, "x") for k, level in ((5, "out-of-service"), (6, "advisory"), (7, "out-of-service"))]
+    df = spark.createDataFrame(rows, stream.COMMANDS)
+    source, out, checkpoint = (shared_dir(spark, n) for n in ("s", "o", "c"))
+    standing = cut_lineage(workflow.standing_facts(t))
+    for part in (df.where("command_id <= 3"), df.where("command_id in (4, 5)"), df.where("command_id > 5")):
+        part.write.mode("append").parquet(source)
+        run_commands(spark.readStream.schema(stream.COMMANDS).parquet(source), t, standing, out, checkpoint)
+    result = spark.read.parquet(out)
+    assert {r.command_id: r.code for r in result.where("kind = 'approve'").collect()} == {1: None, 2: 51041, 3: None, 4: None}
+    assert got(result.where("kind = 'level'").select("command_id", "result", "impacted_booking_id")) == [
+        (5, "Changed", None), (5, "Impact", 1), (5, "Impact", 3), (5, "Impact", 4), (6, "Changed", None), (7, "Changed", None),
+    ]
+
+
 def test_stream_with_lead_rule_forgets_what_is_past(spark):
     t = contest(spark, maintenance=[])
     columns = [c.split()[0] for c in stream.COMMANDS.split(", ")]
