@@ -93,6 +93,13 @@ select booking_id, case booking_id % 13 when 0 then cast(3 as bigint) when 1 the
 from queue where booking_status in ('Pending', 'Rejected')
 union all select -1 - booking_id, 50, false, true from queue where booking_status = 'NoShow'
 """
+# two to four approvals of a booking: by someone who may not, without an acknowledgement, with one, again
+PARAMETERS["attempt"] = """
+select booking_id, cast(k as integer) as attempt, case when k = booking_id % 4 then cast(100 as bigint) else 50 end as decision_maker_user_id,
+  (booking_id + k) % 3 = 0 as is_auto, k > booking_id % 3 as acknowledge
+from (select booking_id from queue where booking_status in ('Pending', 'Rejected') union all select -1 - booking_id from queue where booking_status = 'NoShow')
+cross join (values (0), (1), (2), (3)) as tries(k) where k < 2 + booking_id % 3
+"""
 # every approved booking is put back into the queue, so that requests really compete
 PARAMETERS["queue"] = """
 select booking_id, requester_user_id, space_id, requested_start_time, requested_end_time, purpose, expected_participants,
@@ -256,6 +263,7 @@ JOBS.update(
         ),
         "w04_auto_approval_allowed": _on_pending(workflow.w04_auto_approval_allowed),
         "w05_approve_batch": _approved,
+        "w05_approve_attempts": lambda s, f: workflow.w05_approve_attempts(queue_tables(s, f), parameter(s, f, "attempt")),
         "w06_record_acks": _on_outcomes(workflow.w06_record_acks, AS_OF),
         "w07_record_decisions": _on_outcomes(workflow.w07_record_decisions, AS_OF),
         "w07_booking_snapshot": _on_outcomes(workflow.w07_booking_snapshot, AS_OF),

@@ -512,6 +512,31 @@ outcome as (
   from gate g left join served s on s.booking_id = g.booking_id)
 """
 
+
+
+def _replaced(text: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        if old not in text:
+            raise ValueError(f"not there: {old}")
+        text = text.replace(old, new)
+    return text
+
+
+# the same with several approvals of a booking, one after the other
+_ATTEMPTED = _replaced(
+    _SERVED,
+    ("from approval a left join", "from attempt a left join"),
+    ("order by submitted_at, booking_id) as turn", "order by submitted_at, booking_id, attempt) as turn"),
+    ("cast(null as bigint) as booking_id, cast(null as integer) as code", "cast(null as bigint) as booking_id, cast(null as integer) as attempt, cast(null as integer) as code"),
+    ("struct(a timestamp, b timestamp)", "struct(a timestamp, b timestamp, id bigint)"),
+    ("select space_id, turn, booking_id, verdict,", "select space_id, turn, booking_id, attempt, verdict,"),
+    ("'b': requested_end_time}", "'b': requested_end_time, 'id': booking_id}"),
+    ("select l.*, s.held, case\n", "select l.*, s.held, case\n      when len(list_filter(s.held, lambda x: x.id = l.booking_id)) > 0 then 51036\n"),
+    ("select g.booking_id, g.decision_maker_user_id, cast(coalesce(g.early, s.code) as integer) as code,", """select g.booking_id, g.attempt, g.decision_maker_user_id, cast(case when exists (
+      select 1 from served x where x.booking_id = g.booking_id and x.attempt < g.attempt and x.code is null) then 51036 else coalesce(g.early, s.code) end as integer) as code,"""),
+    ("on s.booking_id = g.booking_id)", "on s.booking_id = g.booking_id and s.attempt = g.attempt)"),
+)
+
 # The code of a new request. The table of requests and the room's columns are given by name.
 _ASKED = """select r.*, cast(case when span_end <= span_start then 51030 when participants <= 0 then 51031
     when requester_user_id not in (select user_id from app_user where account_status = 'Active') then 51032
@@ -611,6 +636,7 @@ select booking_id, coalesce(bool_or(auto_approval_enabled), false) as allowed
 from pending left join ({_POLICY.format(request='pending')}) on for_booking = booking_id group by booking_id
 """,
         "w05_approve_batch": f"{_SERVED} select booking_id, decision_maker_user_id, code, decision from outcome",
+        "w05_approve_attempts": f"{_ATTEMPTED} select booking_id, attempt, decision_maker_user_id, code, if(code is null, decision, null) as decision from outcome",
         "w06_record_acks": f"""{_SERVED}
 select b.booking_id, m.maintenance_id, {_AS_OF} as acknowledged_at, m.problem_description as advisory_summary_at_acknowledgement
 from outcome o join booking b on b.booking_id = o.booking_id join maintenance m on m.space_id = b.space_id and {_MEETS}

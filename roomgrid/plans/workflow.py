@@ -330,6 +330,48 @@ def w05_approve_batch(
     return done.select("booking_id", "decision_maker_user_id", "code", decision.alias("decision"))
 
 
+def w05_approve_attempts(t, attempts: DataFrame, *, buffer_both: bool = False) -> DataFrame:
+    """Decide approvals of which a booking may have several: (booking_id, attempt, decision_maker_user_id, code, decision).
+
+    ``attempts``: booking_id, attempt (its place among those of the booking), decision_maker_user_id,
+    is_auto, acknowledge. Bookings of a room are served as in ``w05_approve_batch``, the attempts
+    of one in their order: the first that breaks no rule approves it, those after it find it
+    decided (51036). Nothing else happens between a booking's attempts, so they see the same
+    room: one attempt stands for the booking in the batch, the first that could succeed, else
+    the first that reaches the rules about its time. Two first attempts are an error.
+    """
+    makers = _active_people(t, "maker", PERSONNEL)
+    facts = standing_facts(t, buffer_both=buffer_both).withColumnRenamed("booking_id", "_known")
+    levels = F.coalesce(F.col("met.impact_level"), F.array().cast("array<string>"))
+    blocked = _first_code(
+        (F.coalesce("taken", F.lit(False)), 51041),
+        (F.array_contains(levels, OUT_OF_SERVICE), 51042),
+        (F.array_contains(levels, ADVISORY) & ~F.col("acknowledge"), 51043),
+    )
+    coded = cut_lineage(
+        attempts.join(facts, F.col("booking_id") == F.col("_known"), "left")
+        .join(makers, F.col("decision_maker_user_id") == F.col("maker_found"), "left")
+        .select(*attempts.columns, first_gates().alias("gate"), blocked.alias("blocked"))
+    )
+    row = F.struct(
+        F.coalesce("gate", "blocked").isNotNull().alias("fails"), F.col("gate").isNotNull().alias("gated"), "attempt", "decision_maker_user_id", "is_auto", "acknowledge"
+    )
+    chosen = cut_lineage(coded.groupBy("booking_id").agg(F.min(row).alias("row")).select("booking_id", "row.*"))
+    served = w05_approve_batch(t, chosen.select("booking_id", "decision_maker_user_id", "is_auto", "acknowledge"), buffer_both=buffer_both)
+    outcome = chosen.select(F.col("booking_id").alias("_booking"), F.col("attempt").alias("_attempt")).join(
+        served.select(F.col("booking_id").alias("_served"), F.col("code").alias("_code"), "decision"), F.col("_booking").eqNullSafe(F.col("_served"))
+    )
+    code = (
+        F.when(F.col("attempt") == F.col("_attempt"), F.col("_code"))
+        .when(F.col("decision").isNotNull() & (F.col("attempt") > F.col("_attempt")), 51036)
+        .when(F.col("gate").isNotNull(), F.col("gate"))
+        .when(F.col("_code") == 51041, 51041)
+        .otherwise(F.col("blocked"))
+    )
+    found = coded.join(outcome, F.col("booking_id").eqNullSafe(F.col("_booking"))).withColumn("code", code)
+    return found.select("booking_id", "attempt", "decision_maker_user_id", "code", F.when(F.col("code").isNull(), F.col("decision")).alias("decision"))
+
+
 def _approved(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("code").isNull()).select("booking_id", "decision_maker_user_id", "decision")
 

@@ -103,6 +103,22 @@ def test_two_approvals_of_one_booking_are_an_error(spark):
         workflow.w05_approve_batch(contest(spark), approvals(spark, (1, 2, False, False), (1, 5, False, False)))
 
 
+def test_several_approvals_of_one_booking(spark):
+    """The first that breaks no rule approves; the booking counts for others from its own place on."""
+    t = contest(spark)
+    rows = [
+        (3, 0, 3, False, True), (3, 1, 2, False, False), (3, 2, 2, False, True), (3, 3, 2, False, True), (3, 4, 3, False, True),
+        (1, 1, 2, False, False), (2, 1, 3, False, False), (2, 2, 2, False, False), (77, 0, 2, False, False), (77, 5, 2, False, False), (None, 1, 2, False, False),
+    ]
+    schema = "booking_id long, attempt int, decision_maker_user_id long, is_auto boolean, acknowledge boolean"
+    found = workflow.w05_approve_attempts(t, spark.createDataFrame(rows, schema)).collect()
+    assert {(r.booking_id, r.attempt): r.code for r in found} == {
+        (3, 0): 51037, (3, 1): 51043, (3, 2): None, (3, 3): 51036, (3, 4): 51036,
+        (1, 1): None, (2, 1): 51037, (2, 2): 51041, (77, 0): 51034, (77, 5): 51034, (None, 1): 51034,
+    }
+    assert {(r.booking_id, r.attempt) for r in found if r.decision} == {(3, 2), (1, 1)} and len(found) == len(rows)
+
+
 def _by_room(source, t, standing, out, checkpoint):
     stream.run_available(stream.s01_stream_approvals(source, t, standing), out, checkpoint)
 
