@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from roomgrid.functions.exprs import epoch_second
 from roomgrid.operators.upsert import insert_if_absent
 from roomgrid.plans import analytics, reports, rules, workflow
-from roomgrid.schema import NATURAL_KEYS
+from roomgrid.schema import NATURAL_KEYS, SCHEMAS
 from roomgrid.session import cut_lineage, shared_dir
 from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables
-from roomgrid.sources.tables import append_rows, conform, load_tables, table_summary, write_tables
+from roomgrid.sources.load import LOADED, load_absent
+from roomgrid.sources.tables import Tables, append_rows, conform, load_tables, table_summary, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
 from roomgrid.streaming import approvals, commands, escalations
 
@@ -307,6 +308,54 @@ JOBS.update(
 )
 
 
+# ---- a load into tables that hold a part, from tables that number everything in their own way
+
+_HELD_ROWS = {
+    "app_user": "account_status = 'Active'",
+    "space": "current_status <> 'Retired'",
+    "facility": "facility_type <> 'ASIA'",
+    "space_facility": "space_id in (select space_id from held_space) and facility_id in (select facility_id from held_facility)",
+    "booking_policy": "not auto_approval_enabled and (space_id is null or space_id in (select space_id from held_space))",
+    "booking": "booking_status <> 'Completed' and requester_user_id in (select user_id from held_app_user) "
+    "and space_id in (select space_id from held_space)",
+    "booking_decision": "decision <> 'AutoApproved' and booking_id in (select booking_id from held_booking) "
+    "and decision_maker_user_id in (select user_id from held_app_user)",
+    "usage_session": "booking_id in (select booking_id from held_booking) "
+    "and check_in_by_user_id in (select user_id from held_app_user)",
+    "maintenance": "impact_level = 'advisory' and space_id in (select space_id from held_space) "
+    "and reporter_user_id in (select user_id from held_app_user)",
+}
+_ADVISORY_TIMES = ("advisories_presented_at", "advisory_acknowledged_at")
+
+
+def _renumbered(name: str) -> str:
+    columns = [f.name for f in SCHEMAS[name] if f.name not in _ADVISORY_TIMES]
+    return ", ".join(f"{c} * 3 + 11 as {c}" if c.endswith("_id") else c for c in columns)
+
+
+PARAMETERS.update({f"held_{name}": f"select * from {name} where {_HELD_ROWS[name]}" for name in LOADED})
+PARAMETERS.update({f"given_{name}": f"select {_renumbered(name)} from {name}" for name in LOADED})
+
+
+def _loaded(table: str) -> Job:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        def part(kind: str) -> Tables:
+            def build(name: str):
+                def rows() -> DataFrame:
+                    df = derived(spark, folder, f"select * from {kind}_{name}", PARAMETERS)
+                    return conform(with_advisory_times(df) if name == "booking" else df, name)
+
+                return rows
+
+            return Tables({name: build(name) for name in LOADED})
+
+        return load_absent(part("held"), part("given"))[table]
+
+    return run
+
+
+JOBS.update({f"o02_load_{name}": _loaded(name) for name in LOADED})
+
 # ---- streams
 
 # the approvals of the batch job by submission time; those of unknown bookings come first

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from roomgrid.plans.catalog import AS_OF, PARAMETERS, SEMESTER, WINDOW
 from roomgrid.plans.rules import domain_conditions
-from roomgrid.schema import ALTERNATE_KEYS, FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS, TABLES
+from roomgrid.schema import ALTERNATE_KEYS, FOREIGN_KEYS, NATURAL_KEYS, PRIMARY_KEYS, SCHEMAS, TABLES
 from roomgrid.sources.fixtures import with_fragments
 
 _FAR = "timestamp '9999-12-31 23:59:59'"
@@ -853,6 +853,38 @@ select impact_level, maintenance_status, count(*) as maintenance_count from main
     }
 )
 
+_LOADED_IDS = {name: key[0] for name, key in PRIMARY_KEYS.items() if name in NATURAL_KEYS and key != NATURAL_KEYS[name]}
+
+
+def _load_steps(table: str) -> list[str]:
+    """For a table and its parents: g_ (given, with the target's references), a_ (added), l_ (loaded), m_ (ids)."""
+    parents = [(column, parent) for child, column, parent, _ in FOREIGN_KEYS if child == table]
+    steps = [step for parent in dict.fromkeys(p for _, p in parents) for step in _load_steps(parent)]
+    number, keys = _LOADED_IDS.get(table), NATURAL_KEYS[table]
+    moved = "".join(f", m{k}.held as {column}" for k, (column, _) in enumerate(parents))
+    joins = "".join(f" left join m_{parent} m{k} on m{k}.given = g.{column}" for k, (column, parent) in enumerate(parents))
+    left_out = f"exclude ({', '.join(column for column, _ in parents)})" if parents else ""
+    same = " and ".join(f"h.{k} is not distinct from g.{k}" for k in keys)
+    new_id = f", (select coalesce(max({number}), 0) from held_{table}) + row_number() over (order by "
+    new_id += ", ".join(f"{k} nulls first" for k in keys) + f") as {number}"
+    steps += [
+        f"g_{table} as (select g.* {left_out}{moved} from given_{table} g{joins})",
+        f"f_{table} as (select * from g_{table} g where not exists (select 1 from held_{table} h where {same}) "
+        f"qualify row_number() over (partition by {', '.join(keys)} order by {number or keys[0]}) = 1)",
+        f"a_{table} as (select * {f'exclude ({number}) {new_id}' if number else ''} from f_{table})",
+        f"l_{table} as (select * from held_{table} union all by name select * from a_{table})",
+    ]
+    if number:
+        steps.append(f"m_{table} as (select g.{number} as given, min(h.{number}) as held from g_{table} g join l_{table} h on {same} group by 1)")
+    return list(dict.fromkeys(steps))
+
+
+for _table in NATURAL_KEYS:
+    _times = ", cast(null as timestamp) as advisories_presented_at, cast(null as timestamp) as advisory_acknowledged_at"
+    QUERIES[f"o02_load_{_table}"] = (
+        "with " + ",\n".join(_load_steps(_table)) + f"\nselect *{_times if _table == 'booking' else ''} from l_{_table}"
+    )
+
 
 def oracle(name: str) -> str:
     return with_fragments(QUERIES[name].strip(), PARAMETERS)
