@@ -29,6 +29,7 @@ from roomgrid.session import shared_dir
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 1 << 28
 SPLIT_BYTES = 1 << 23
+MAX_TASKS = 10_000  # of a reading job
 _CHUNK = 1 << 18
 _MAGIC = b"\x1f\x8b\x08"
 _DATE = "2024-01-01T00:00:00Z"
@@ -203,10 +204,16 @@ def members(source: _Source, start: int, end: int) -> Iterator[bytes]:
 
 
 def read_warc(spark: SparkSession, folder: str, manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """A row per record of the files (file, bytes) below ``folder``; revisits have no payload."""
+    """A row per record of the files (file, bytes) below ``folder``; revisits have no payload.
+
+    The rows that name ranges are tiny, so Spark would put them all into one task. The number of
+    partitions follows the number of ranges instead, up to ``MAX_TASKS``; beyond it a task
+    reads several ranges one after the other.
+    """
     starts = F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))
     ranges = manifest.where("bytes > 0").select("file", F.col("bytes").alias("size"), F.explode(starts).alias("start"))
-    ranges = ranges.repartition("file", "start")
+    n = ranges.count()
+    ranges = ranges.repartition(min(max(n, 1), MAX_TASKS), "file", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _open(folder)

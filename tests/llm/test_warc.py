@@ -9,6 +9,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from roomgrid.llm import warc as W
 from roomgrid.session import shared_dir
@@ -69,3 +70,12 @@ def test_damage_is_an_error():
 def test_empty_table(spark):
     manifest, got = _trip(spark, [], 100)
     assert manifest.count() == 0 and got == []
+
+
+def test_ranges_are_read_by_many_tasks(spark):
+    folder = shared_dir(spark, "warc")
+    rng = random.Random(3)
+    manifest = W.write_warc(_frame(spark, [(i, "u", rng.randbytes(500).hex()) for i in range(400)]).repartition(2), folder)
+    per_task = W.read_warc(spark, folder, manifest, 4000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 400
+    assert len(per_task) > 20 and max(r["count"] for r in per_task) < 100
