@@ -15,6 +15,7 @@ from roomgrid.session import cut_lineage, shared_dir
 from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables
 from roomgrid.sources.load import LOADED, load_absent
+from roomgrid.sources.snapshots import read_version, write_version
 from roomgrid.sources.tables import Tables, append_rows, conform, load_tables, table_summary, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
 from roomgrid.streaming import approvals, commands, escalations
@@ -222,6 +223,28 @@ def _stored(spark: SparkSession, folder: str) -> str:
     return target
 
 
+def _versioned(table: str) -> Job:
+    """A table after level changes: records replaced and history added to as one version."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        target, read = shared_dir(spark, "versions"), ("maintenance", "app_user", "impact_history")
+        given = derived_tables(spark, folder)
+        first = write_version(spark, target, 0, "load", replaced={name: given[name] for name in read})
+        t = read_version(spark, target, first)
+        changes = workflow.w08_change_impact_level(t, parameter(spark, folder, "level_change"))
+        second = write_version(
+            spark,
+            target,
+            first,
+            "level changes",
+            replaced={"maintenance": workflow.w08_maintenance_snapshot(t, changes)},
+            appended={"impact_history": workflow.w08_impact_history(t, changes, AS_OF)},
+        )
+        return read_version(spark, target, second)[table]
+
+    return run
+
+
 def _stored_and_appended(spark: SparkSession, folder: str) -> DataFrame:
     target = _stored(spark, folder)
     t = load_tables(spark, target)
@@ -304,6 +327,8 @@ JOBS.update(
         "o11_dataset_summary_status": lambda s, f: generate.dataset_summary(derived_tables(s, f))[1],
         "o11_dataset_summary_maintenance": lambda s, f: generate.dataset_summary(derived_tables(s, f))[2],
         "o12_write_tables": _stored_and_appended,
+        "o12_version_maintenance": _versioned("maintenance"),
+        "o12_version_history": _versioned("impact_history"),
     }
 )
 

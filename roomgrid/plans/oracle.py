@@ -790,6 +790,11 @@ QUERIES.update(
     {
         "o01_load_tables": _summary(_ALL),
         "o12_write_tables": _LEVELS + _summary({**_ALL, "impact_history": _HISTORY_AFTER}),
+        "o12_version_maintenance": QUERIES["w08_maintenance_snapshot"],
+        "o12_version_history": _LEVELS
+        + "select * from impact_history union all by name select * from ("
+        + QUERIES["w08_impact_history"].removeprefix(_LEVELS)
+        + ")",
         "o02_insert_if_absent": """
 select *, cast(null as timestamp) as advisories_presented_at, cast(null as timestamp) as advisory_acknowledged_at from (
   select * from booking where booking_status <> 'Completed'
