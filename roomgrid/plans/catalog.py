@@ -271,6 +271,8 @@ JOBS.update(
                 "v10_unique_keys",
                 "v11_orphans",
                 "v12_ack_completeness",
+                "v13_status_changes",
+                "v13_status_reached",
             )
         },
         "v04_maintenance_block_phase1": _on_tables(rules.v04_maintenance_block, mode="phase1"),
@@ -536,6 +538,7 @@ JOBS.update(
         "v08_decision_authority_batch": _on_batch(rules.v08_decision_authority, "claimed_decision"),
         "v09_domain_checks_batch": _on_batch(rules.v09_domain_checks, booking="broken_booking", maintenance="broken_maintenance"),
         "v10_unique_keys_batch": _on_batch(rules.v10_unique_keys, app_user="doubled_user"),
+        "v13_status_reached_batch": _on_batch(rules.v13_status_reached, booking="broken_booking"),
         "v11_orphans_batch": _on_batch(rules.v11_orphans, booking="stray_booking"),
     }
 )

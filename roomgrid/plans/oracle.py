@@ -858,6 +858,36 @@ select impact_level, maintenance_status, count(*) as maintenance_count from main
     }
 )
 
+# one event after the other
+_WALK = """with recursive happened as (
+  select booking_id, cancelled_at as event_time, booking_id as event_id, 'Cancelled' as new_status, 6 as place from booking where cancelled_at is not null
+  union all select booking_id, decision_time, decision_id, if(decision = 'Rejected', 'Rejected', 'Approved'), if(decision = 'Rejected', 2, 1) from booking_decision
+  union all select booking_id, actual_start_time, usage_session_id, 'CheckedIn', 3 from usage_session
+  union all select booking_id, actual_end_time, usage_session_id, 'Completed', 4 from usage_session where actual_end_time is not null),
+numbered as (select *, row_number() over (partition by booking_id order by event_time, place, event_id) as k from happened),
+walk as (
+  select booking_id, cast(0 as bigint) as k, 'Pending' as status, 'Pending' as status_before, false as refused from booking
+  union all
+  select booking_id, k, if(legal, new_status, status), status, not legal from (
+    select n.booking_id, n.k, n.new_status, w.status, concat(w.status, '>', n.new_status) in ('Pending>Approved', 'Pending>Rejected',
+      'Pending>Cancelled', 'Approved>Cancelled', 'Approved>CheckedIn', 'Approved>NoShow', 'CheckedIn>Completed') as legal
+    from walk w join numbered n on n.booking_id = w.booking_id and n.k = w.k + 1))
+"""
+_REACHED = """
+select b.booking_id, b.booking_status, e.status as reached_status from {booking} b
+join (select booking_id, arg_max(status, k) as status from walk group by booking_id) e on e.booking_id = b.booking_id
+where b.booking_status is distinct from e.status and not (b.booking_status = 'NoShow' and e.status = 'Approved')
+"""
+
+QUERIES.update(
+    {
+        "v13_status_changes": _WALK
+        + "select booking_id, event_time, event_id, status_before, new_status from walk join numbered using (booking_id, k) where refused",
+        "v13_status_reached": _WALK + _REACHED.format(booking="booking"),
+        "v13_status_reached_batch": _WALK + _REACHED.format(booking="broken_booking"),
+    }
+)
+
 _LOADED_IDS = {name: key[0] for name, key in PRIMARY_KEYS.items() if name in NATURAL_KEYS and key != NATURAL_KEYS[name]}
 
 

@@ -28,6 +28,7 @@ from roomgrid.schema import (
     PERSONNEL,
     PRIMARY_KEYS,
     SCHEMAS,
+    STATUS_CHANGES,
     TEXT_LIMITS,
 )
 
@@ -268,3 +269,112 @@ def v12_ack_completeness(t, batch: DataFrame | None = None) -> DataFrame:
             "missing_advisories"
         ),
     )
+
+
+# places of the statuses in a booking's life, for events of one instant
+_PLACES = ("Approved", "Rejected", "CheckedIn", "Completed", "NoShow", "Cancelled")
+
+
+def status_events(t) -> DataFrame:
+    """What asks for a change of a booking's status: booking_id, new_status, event_time, event_id, _at (their order)."""
+
+    def event(time: str, status: Column, number: str) -> Column:
+        return F.struct(F.col(time).alias("event_time"), status.alias("new_status"), F.col(number).alias("event_id"))
+
+    def unfolded(df: DataFrame, *events: Column) -> DataFrame:
+        rows = df.select("booking_id", F.explode(F.array(*events)).alias("e")).select("booking_id", "e.*")
+        return rows.where("event_time is not null")
+
+    decided = F.when(F.col("decision") == "Rejected", "Rejected").otherwise("Approved")
+    events = _union(
+        [
+            unfolded(t["booking"], event("cancelled_at", F.lit("Cancelled"), "booking_id")),
+            unfolded(t["booking_decision"], event("decision_time", decided, "decision_id")),
+            unfolded(
+                t["usage_session"],
+                event("actual_start_time", F.lit("CheckedIn"), "usage_session_id"),
+                event("actual_end_time", F.lit("Completed"), "usage_session_id"),
+            ),
+        ]
+    )
+    place = F.array_position(F.array(*map(F.lit, _PLACES)), F.col("new_status"))
+    return events.withColumn("_at", F.struct("event_time", place.alias("place"), "event_id"))
+
+
+def _may_follow(before: str, after: str) -> Column:
+    rule = F.lit(False)
+    for status, following in STATUS_CHANGES.items():
+        rule = rule | ((F.col(before) == status) & F.col(after).isin(*following))
+    return rule
+
+
+def _longest_life() -> int:
+    def length(status: str) -> int:
+        return max((1 + length(s) for s in STATUS_CHANGES.get(status, ())), default=0)
+
+    return length("Pending")
+
+
+def status_steps(events: DataFrame) -> DataFrame:
+    """Per booking that left Pending: ``_steps``, its legal changes (at, status) in order.
+
+    A change that may not follow is refused and changes nothing, so the state is that of the last
+    legal one. No status comes twice in a life: a life has at most as many changes as the longest
+    way through ``STATUS_CHANGES``. The k-th is the first event after the one before it that may follow
+    it: a minimum per booking, combined before the shuffle. No booking's events have to be
+    sorted or held together, however many they are.
+    """
+    change = F.struct(F.col("_at").alias("at"), F.col("new_status").alias("status"))
+    last = events.where(F.col("new_status").isin(*STATUS_CHANGES["Pending"])).groupBy("booking_id").agg(F.min(change).alias("_last"))
+    lives = last.select("booking_id", F.array("_last").alias("_steps"))
+    for _ in range(_longest_life() - 1):
+        held = last.where(F.col("_last.status").isin(*STATUS_CHANGES)).select(
+            F.col("booking_id").alias("_held"), F.col("_last.at").alias("_since"), F.col("_last.status").alias("_status")
+        )
+        last = (
+            events.join(held, F.col("booking_id") == F.col("_held"))
+            .where((F.col("_at") > F.col("_since")) & _may_follow("_status", "new_status"))
+            .groupBy("booking_id")
+            .agg(F.min(change).alias("_last"))
+        )
+        added = last.withColumnRenamed("booking_id", "_held")
+        steps = F.when(F.col("_last").isNull(), F.col("_steps")).otherwise(F.array_append("_steps", F.col("_last")))
+        lives = lives.join(added, F.col("booking_id") == F.col("_held"), "left").select("booking_id", steps.alias("_steps"))
+    return lives
+
+
+def v13_status_changes(t) -> DataFrame:
+    """Events that ask for a status change the booking may not make at that time, with its status before.
+
+    Events of one instant count in the order approval or refusal, check-in, check-out, cancellation.
+    """
+    events = status_events(t)
+    lives = status_steps(events).withColumnRenamed("booking_id", "_of")
+    done = F.filter("_steps", lambda s: s["at"] < F.col("_at"))
+    return (
+        events.join(lives, F.col("booking_id") == F.col("_of"), "left")
+        .where(~F.coalesce(F.exists("_steps", lambda s: s["at"] == F.col("_at")), F.lit(False)))
+        .select(
+            "booking_id",
+            "event_time",
+            "event_id",
+            F.coalesce(F.try_element_at(done, F.lit(-1))["status"], F.lit("Pending")).alias("status_before"),
+            "new_status",
+        )
+    )
+
+
+def v13_status_reached(t, batch: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Bookings whose stated status is not the one their events lead to.
+
+    A no-show has no event of its own; it may be stated of an approved booking.
+    """
+    lives = status_steps(status_events(t)).withColumnRenamed("booking_id", "_of")
+    stated = (batch or t)["booking"].select("booking_id", "booking_status")
+    reached = F.coalesce(F.try_element_at("_steps", F.lit(-1))["status"], F.lit("Pending"))
+    missed = (F.col("booking_status") == "NoShow") & _may_follow("reached_status", "booking_status")
+    return (
+        stated.join(lives, F.col("booking_id") == F.col("_of"), "left")
+        .select("booking_id", "booking_status", reached.alias("reached_status"))
+        .where(~F.col("booking_status").eqNullSafe(F.col("reached_status")) & ~F.coalesce(missed, F.lit(False)))
+    )

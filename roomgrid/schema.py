@@ -70,6 +70,13 @@ PERSONNEL = ("FacilityStaff", "FacilityManager")
 ADVISORY, OUT_OF_SERVICE = "advisory", "out-of-service"
 IMPACT_LEVELS = (ADVISORY, OUT_OF_SERVICE)
 
+# The status changes a booking may make; it begins as Pending.
+STATUS_CHANGES = {
+    "Pending": ("Approved", "Rejected", "Cancelled"),
+    "Approved": ("Cancelled", "CheckedIn", "NoShow"),
+    "CheckedIn": ("Completed",),
+}
+
 PRIMARY_KEYS = {
     "app_user": ["user_id"],
     "space": ["space_id"],
