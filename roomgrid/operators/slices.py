@@ -12,15 +12,21 @@ rows, so a scan first cuts the order of large groups into slices:
    from one aggregate row per slice, made for cut groups only and joined back.
 
 Group keys may be NULL; NULLs are one group.
+
+A whole table has no group to join by. It is sorted into ranges instead (``in_ranges``); sums
+over the ranges, one row each, are added up on the driver and sent back.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roomgrid.session import cut_lineage
+
 ROWS_PER_SLICE = 1 << 21
 _CHUNK = 512
 SLICE = "_slice"
@@ -127,8 +133,37 @@ def running(
     return carried.withColumns(out).drop(SLICE, *[f"_carry_{name}" for name in values])
 
 
-def numbered(df: DataFrame, order: list[str], name: str, *, start=0, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def in_ranges(df: DataFrame, order: list[str], *, slices: int | None = None) -> DataFrame:
+    """The whole table stored in ranges of a total order: adds ``_slice`` and ``_in_slice``, a row's place in it from 0.
+
+    The ranges come from a sample, so they are stored with the rows; a second look sees the same ones.
+    """
+    ranges = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    placed = ranges.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    # Spark's number is the partition's above 33 bits and the row's below them
+    parts = {SLICE: F.shiftright("_at", 33), "_in_slice": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}
+    return cut_lineage(placed.withColumns(parts).drop("_at"))
+
+
+def _with_total_before(stored: DataFrame, value: Column) -> DataFrame:
+    """Add ``_before``: the sum of ``value`` over all earlier slices. The driver sees one row a slice."""
+    sums = stored.groupBy(SLICE).agg(F.sum(value).alias("total")).orderBy(SLICE).collect()
+    starts = accumulate((r["total"] for r in sums), initial=0)
+    offsets = stored.sparkSession.createDataFrame(
+        [(r[SLICE], before) for r, before in zip(sums, starts)], f"{SLICE} bigint, _before bigint"
+    )
+    return stored.join(F.broadcast(offsets), SLICE)
+
+
+def total_before(df: DataFrame, order: list[str], name: str, value: str, *, slices: int | None = None) -> DataFrame:
+    """Add the sum of a whole number over all rows before each one in a total order of the table."""
+    within = Window.partitionBy(SLICE).orderBy("_in_slice").rowsBetween(Window.unboundedPreceding, -1)
+    summed = _with_total_before(in_ranges(df, order, slices=slices), F.col(value))
+    here = F.coalesce(F.sum(value).over(within), F.lit(0))
+    return summed.withColumn(name, F.col("_before") + here).drop(SLICE, "_in_slice", "_before")
+
+
+def numbered(df: DataFrame, order: list[str], name: str, *, start: int = 0, slices: int | None = None) -> DataFrame:
     """Number all rows from ``start + 1`` in a total order; the same rows always get the same numbers."""
-    whole = df.withColumn("_all", F.lit(0))
-    counted = running(whole, ["_all"], order, {name: ("sum", F.lit(1).cast("long"))}, inclusive=True, rows_per_slice=rows_per_slice)
-    return counted.withColumn(name, F.col(name) + start).drop("_all")
+    counted = _with_total_before(in_ranges(df, order, slices=slices), F.lit(1))
+    return counted.withColumn(name, F.col("_before") + F.col("_in_slice") + (start + 1)).drop(SLICE, "_in_slice", "_before")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roomgrid.functions.exprs import as_decimal, hour_diff, hundredths, minute_diff, ntz, open_end, overlaps, percent
+from roomgrid.operators import first_come as first_come_module
 from roomgrid.operators.first_come import first_come
 from roomgrid.operators.overlap import (
     at_least_pairs,
@@ -93,7 +94,7 @@ def test_neighbours_and_running_values(spark, slice_rows):
     assert {r.id: r.m for r in out.collect()} == top
     out = running(df, ["room"], order, {"c": ("sum", F.lit(1))}, inclusive=True, rows_per_slice=slice_rows)
     assert {r.id: r.c for r in out.collect()} == count
-    assert [r.k for r in numbered(df, order, "k", start=7, rows_per_slice=slice_rows).orderBy(*order).collect()] == list(range(8, 408))
+    assert [r.k for r in numbered(df, order, "k", start=7, slices=400 // slice_rows + 1).orderBy(*order).collect()] == list(range(8, 408))
 
 
 def test_slices_split_a_hot_group_and_follow_its_order(spark):
@@ -109,7 +110,7 @@ def test_rank_with_ties_and_nulls(spark, slice_rows):
     rng = random.Random(2)
     rows = [(i, rng.choice([0, 0, 1]), rng.choice([None, 1, 2, 2, 3, 9])) for i in range(120)]
     df = spark.createDataFrame(rows, "id int, g int, v int")
-    whole = {r.id: r.k for r in ranked(df, ["v"], "k", rows_per_slice=slice_rows).collect()}
+    whole = {r.id: r.k for r in ranked(df, ["v"], "k", slices=3 if slice_rows == 2 else None).collect()}
     within = {r.id: r.k for r in ranked(df, ["v"], "k", within=["g"], rows_per_slice=slice_rows).collect()}
     low = lambda v: -1 if v is None else v
     assert whole == {i: 1 + sum(low(w) < low(v) for _, _, w in rows) for i, _, v in rows}
@@ -182,6 +183,36 @@ def test_first_come(spark, max_island, chain):
     assert {r.id: r.accepted for r in out.collect()} == served(rows)
 
 
+def line_of_requests(kind, n=150):
+    """Long lines in which each waits for the one before, in one direction or two, and with rows in between."""
+    rng = random.Random(n)
+    quarter = dt.timedelta(minutes=15)
+    rows = []
+    for i in range(n):
+        place = {"backwards": n - i, "in two": abs(2 * i - n), "crowded": i, "uneven": i}[kind]
+        start = T0 + quarter * 4 * i
+        end = start + quarter * (rng.randrange(3, 14) if kind in ("crowded", "uneven") else 6)
+        pre, post = (quarter * rng.choice([0, 1, 8 if kind == "uneven" else 1]) for _ in range(2))
+        late = kind == "crowded" and i % 3 == 1
+        rows.append((i, 0, start, end, start - pre, end + post, T0 + dt.timedelta(minutes=place + (n if late else 0))))
+    return rows
+
+
+@pytest.mark.parametrize("kind", ["backwards", "in two", "crowded", "uneven"])
+def test_first_come_follows_long_lines_in_few_rounds(spark, kind, monkeypatch):
+    rounds, workers = [], []
+    kept, worker = first_come_module._round, first_come_module._decide_islands
+    monkeypatch.setattr(first_come_module, "_round", lambda *args: rounds.append(1) or kept(*args))
+    monkeypatch.setattr(first_come_module, "_decide_islands", lambda *args: workers.append(1) or worker(*args))
+    rows = line_of_requests(kind)
+    df = spark.createDataFrame(
+        rows, "id bigint, room bigint, s timestamp_ntz, e timestamp_ntz, ws timestamp_ntz, we timestamp_ntz, t timestamp_ntz"
+    )
+    out = first_come(df, ["room"], ["t", "id"], ("s", "e"), ("ws", "we"), "id", max_island=4, rows_per_slice=50)
+    assert {r.id: r.accepted for r in out.collect()} == served(rows)
+    assert len(rounds) <= 5 and len(workers) == 1  # the worker had the small islands alone
+
+
 def test_policy_choice(spark):
     policies = frame(
         spark,
