@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from roomgrid.plans import analytics, reports, rules, workflow
+from roomgrid.plans import analytics, catalog, reports, rules, workflow
 from roomgrid.plans.catalog import AS_OF, SEMESTER, parameter, room_requests
 from roomgrid.session import shared_dir
 from roomgrid.sources.fixtures import derived_tables
@@ -49,6 +49,14 @@ def test_no_products(spark, stored, name, broadcast):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+@pytest.mark.parametrize("name", ["o07_generate_bookings", "r05_capacity_demand", "r12_requester_reliability", "w07_record_decisions", "w08_impact_history"])
+def test_whole_tables_are_numbered_by_ranges(spark, name):
+    """No constant key that would put all rows into one group, and no row of cut points to loop over."""
+    text = plan(catalog.JOBS[name](spark, FOLDER))
+    assert "_all" not in text and "_cuts" not in text and "CartesianProduct" not in text
+    assert "BroadcastNestedLoopJoin" not in text
+
+
 def test_scans_are_pruned_and_filtered(spark, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     text = plan(analytics.a01_semester_hours(stored, *SEMESTER))
