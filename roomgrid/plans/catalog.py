@@ -18,7 +18,7 @@ from roomgrid.sources.load import LOADED, load_absent
 from roomgrid.sources.snapshots import read_version, write_version
 from roomgrid.sources.tables import Tables, append_rows, conform, load_tables, table_summary, write_tables
 from roomgrid.sources.upgrade import upgrade_phase1, with_advisory_times
-from roomgrid.streaming import approvals, commands, escalations
+from roomgrid.streaming import approvals, commands, escalations, flags
 
 AS_OF = "1998-07-01 00:00:00"
 SEMESTER = ("1998-01-01 00:00:00", "1998-06-01 00:00:00")
@@ -464,10 +464,19 @@ def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame,
     return escalations.written(spark, "impact_history", out), escalations.written(spark, "booking_impact", out)
 
 
+def _streamed_flags(spark: SparkSession, folder: str) -> DataFrame:
+    given = flags.arrivals_of(derived_tables(spark, folder))
+    out = shared_dir(spark, "flags")
+    _in_two_runs(given, "at", flags.ARRIVALS, lambda stream, checkpoint: flags.s03_stream_pending_flags(stream, out, checkpoint))
+    return spark.read.schema(flags.FLAGS).parquet(f"{out}/flags").select("booking_id", "maintenance_id", "flagged_at")
+
+
 JOBS.update(
     {
         "s01_stream_approvals": _streamed_approvals,
         "s01_stream_approvals_impacts": _streamed_commands,
+        "w13_pending_flags": lambda s, f: flags.w13_pending_flags(derived_tables(s, f)),
+        "s03_stream_pending_flags": _streamed_flags,
         "s02_stream_escalations": lambda s, f: _streamed_escalations(s, f)[1].select(
             "maintenance_id", "booking_id", "identified_at", "identified_by_user_id", "contact_status"
         ),

@@ -888,6 +888,13 @@ QUERIES.update(
     }
 )
 
+_PENDING_FLAGS = f"""
+select b.booking_id, m.maintenance_id, greatest(b.submitted_at, m.start_time) as flagged_at
+from booking b join maintenance m on m.space_id = b.space_id and {_MEETS}
+where b.booking_status = 'Pending' and m.maintenance_status in {_REPAIR} and m.impact_level = 'out-of-service'
+"""
+QUERIES.update({"w13_pending_flags": _PENDING_FLAGS, "s03_stream_pending_flags": _PENDING_FLAGS})
+
 _LOADED_IDS = {name: key[0] for name, key in PRIMARY_KEYS.items() if name in NATURAL_KEYS and key != NATURAL_KEYS[name]}
 
 
