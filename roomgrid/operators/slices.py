@@ -139,18 +139,18 @@ def in_ranges(df: DataFrame, order: list[str], *, slices: int | None = None) ->
     The ranges come from a sample, so they are stored with the rows; a second look sees the same ones.
     """
     ranges = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    placed = ranges.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = ranges.sortWithinPartitions(*order).withColumn("_slice_row", F.monotonically_increasing_id())
     # Spark's number is the partition's above 33 bits and the row's below them
-    parts = {SLICE: F.shiftright("_at", 33), "_in_slice": F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))}
-    return cut_lineage(placed.withColumns(parts).drop("_at"))
+    parts = {SLICE: F.shiftright("_slice_row", 33), "_in_slice": F.col("_slice_row").bitwiseAND(F.lit((1 << 33) - 1))}
+    return cut_lineage(placed.withColumns(parts).drop("_slice_row"))
 
 
 def _with_total_before(stored: DataFrame, value: Column) -> DataFrame:
-    """Add ``_before``: the sum of ``value`` over all earlier slices. The driver sees one row a slice."""
+    """Add ``_slice_start``: the sum of ``value`` over all earlier slices. The driver sees one row a slice."""
     sums = stored.groupBy(SLICE).agg(F.sum(value).alias("total")).orderBy(SLICE).collect()
     starts = accumulate((r["total"] for r in sums), initial=0)
     offsets = stored.sparkSession.createDataFrame(
-        [(r[SLICE], before) for r, before in zip(sums, starts)], f"{SLICE} bigint, _before bigint"
+        [(r[SLICE], before) for r, before in zip(sums, starts)], f"{SLICE} bigint, _slice_start bigint"
     )
     return stored.join(F.broadcast(offsets), SLICE)
 
@@ -160,10 +160,10 @@ def total_before(df: DataFrame, order: list[str], name: str, value: str, *, slic
     within = Window.partitionBy(SLICE).orderBy("_in_slice").rowsBetween(Window.unboundedPreceding, -1)
     summed = _with_total_before(in_ranges(df, order, slices=slices), F.col(value))
     here = F.coalesce(F.sum(value).over(within), F.lit(0))
-    return summed.withColumn(name, F.col("_before") + here).drop(SLICE, "_in_slice", "_before")
+    return summed.withColumn(name, F.col("_slice_start") + here).drop(SLICE, "_in_slice", "_slice_start")
 
 
 def numbered(df: DataFrame, order: list[str], name: str, *, start: int = 0, slices: int | None = None) -> DataFrame:
     """Number all rows from ``start + 1`` in a total order; the same rows always get the same numbers."""
     counted = _with_total_before(in_ranges(df, order, slices=slices), F.lit(1))
-    return counted.withColumn(name, F.col("_before") + F.col("_in_slice") + (start + 1)).drop(SLICE, "_in_slice", "_before")
+    return counted.withColumn(name, F.col("_slice_start") + F.col("_in_slice") + (start + 1)).drop(SLICE, "_in_slice", "_slice_start")
