@@ -20,7 +20,7 @@ exact:
 
 A line that turns round in time goes on inside the gap between two accepted rows, which is at
 most as long as the longest request, so few turns are to be expected. Rounds end when all is
-decided, or when one decides less than a twentieth; that needs many rows that wait for both
+decided, or when one in each direction decides less than a twentieth; that needs many rows that wait for both
 sides. What is left then is small islands, or goes to the worker in order as a stream.
 
 "Who is the first that this interval meets?" is asked with cells of 1, 2, 4, ... time units: an
@@ -39,7 +39,7 @@ from roomgrid.operators.slices import ROWS_PER_SLICE, numbered, running
 from roomgrid.session import cut_lineage
 
 MAX_ISLAND = 1 << 20
-# a round that decides less than this share of the open requests is the last one
+# two rounds, one in each direction, that decide less than this share of the open requests are the last
 WORTHWHILE = 0.05
 #: microseconds of the time units, largest first; all times must be multiples of the one taken
 _UNITS = (3_600_000_000, 60_000_000, 1_000_000, 1)
@@ -242,6 +242,7 @@ def first_come(
     group = F.to_json(F.struct(*keys)).alias("_group")
     open_rows = numbered(sized.where(F.col("_n") > max_island), order, "_place").select(group, "_place", F.col(row_id).alias("_id"), *times)
     open_rows, cells = _in_units(cut_lineage(open_rows))
+    poor = 0
     while True:
         total = open_rows.count()
         decided = cut_lineage(_round(open_rows, cells, rows_per_slice))
@@ -251,7 +252,8 @@ def first_come(
         if not left:
             return out
         open_rows = _turned(decided.where(F.col("verdict").isNull()).drop("verdict"))
-        if total - left < WORTHWHILE * total:
+        poor = poor + 1 if total - left < WORTHWHILE * total else 0
+        if poor == 2:  # in either direction
             rest = requests.select(*columns).join(open_rows.select(F.col("_id").alias(row_id)), row_id, "left_semi")
             rest = cut_lineage(with_islands(rest, keys, wide, row_id, rows_per_slice=rows_per_slice))
             return out.unionByName(_decide_islands(rest, keys, order, narrow, wide, row_id))
