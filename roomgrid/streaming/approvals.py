@@ -27,6 +27,9 @@ from roomgrid.schema import ACTIVE_MAINTENANCE, PERSONNEL
 LEAD_CODE = 51050
 # Stands for NULL in whole numbers on their way to Python, where a NULL would make doubles of the column.
 _NONE = -(1 << 63)
+# Keys that stand for no key, and copies of a maker's row: no task gets all commands without a booking, record or room.
+_NO_KEY_PLACES = 4096
+_MAKER_PLACES = 64
 
 COMMANDS = (
     "command_id bigint, kind string, at timestamp_ntz, booking_id bigint, decision_maker_user_id bigint, is_auto boolean, "
@@ -46,6 +49,15 @@ _STATE = (
 def prepare(commands: DataFrame, t, standing: DataFrame) -> DataFrame:
     """Join the commands to what is known about their booking or maintenance record."""
     makers = _active_people(t, "maker", PERSONNEL)
+    # commands that name no booking or no record are dealt to many places, those of a busy maker as well
+    spread = F.pmod(F.xxhash64("command_id"), F.lit(_NO_KEY_PLACES))
+    placed = commands.select(
+        "*",
+        F.coalesce("booking_id", -1 - spread).alias("_booking"),
+        F.coalesce("maintenance_id", -1 - spread).alias("_record"),
+        (spread % _MAKER_PLACES).cast("int").alias("_place"),
+    )
+    makers = makers.select("maker_found", F.explode(F.sequence(F.lit(0), F.lit(_MAKER_PLACES - 1))).alias("maker_place"))
     second = [
         ("requested_start_time", "raw_from"),
         ("requested_end_time", "raw_until"),
@@ -62,10 +74,12 @@ def prepare(commands: DataFrame, t, standing: DataFrame) -> DataFrame:
     )
     facts = standing.withColumnRenamed("booking_id", "known_booking")
     joined = (
-        commands.join(facts, F.col("booking_id") == F.col("known_booking"), "left")
-        .join(records, F.col("maintenance_id") == F.col("record"), "left")
-        .join(makers, F.col("decision_maker_user_id") == F.col("maker_found"), "left")
+        placed.join(makers, (F.col("decision_maker_user_id") == F.col("maker_found")) & (F.col("_place") == F.col("maker_place")), "left")
+        .join(records, (F.col("_record") == F.col("record")) & F.col("maintenance_id").isNotNull(), "left")
+        .join(facts, (F.col("_booking") == F.col("known_booking")) & F.col("booking_id").isNotNull(), "left")
     )
+    room = F.coalesce("space_id", "record_space")
+    subject = F.coalesce(F.when(F.col("kind") == "level", F.col("maintenance_id")).otherwise(F.col("booking_id")), F.col("command_id"))
     level_code = (
         F.when(~F.col("new_level").isin("advisory", "out-of-service"), 51045)
         .when(F.col("record").isNull(), 51046)
@@ -76,7 +90,9 @@ def prepare(commands: DataFrame, t, standing: DataFrame) -> DataFrame:
     return joined.select(
         "command_id",
         "kind",
-        F.coalesce("space_id", "record_space", F.lit(-1).cast("long")).alias("space_id"),
+        F.coalesce(room, F.lit(-1).cast("long")).alias("space_id"),
+        # without a room only the commands of one booking or record can meet
+        F.when(room.isNull(), F.pmod(F.xxhash64(subject), F.lit(_NO_KEY_PLACES))).otherwise(F.lit(0)).cast("long").alias("place"),
         F.timestamp_seconds(epoch_second("at")).alias("at"),  # the watermark counts as at_second does, in any session zone
         epoch_second("at").alias("at_second"),
         "booking_id",
@@ -204,7 +220,7 @@ def s01_stream_approvals(
     if lead_rule:
         ready = ready.withWatermark("at", delay)
     names = [c.split()[0] for c in OUTCOMES.split(", ")]
-    return ready.groupBy("space_id").applyInPandasWithState(
+    return ready.groupBy("space_id", "place").applyInPandasWithState(
         _decider(lead_rule, LEAD_CODE, names), OUTCOMES, _STATE, "append", GroupStateTimeout.NoTimeout
     )
 

@@ -3,13 +3,15 @@
 The commands, the facts joined to them and the outcomes are those of ``approvals``. A room's
 state is not one row but entries of their own, in Spark's RocksDB state store:
 
-* ``taken``: per day, the accepted intervals that touch it. A request reads the days it
-  touches, so a command costs the same whatever the room has seen before.
-* ``approved``: the bookings approved; ``levels``: the records whose level was changed;
-  ``reported``: the pairs of record and booking that were reported.
+* ``taken``: per day, the accepted intervals that touch it and their bookings. A request reads
+  the days it touches, so a command costs the same whatever the room has seen before.
+* ``levels``: the records whose level was changed; ``reported``: the pairs of record and booking
+  that were reported.
 * ``last``: the last day in use, where a record without an end stops looking.
 
-Only entries that a command changes are written. Nothing is dropped for being late, so state
+An entry is a call from the worker to Spark. The commands of a room in a micro-batch share what
+they read, each entry once, and what they changed is written at the end, each entry once. A room
+that nobody has been given yet has no intervals to read. Nothing is dropped for being late, so state
 is kept; ``approvals`` trims it by its lead rule.
 """
 
@@ -34,40 +36,71 @@ def _processor(columns: list[str], none: int = _NONE, day: int = DAY):
     class Room(StatefulProcessor):
         def init(self, handle) -> None:
             self.taken = handle.getMapState("taken", "day bigint", "starts array<bigint>, ends array<bigint>, ids array<bigint>")
-            self.approved = handle.getMapState("approved", "booking bigint", "command bigint")
             self.levels = handle.getMapState("levels", "record bigint", "level string")
             self.reported = handle.getMapState("reported", "record bigint, booking bigint", "command bigint")
             self.last = handle.getValueState("last", "day bigint")
 
+        def begin(self) -> None:
+            """Forget what was read for another room."""
+            self.days, self.known, self.pairs = {}, {}, {}
+            self.changed_days, self.changed_levels, self.changed_pairs = set(), set(), set()
+            self.until = self.stored = self.last.get()[0] if self.last.exists() else None
+
+        def finish(self) -> None:
+            for d in sorted(self.changed_days):
+                self.taken.updateValue((d,), self.days[d])
+            for record in sorted(self.changed_levels):
+                self.levels.updateValue((record,), (self.known[record],))
+            for pair in sorted(self.changed_pairs):
+                self.reported.updateValue(pair, (self.pairs[pair],))
+            if self.until != self.stored:
+                self.last.update((self.until,))
+
+        def held(self, d: int) -> tuple:
+            """Starts, ends and bookings of a day; nothing is stored of a room before its first interval, or after its last."""
+            if d not in self.days:
+                row = self.taken.getValue((d,)) if self.stored is not None and d <= self.stored else None
+                self.days[d] = tuple(list(x) for x in row) if row else ([], [], [])
+            return self.days[d]
+
+        def level(self, record: int, given):
+            if record not in self.known:
+                row = self.levels.getValue((record,))
+                self.known[record] = row[0] if row else None
+            return given if self.known[record] is None else self.known[record]
+
+        def told(self, pair: tuple) -> bool:
+            if pair not in self.pairs:
+                self.pairs[pair] = 0 if self.stored is not None and self.reported.containsKey(pair) else None
+            return self.pairs[pair] is not None
+
         def between(self, begin: int, end: int, days: range):
             """Accepted (booking) that meet the time from ``begin`` to ``end``, each once, by start."""
             found = {}
             for d in days:
-                held = self.taken.getValue((d,))
-                for lo, hi, booking in zip(*held) if held else ():
+                for lo, hi, booking in zip(*self.held(d)):
                     if lo < end and hi > begin:
                         found[booking] = lo
             return sorted(found, key=lambda b: (found[b], b))
 
-        def accept(self, begin: int, end: int, booking: int, command: int) -> None:
+        def accept(self, begin: int, end: int, booking: int) -> None:
             days = range(begin // day, max(begin, end - 1) // day + 1)
             for d in days:
-                starts, ends, ids = (list(x) for x in self.taken.getValue((d,)) or ((), (), ()))
-                self.taken.updateValue((d,), (starts + [begin], ends + [end], ids + [booking]))
-            self.approved.updateValue((booking,), (command,))
-            if not self.last.exists() or self.last.get()[0] < days[-1]:
-                self.last.update((days[-1],))
+                for held, new in zip(self.held(d), (begin, end, booking)):
+                    held.append(new)
+                self.changed_days.add(d)
+            if self.until is None or self.until < days[-1]:
+                self.until = days[-1]
 
         def refusal(self, r: dict, booking: int) -> int | None:
-            if self.approved.containsKey((booking,)):
+            if booking in self.held(int(r["raw_from"]) // day)[2]:
                 return 51036
             begin, end = int(r["wide_from"]), int(r["wide_until"])
             if r["taken"] or self.between(begin, end, range(begin // day, max(begin, end - 1) // day + 1)):
                 return 51041
             now = set()
             for record, level in zip(r["met_records"], r["met_levels"]) if r["met_records"] is not None else ():
-                changed = self.levels.getValue((int(record),))
-                now.add(changed[0] if changed else level)
+                now.add(self.level(int(record), level))
             if "out-of-service" in now:
                 return 51042
             return 51043 if "advisory" in now and not r["acknowledge"] else None
@@ -76,7 +109,7 @@ def _processor(columns: list[str], none: int = _NONE, day: int = DAY):
             booking = None if r["booking_id"] == none else int(r["booking_id"])
             code = int(r["code"]) or self.refusal(r, booking)
             if code is None:
-                self.accept(int(r["raw_from"]), int(r["raw_until"]), booking, int(r["command_id"]))
+                self.accept(int(r["raw_from"]), int(r["raw_until"]), booking)
             yield code, None if code else "AutoApproved" if r["is_auto"] else "Approved", booking, None
 
         def change(self, r: dict) -> Iterator[tuple]:
@@ -84,18 +117,19 @@ def _processor(columns: list[str], none: int = _NONE, day: int = DAY):
                 yield int(r["code"]), None, None, None
                 return
             record, level = int(r["maintenance_id"]), r["new_level"]
-            before = self.levels.getValue((record,))
-            if (before[0] if before else r["record_level"]) == level:
+            if self.level(record, r["record_level"]) == level:
                 yield None, "Unchanged", None, None
                 return
-            self.levels.updateValue((record,), (level,))
+            self.known[record] = level
+            self.changed_levels.add(record)
             yield None, "Changed", None, None
-            if level == "out-of-service" and self.last.exists():
+            if level == "out-of-service" and self.until is not None:
                 begin, end = int(r["record_from"]), int(r["record_until"])
-                days = range(begin // day, min(max(begin, end - 1) // day, self.last.get()[0]) + 1)
+                days = range(begin // day, min(max(begin, end - 1) // day, self.until) + 1)
                 for booking in self.between(begin, end, days):
-                    if not self.reported.containsKey((record, booking)):
-                        self.reported.updateValue((record, booking), (int(r["command_id"]),))
+                    if not self.told((record, booking)):
+                        self.pairs[record, booking] = int(r["command_id"])
+                        self.changed_pairs.add((record, booking))
                         yield None, "Impact", None, booking
 
         def handleInputRows(self, key, rows, timerValues):
@@ -103,11 +137,13 @@ def _processor(columns: list[str], none: int = _NONE, day: int = DAY):
 
             commands = [r for batch in rows for r in batch.to_dict("records")]
             commands.sort(key=lambda r: (r["at_second"], r["command_id"]))
+            self.begin()
             out = []
             for r in commands:
                 record = None if r["maintenance_id"] == none else int(r["maintenance_id"])
                 found = self.change(r) if r["kind"] == "level" else self.approve(r)
                 out += [(int(r["command_id"]), r["kind"], int(key[0]), booking, record, code, result, hit) for code, result, booking, hit in found]
+            self.finish()
             frame = pd.DataFrame(out, columns=columns, dtype=object)
             for c in ("command_id", "space_id", "booking_id", "maintenance_id", "code", "impacted_booking_id"):
                 frame[c] = frame[c].astype("Int32" if c == "code" else "Int64")
@@ -126,7 +162,7 @@ def s01_stream_commands(commands: DataFrame, t, standing: DataFrame) -> DataFram
     """
     names = [c.split()[0] for c in OUTCOMES.split(", ")]
     ready = _without_null(prepare(commands, t, standing))
-    return ready.groupBy("space_id").transformWithStateInPandas(_processor(names), OUTCOMES, "append", "none")
+    return ready.groupBy("space_id", "place").transformWithStateInPandas(_processor(names), OUTCOMES, "append", "none")
 
 
 @contextmanager
