@@ -7,7 +7,8 @@ rows, so a scan first cuts the order of large groups into slices:
    row stays. The choice depends on the row's keys alone, so a task that is run again finds
    the same slices. A small group has no cut point as a rule, a large one has many.
 2. Each row gets the number of its group's cut points up to its own order key. The cut points
-   are joined by group, so a row only meets those of its own group.
+   are joined by group, so a row only meets those of its own group. There is one in about two
+   million rows, so they are sent to the rows: the rows travel once, for the window.
 3. The window runs per (group, slice). What a slice needs from the slices before it comes
    from one aggregate row per slice, made for cut groups only and joined back.
 
@@ -53,7 +54,7 @@ def with_slices(df: DataFrame, keys: list[str], order: list[str], rows_per_slice
     within = F.slice("_cuts", F.greatest(F.col("_chunk") - 1, F.lit(0)) * _CHUNK + 1, _CHUNK)
     number = F.when(F.col("_chunk") > 0, (F.col("_chunk") - 1) * _CHUNK + F.size(F.filter(within, lambda cut: cut <= key)))
     return (
-        df.join(cuts, _same(keys, own), "left")
+        df.join(F.broadcast(cuts), _same(keys, own), "left")
         .withColumn("_cut", F.col("_cuts").isNotNull())
         .withColumn("_chunk", F.when(F.col("_cut"), chunk).otherwise(0))
         .withColumn(SLICE, F.coalesce(number, F.lit(0)))
@@ -66,7 +67,7 @@ def _with_carry(df: DataFrame, keys: list[str], edges: list[Column], carries: li
     own = [f"_key_{k}" for k in range(len(keys) + 1)]
     per_slice = df.where("_cut").groupBy(*keys, SLICE).agg(*edges)
     found = per_slice.select(*[F.col(k).alias(o) for k, o in zip([*keys, SLICE], own)], *carries)
-    return df.join(found, _same([*keys, SLICE], own), "left").drop("_cut", *own)
+    return df.join(F.broadcast(found), _same([*keys, SLICE], own), "left").drop("_cut", *own)
 
 
 def neighbour(

@@ -7,10 +7,12 @@ the same text as the head of its own query. ``FIXTURES.md`` explains the choices
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roomgrid.schema import TABLES
+from roomgrid.session import cut_lineage
 from roomgrid.sources.tables import Tables, conform
 from roomgrid.sources.upgrade import with_advisory_times
 
@@ -179,10 +181,14 @@ def _source_views(spark: SparkSession, folder: str) -> str:
     return prefix
 
 
+# Spark deals the lines by order once: the grouping and the join with the orders both go on from there.
+_BY_ORDER = {"booking_base": FRAGMENTS["booking_base"].replace("from lineitem", "from (select * from lineitem distribute by l_orderkey)")}
+
+
 def derived(spark: SparkSession, folder: str, query: str, extra: dict[str, str] | None = None) -> DataFrame:
     """Run a query over the derived tables of a folder."""
     prefix = _source_views(spark, folder)
-    text = with_fragments(query, extra)
+    text = with_fragments(query, {**(extra or {}), **_BY_ORDER})
     used = [s for s in SOURCES if re.search(rf"\b{s}\b", text)]
     if not used:
         return spark.sql(text)
@@ -190,12 +196,19 @@ def derived(spark: SparkSession, folder: str, query: str, extra: dict[str, str]
     return spark.sql(f"with {heads}, {text[5:]}" if text.startswith("with ") else f"with {heads} {text}")
 
 
-def derived_tables(spark: SparkSession, folder: str) -> Tables:
+def kept(spark: SparkSession, folder: str, name: str, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """Store the rows of a fragment; returns the fragment that reads them, for jobs that meet it several times."""
+    view = f"kept_{uuid.uuid4().hex}"
+    cut_lineage(derived(spark, folder, f"select * from {name}", extra)).createOrReplaceTempView(view)
+    return {name: f"select * from {view}"}
+
+
+def derived_tables(spark: SparkSession, folder: str, extra: dict[str, str] | None = None) -> Tables:
     """The twelve tables over a folder of test tables. Nothing runs before a job reads them."""
 
     def table(name: str):
         def build() -> DataFrame:
-            df = derived(spark, folder, f"select * from {name}")
+            df = derived(spark, folder, f"select * from {name}", extra)
             return conform(with_advisory_times(df) if name == "booking" else df, name)
 
         return build
