@@ -13,7 +13,7 @@ from roomgrid.plans import analytics, reports, rules, workflow
 from roomgrid.schema import NATURAL_KEYS, SCHEMAS
 from roomgrid.session import cut_lineage, shared_dir
 from roomgrid.sources import generate
-from roomgrid.sources.fixtures import derived, derived_tables
+from roomgrid.sources.fixtures import derived, derived_tables, kept
 from roomgrid.sources.load import LOADED, load_absent
 from roomgrid.sources.snapshots import read_version, write_version
 from roomgrid.sources.tables import Tables, append_rows, conform, load_tables, table_summary, write_tables
@@ -38,8 +38,8 @@ union all select 2, facility_name, facility_type from facility where facility_id
 }
 
 
-def parameter(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    df = derived(spark, folder, f"select * from {name}", PARAMETERS)
+def parameter(spark: SparkSession, folder: str, name: str, extra: dict[str, str] | None = None) -> DataFrame:
+    df = derived(spark, folder, f"select * from {name}", {**PARAMETERS, **(extra or {})})
     times = [c for c, kind in df.dtypes if kind == "timestamp"]
     return df.withColumns({c: df[c].cast("timestamp_ntz") for c in times})
 
@@ -144,13 +144,23 @@ PARAMETERS["ship_day"] = "select cast(l_shipdate as date) as booking_date from l
 WINDOW = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
 
 
-def queue_tables(spark: SparkSession, folder: str):
-    t = derived_tables(spark, folder)
-    return t.replace(booking=lambda: conform(with_advisory_times(parameter(spark, folder, "queue")), "booking"))
+def queue_tables(spark: SparkSession, folder: str, extra: dict[str, str] | None = None):
+    t = derived_tables(spark, folder, extra)
+    return t.replace(booking=lambda: conform(with_advisory_times(parameter(spark, folder, "queue", extra)), "booking"))
+
+
+def _kept_booking(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The bookings, derived once for a job that reads them, and what follows from them, several times."""
+    return kept(spark, folder, "booking")
 
 
-def _approved(spark: SparkSession, folder: str) -> DataFrame:
-    return workflow.w05_approve_batch(queue_tables(spark, folder), parameter(spark, folder, "approval"))
+def _approved(spark: SparkSession, folder: str, extra: dict[str, str]) -> DataFrame:
+    return workflow.w05_approve_batch(queue_tables(spark, folder, extra), parameter(spark, folder, "approval", extra))
+
+
+def _attempted(spark: SparkSession, folder: str) -> DataFrame:
+    extra = _kept_booking(spark, folder)
+    return workflow.w05_approve_attempts(queue_tables(spark, folder, extra), parameter(spark, folder, "attempt", extra))
 
 
 def _new_requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,13 +169,16 @@ def _new_requests(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _created(spark: SparkSession, folder: str):
-    requests = parameter(spark, folder, "fresh_request").withColumnsRenamed({"span_start": "start", "span_end": "end"})
-    return workflow.w12_create_and_approve(derived_tables(spark, folder), requests, AS_OF)
+    extra = _kept_booking(spark, folder)
+    requests = parameter(spark, folder, "fresh_request", extra).withColumnsRenamed({"span_start": "start", "span_end": "end"})
+    given = derived_tables(spark, folder, extra)
+    return *workflow.w12_create_and_approve(given, requests, AS_OF), given
 
 
 def _created_decisions(spark: SparkSession, folder: str) -> DataFrame:
-    before = derived_tables(spark, folder)["booking_decision"].agg(F.max("decision_id")).scalar()
-    made = _created(spark, folder)[1]["booking_decision"].where(F.col("decision_id") > before)
+    _, after, given = _created(spark, folder)
+    before = given["booking_decision"].agg(F.max("decision_id")).scalar()
+    made = after["booking_decision"].where(F.col("decision_id") > before)
     return made.select("decision_id", "booking_id", "decision_maker_user_id", "decision_time", "decision", "decision_note")
 
 
@@ -178,7 +191,11 @@ def _on_pending(job) -> Job:
 
 
 def _on_outcomes(job, *args) -> Job:
-    return lambda spark, folder: job(queue_tables(spark, folder), _approved(spark, folder), *args)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        extra = _kept_booking(spark, folder)
+        return job(queue_tables(spark, folder, extra), cut_lineage(_approved(spark, folder, extra)), *args)
+
+    return run
 
 
 def _on_changes(job, *args) -> Job:
@@ -275,6 +292,8 @@ JOBS.update(
                 "v13_status_reached",
             )
         },
+        "v11_orphans": lambda s, f: rules.v11_orphans(derived_tables(s, f, _kept_booking(s, f))),
+        "v10_unique_keys": lambda s, f: rules.v10_unique_keys(derived_tables(s, f, _kept_booking(s, f))),
         "v04_maintenance_block_phase1": _on_tables(rules.v04_maintenance_block, mode="phase1"),
         "w01_validate_requests": lambda spark, folder: workflow.w01_validate_requests(
             derived_tables(spark, folder), _new_requests(spark, folder)
@@ -288,8 +307,8 @@ JOBS.update(
             )
         ),
         "w04_auto_approval_allowed": _on_pending(workflow.w04_auto_approval_allowed),
-        "w05_approve_batch": _approved,
-        "w05_approve_attempts": lambda s, f: workflow.w05_approve_attempts(queue_tables(s, f), parameter(s, f, "attempt")),
+        "w05_approve_batch": lambda s, f: _approved(s, f, _kept_booking(s, f)),
+        "w05_approve_attempts": _attempted,
         "w06_record_acks": _on_outcomes(workflow.w06_record_acks, AS_OF),
         "w07_record_decisions": _on_outcomes(workflow.w07_record_decisions, AS_OF),
         "w07_booking_snapshot": _on_outcomes(workflow.w07_booking_snapshot, AS_OF),
@@ -366,10 +385,12 @@ PARAMETERS.update({f"given_{name}": f"select {_renumbered(name)} from {name}" fo
 
 def _loaded(table: str) -> Job:
     def run(spark: SparkSession, folder: str) -> DataFrame:
+        extra = PARAMETERS | (_kept_booking(spark, folder) if table in ("booking", "booking_decision", "usage_session") else {})
+
         def part(kind: str) -> Tables:
             def build(name: str):
                 def rows() -> DataFrame:
-                    df = derived(spark, folder, f"select * from {kind}_{name}", PARAMETERS)
+                    df = derived(spark, folder, f"select * from {kind}_{name}", extra)
                     return conform(with_advisory_times(df) if name == "booking" else df, name)
 
                 return rows
@@ -429,8 +450,9 @@ def _names(schema: str) -> list[str]:
 
 
 def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
-    t = queue_tables(spark, folder)
-    given = parameter(spark, folder, "command").select(*_names(approvals.COMMANDS))
+    extra = _kept_booking(spark, folder)
+    t = queue_tables(spark, folder, extra)
+    given = parameter(spark, folder, "command", extra).select(*_names(approvals.COMMANDS))
     standing = cut_lineage(workflow.standing_facts(t))
     out = shared_dir(spark, "outcomes")
 
@@ -442,9 +464,10 @@ def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_commands(spark: SparkSession, folder: str) -> DataFrame:
-    t = queue_tables(spark, folder)
+    extra = _kept_booking(spark, folder)
+    t = queue_tables(spark, folder, extra)
     names = _names(approvals.COMMANDS)
-    given = parameter(spark, folder, "command").select(*names).union(parameter(spark, folder, "level_command").select(*names))
+    given = parameter(spark, folder, "command", extra).select(*names).union(parameter(spark, folder, "level_command").select(*names))
     standing = cut_lineage(workflow.standing_facts(t))
     out = shared_dir(spark, "outcomes")
     _in_two_runs(given, "at", approvals.COMMANDS, lambda stream, checkpoint: commands.run_commands(stream, t, standing, out, checkpoint))
@@ -453,7 +476,7 @@ def _streamed_commands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    t = derived_tables(spark, folder)
+    t = derived_tables(spark, folder, _kept_booking(spark, folder))
     # read again by every micro-batch
     t = t.replace(booking=cut_lineage(t["booking"]), booking_impact=cut_lineage(t["booking_impact"]))
     changes = parameter(spark, folder, "timed_change").select(*_names(escalations.CHANGES))
@@ -534,8 +557,11 @@ select booking_id, case when booking_id % 5 = 0 then requester_user_id + 1000000
 
 def _on_batch(job, *names: str, **tables: str) -> Job:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        batch = parameter(spark, folder, names[0]) if names else {t: parameter(spark, folder, n) for t, n in tables.items()}
-        return job(derived_tables(spark, folder), batch)
+        extra = _kept_booking(spark, folder) if job in (rules.v06_bad_ack, rules.v11_orphans) else None
+        batch = (
+            parameter(spark, folder, names[0], extra) if names else {t: parameter(spark, folder, n, extra) for t, n in tables.items()}
+        )
+        return job(derived_tables(spark, folder, extra), batch)
 
     return run
 

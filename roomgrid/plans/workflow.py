@@ -175,9 +175,9 @@ def w02_conflict_check(t, pending: DataFrame, *, buffer_both: bool = False) -> D
     )
 
 
-def _facts(t) -> DataFrame:
-    """Bookings with what the first gates look at: an active requester and an open room that is large enough."""
-    bookings = t["booking"].select(
+def _stated(t) -> DataFrame:
+    """Bookings with what the first gates look at."""
+    return t["booking"].select(
         "booking_id",
         "space_id",
         "requester_user_id",
@@ -188,12 +188,15 @@ def _facts(t) -> DataFrame:
         "requested_start_time",
         "requested_end_time",
     )
+
+
+def _with_facts(t, bookings: DataFrame) -> DataFrame:
+    """Add the policy, the active requester and the open room. Both looks at the requester follow each other: one shuffle."""
     rooms = t["space"].where(F.col("current_status").isin(*OPEN_SPACE)).select(
         F.col("space_id").alias("open_space"), "capacity"
     )
-    return bookings.join(_active_people(t, "requester"), F.col("requester_user_id") == F.col("requester_found"), "left").join(
-        rooms, F.col("space_id") == F.col("open_space"), "left"
-    )
+    known = bookings.join(_active_people(t, "requester"), F.col("requester_user_id") == F.col("requester_found"), "left")
+    return w03_resolve_policy(t, known).join(rooms, F.col("space_id") == F.col("open_space"), "left")
 
 
 def first_gates() -> Column:
@@ -215,7 +218,7 @@ def standing_facts(t, *, buffer_both: bool = False) -> DataFrame:
     active maintenance records a booking overlaps, as (maintenance_id, impact_level).
     """
     wide = ("effective_start", "effective_end")
-    facts = cut_lineage(w03_resolve_policy(t, _facts(t)))
+    facts = cut_lineage(_with_facts(t, _stated(t)))
     pending = facts.where(F.col("booking_status") == "Pending").select(
         "booking_id", "space_id", "requested_start_time", "requested_end_time", *wide
     )
@@ -250,13 +253,13 @@ def w05_approve_batch(
     still hears first that the time is taken.
     """
     once = _one_per(approvals, "booking_id")
-    known = once.join(_facts(t), "booking_id", "left").join(
+    # only the bookings asked for are looked up further
+    known = _with_facts(t, once.join(_stated(t), "booking_id", "left")).join(
         _active_people(t, "maker", PERSONNEL), F.col("decision_maker_user_id") == F.col("maker_found"), "left"
     )
     # read several times below
     gated = cut_lineage(
-        w03_resolve_policy(t, known)
-        .withColumn("code", first_gates())
+        known.withColumn("code", first_gates())
         .select(
             *once.columns,
             "space_id",
