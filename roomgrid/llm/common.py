@@ -14,6 +14,9 @@ from roomgrid.session import shared_dir
 SPACES = " \t\n\x0b\x0c\r"
 _SPACE_RUN = r"[\x20\x09-\x0D]+"
 
+#: Bytes of a batch of rows that goes to Python, but for one row that is larger.
+BATCH_BYTES = 2 << 20
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -35,14 +38,20 @@ def words(text: Column) -> Column:
 
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 256) -> Iterator[None]:
-    """Hand rows to Python in batches that stay small when each holds a long text or list."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    """Hand rows to Python in batches that stay small when each holds a long text or list.
+
+    Steps of one job share the number of rows, so batches are also bounded by ``BATCH_BYTES``: many rows of
+    a few numbers are a batch, as many texts are several.
+    """
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def stored(df: DataFrame, purpose: str = "step", batch_rows: int = 256) -> DataFrame:
