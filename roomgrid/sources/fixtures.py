@@ -181,14 +181,30 @@ def _source_views(spark: SparkSession, folder: str) -> str:
     return prefix
 
 
-# Spark deals the lines by order once: the grouping and the join with the orders both go on from there.
-_BY_ORDER = {"booking_base": FRAGMENTS["booking_base"].replace("from lineitem", "from (select * from lineitem distribute by l_orderkey)")}
+#: Bytes of the lines' files that one task groups by order.
+DEALT_BYTES = 8 << 20
+
+
+def _by_order(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Spark deals the lines by order once: the grouping and the join with the orders both go on from there.
+
+    A task's memory follows its share of the lines, so large files go to more places than the session asks for.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/lineitem.parquet")
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    parts = -(-size // DEALT_BYTES)
+    dealt = "select * from lineitem distribute by l_orderkey"
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        dealt = f"select /*+ repartition({parts}, l_orderkey) */ * from lineitem"
+    return {"booking_base": FRAGMENTS["booking_base"].replace("from lineitem", f"from ({dealt})")}
 
 
 def derived(spark: SparkSession, folder: str, query: str, extra: dict[str, str] | None = None) -> DataFrame:
     """Run a query over the derived tables of a folder."""
     prefix = _source_views(spark, folder)
-    text = with_fragments(query, {**(extra or {}), **_BY_ORDER})
+    text = with_fragments(query, extra)
+    if re.search(r"\bbooking_base\b", text):
+        text = with_fragments(query, {**(extra or {}), **_by_order(spark, folder)})
     used = [s for s in SOURCES if re.search(rf"\b{s}\b", text)]
     if not used:
         return spark.sql(text)

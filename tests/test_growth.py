@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
+from roomgrid import session
 from roomgrid.operators.slices import neighbour
-from roomgrid.plans import workflow
+from roomgrid.operators.upsert import absent_rows
+from roomgrid.plans import catalog, workflow
 from roomgrid.plans.catalog import JOBS
+from roomgrid.sources import fixtures
 from roomgrid.sources.fixtures import derived
+from roomgrid.sources.load import _Load
 from roomgrid.streaming import approvals as stream
 from roomgrid.streaming.approvals import _NONE
 from roomgrid.streaming.commands import _processor
@@ -132,3 +138,11 @@ def test_a_room_reads_and_writes_each_entry_once_a_batch():
     batch(approve(30, 103, 3 * hour, 4 * hour), approve(31, 301, 9 * hour, 11 * hour), approve(32, 302, 12 * hour, 13 * hour), outage(33, 0, 2 * hour))
     assert found == [(30, 51036, None, None), (31, 51041, None, None), (32, None, "Approved", None), (33, None, "Changed", None), (33, None, "Impact", 100), (33, None, "Impact", 101)]
     assert handle.calls.count("read") == 1 + 1 + 2 and handle.calls.count("write") == 1 + 1 + 2
+
+
+def test_more_lines_are_dealt_to_more_places(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "DEALT_BYTES", 2000)
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = plan(derived(spark, FOLDER, "select * from booking"))
+    parts = {int(n) for n in re.findall(r"hashpartitioning\([lo]_orderkey#\w+, (\d+)\)", text)}
+    assert len(parts) == 1 and parts.pop() > few and "REPARTITION_BY_NUM" in text
