@@ -476,9 +476,9 @@ def _streamed_commands(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _streamed_escalations(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    # every micro-batch reads the stored bookings and the known impacts again
     t = derived_tables(spark, folder, _kept_booking(spark, folder))
-    # read again by every micro-batch
-    t = t.replace(booking=cut_lineage(t["booking"]), booking_impact=cut_lineage(t["booking_impact"]))
+    t = t.replace(booking_impact=cut_lineage(t["booking_impact"]))
     changes = parameter(spark, folder, "timed_change").select(*_names(escalations.CHANGES))
     out = shared_dir(spark, "escalations")
     _in_two_runs(

@@ -146,3 +146,19 @@ def test_more_lines_are_dealt_to_more_places(spark, monkeypatch):
     text = plan(derived(spark, FOLDER, "select * from booking"))
     parts = {int(n) for n in re.findall(r"hashpartitioning\([lo]_orderkey#\w+, (\d+)\)", text)}
     assert len(parts) == 1 and parts.pop() > few and "REPARTITION_BY_NUM" in text
+
+
+def test_bookings_of_escalations_are_stored_once(spark, monkeypatch):
+    sizes, given = [], catalog.cut_lineage
+
+    def counted(df):
+        sizes.append(set(df.columns))
+        return given(df)
+
+    monkeypatch.setattr(catalog, "cut_lineage", counted)
+    monkeypatch.setattr(catalog, "_in_two_runs", lambda *_: (_ for _ in ()).throw(StopIteration))
+    try:
+        catalog._streamed_escalations(spark, FOLDER)
+    except StopIteration:
+        pass
+    assert sizes and not [columns for columns in sizes if "requested_start_time" in columns]
