@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roomgrid.operators.slices import numbered
 from roomgrid.operators.upsert import absent_rows
-from roomgrid.schema import FOREIGN_KEYS, NATURAL_KEYS, PRIMARY_KEYS, TABLES
+from roomgrid.schema import FOREIGN_KEYS, NATURAL_KEYS, PRIMARY_KEYS, SCHEMAS, TABLES
 from roomgrid.session import cut_lineage
 from roomgrid.sources.tables import Tables, conform
 
@@ -45,6 +45,13 @@ class _Load:
         return self._given[name]
 
     def _referring(self, rows: DataFrame, name: str, column: str, parent: str) -> DataFrame:
+        held = F.col(column)
+        if SCHEMAS[name][column].nullable:
+            # rows that may lack a reference and do so need not travel
+            return self._found(rows.where(held.isNotNull()), name, column, parent).unionByName(rows.where(held.isNull()))
+        return self._found(rows, name, column, parent)
+
+    def _found(self, rows: DataFrame, name: str, column: str, parent: str) -> DataFrame:
         held = F.col(column)
         # rows without a reference find no parent; they are dealt to many places, not to one
         spread = F.pmod(F.xxhash64(*PRIMARY_KEYS[name]), F.lit(_NO_KEY_PLACES))

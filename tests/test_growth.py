@@ -162,3 +162,30 @@ def test_bookings_of_escalations_are_stored_once(spark, monkeypatch):
     except StopIteration:
         pass
     assert sizes and not [columns for columns in sizes if "requested_start_time" in columns]
+
+
+def test_absent_rows_travel_once(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        source = spark.createDataFrame([(1, None, "b", 5), (2, None, "a", 5), (3, 7, "c", 5), (4, 8, None, 5), (5, 8, "d", None)], "id long, k long, v string, w long")
+        target = spark.createDataFrame([(9, 7, "z", 5), (10, 7, "y", 5)], "id long, k long, v string, w long")
+        df = absent_rows(target, source, ["k", "w"])
+        assert "Join" not in plan(df)
+        assert df.columns == source.columns and sorted(df.collect()) == [(1, None, "b", 5), (4, 8, None, 5), (5, 8, "d", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_rows_without_a_reference_do_not_travel(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        load = _Load({}, {})
+        load._ids["app_user"] = spark.createDataFrame([(1, 10), (2, 20)], "_source_id long, _target_id long")
+        rows = spark.createDataFrame([(1, 2), (2, None), (3, 1), (3, None)], "booking_id long, cancelled_by_user_id long")
+        df = load._referring(rows, "booking", "cancelled_by_user_id", "app_user")
+        assert sorted(df.collect(), key=str) == [(1, 20), (2, None), (3, 10), (3, None)]
+        assert "Union" in plan(df) and "isnotnull(cancelled_by_user_id" in plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
