@@ -253,8 +253,10 @@ def w05_approve_batch(
     still hears first that the time is taken.
     """
     once = _one_per(approvals, "booking_id")
-    # only the bookings asked for are looked up further
-    known = _with_facts(t, once.join(_stated(t), "booking_id", "left")).join(
+    # only the bookings asked for are looked up further; of those that are decided the status says enough
+    late = ["purpose", "expected_participants", "submitted_at", "requested_start_time", "requested_end_time"]
+    stated = _stated(t).withColumns({c: F.when(F.col("booking_status") == "Pending", F.col(c)) for c in late})
+    known = _with_facts(t, once.join(stated, "booking_id", "left")).join(
         _active_people(t, "maker", PERSONNEL), F.col("decision_maker_user_id") == F.col("maker_found"), "left"
     )
     # read several times below
@@ -384,7 +386,7 @@ def _advisories_met(t, outcomes: DataFrame) -> DataFrame:
         _approved(outcomes).select("booking_id"), "booking_id", "left_semi"
     )
     return maintenance_overlaps(
-        wanted,
+        cut_lineage(wanted),  # read twice
         active_maintenance(t, (ADVISORY,)).select(
             "space_id", "maintenance_id", "problem_description", "start_time", "completion_time"
         ),

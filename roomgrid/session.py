@@ -9,6 +9,8 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -109,6 +111,27 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+#: Places to which a stored step deals its rows at least.
+FINE = 256
+
+
+@contextmanager
+def finely_dealt(spark: SparkSession) -> Iterator[None]:
+    """Deal rows to many places, of which Spark puts small neighbours together: large tables are sorted in memory.
+
+    A number that the session has set itself stays.
+    """
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    given = spark.conf.get(name, None)
+    if given is None:
+        spark.conf.set(name, str(max(FINE, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(name)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store the rows as a table in the shared folder and go on from there.
 
@@ -117,5 +140,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, "step")
-    df.write.option("compression", "zstd").parquet(path)
+    with finely_dealt(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -189,3 +189,18 @@ def test_rows_without_a_reference_do_not_travel(spark):
         assert "Union" in plan(df) and "isnotnull(cancelled_by_user_id" in plan(df)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_stored_steps_are_dealt_finely(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with session.finely_dealt(spark):
+        text = plan(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count())
+        assert f", {session.FINE})" in text
+    assert spark.conf.get(name, None) is None
+    spark.conf.set(name, "9")
+    try:
+        with session.finely_dealt(spark):
+            assert spark.conf.get(name) == "9"
+        assert spark.conf.get(name) == "9"
+    finally:
+        spark.conf.unset(name)
