@@ -27,7 +27,7 @@ from roomgrid.schema import (
     OUT_OF_SERVICE,
     PERSONNEL,
 )
-from roomgrid.session import cut_lineage
+from roomgrid.session import cut_lineage, release_shuffles
 
 # Notes on recorded decisions.
 AUTO_NOTE = "Automatic approval after transactional availability validation."
@@ -211,19 +211,51 @@ def first_gates() -> Column:
     )
 
 
+def standing_gate() -> Column:
+    """The part of ``first_gates`` that a booking answers by itself; 0 where it passes."""
+    code = _first_code(
+        (F.col("booking_status").isNull(), 51034),
+        (F.col("booking_status") != "Pending", 51036),
+        (F.col("requester_found").isNull(), 51038),
+        (F.col("open_space").isNull() | (F.col("capacity") < F.col("expected_participants")), 51039),
+    )
+    return F.coalesce(code, F.lit(0))
+
+
+def known_gates() -> Column:
+    """``first_gates`` of a command that was joined to ``standing_facts`` and to its maker."""
+    gate = F.col("gate")
+    return _first_code(
+        (gate.isNull() | (gate == 51034), 51034),  # no such booking, or one without a status
+        (gate == 51036, 51036),
+        (F.col("maker_found").isNull(), 51037),
+        (gate > 0, gate),
+        (F.col("is_auto") & ~F.col("auto_allowed"), 51040),
+    )
+
+
 def standing_facts(t, *, buffer_both: bool = False) -> DataFrame:
-    """All bookings with policy and gate facts, and for pending ones what stands in their way.
+    """All bookings with their gate (``standing_gate``), and for pending ones what else an approval looks at.
 
-    The static side of the approval stream: ``taken`` (by an active booking) and ``met``, the
-    active maintenance records a booking overlaps, as (maintenance_id, impact_level).
+    The static side of the approval stream: the requested interval, the one with buffers, ``auto_allowed``,
+    ``taken`` (by an active booking) and ``met``, the active maintenance records a booking overlaps, as
+    (maintenance_id, impact_level). Of a booking that is decided the gate says enough.
     """
     wide = ("effective_start", "effective_end")
-    facts = cut_lineage(_with_facts(t, _stated(t)))
-    pending = facts.where(F.col("booking_status") == "Pending").select(
+    late = ["purpose", "expected_participants", "requested_start_time", "requested_end_time"]
+    stated = _stated(t).drop("submitted_at").withColumns({c: F.when(F.col("booking_status") == "Pending", F.col(c)) for c in late})
+    facts = cut_lineage(
+        _with_facts(t, stated).select(
+            "booking_id", "space_id", standing_gate().alias("gate"), "auto_allowed", "requested_start_time", "requested_end_time", *wide
+        )
+    )
+    release_shuffles(facts.sparkSession)
+    pending = facts.where(~F.col("gate").isin(51034, 51036)).select(
         "booking_id", "space_id", "requested_start_time", "requested_end_time", *wide
     )
+    probes = pending.select("booking_id", "space_id", *wide)
     taken = overlap_flags(
-        pending, {"taken": _booked(t, buffer_both)}, ["space_id"], wide, ("taken_from", "taken_until"), "booking_id"
+        probes, {"taken": _booked(t, buffer_both)}, ["space_id"], wide, ("taken_from", "taken_until"), "booking_id"
     ).select("booking_id", "taken")
     records = active_maintenance(t).select("space_id", "maintenance_id", "impact_level", "start_time", "completion_time")
     met = (
@@ -356,7 +388,7 @@ def w05_approve_attempts(t, attempts: DataFrame, *, buffer_both: bool = False) -
     coded = cut_lineage(
         attempts.join(facts, F.col("booking_id") == F.col("_known"), "left")
         .join(makers, F.col("decision_maker_user_id") == F.col("maker_found"), "left")
-        .select(*attempts.columns, first_gates().alias("gate"), blocked.alias("blocked"))
+        .select(*attempts.columns, known_gates().alias("gate"), blocked.alias("blocked"))
     )
     row = F.struct(
         F.coalesce("gate", "blocked").isNotNull().alias("fails"), F.col("gate").isNotNull().alias("gated"), "attempt", "decision_maker_user_id", "is_auto", "acknowledge"
