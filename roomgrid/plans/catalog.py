@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from roomgrid.functions.exprs import epoch_second
 from roomgrid.operators.upsert import insert_if_absent
 from roomgrid.plans import analytics, reports, rules, workflow
 from roomgrid.schema import NATURAL_KEYS, SCHEMAS
-from roomgrid.session import cut_lineage, shared_dir
+from roomgrid.session import cut_lineage, drop_paths, release_shuffles, settle, shared_dir, shared_paths
 from roomgrid.sources import generate
 from roomgrid.sources.fixtures import derived, derived_tables, kept
 from roomgrid.sources.load import LOADED, load_absent
@@ -441,7 +442,7 @@ def _in_two_runs(df: DataFrame, order: str, schema: str, run) -> None:
     spark = df.sparkSession
     source, checkpoint = shared_dir(spark, "source"), shared_dir(spark, "stream")
     for part in _halves(df, order):
-        part.write.mode("append").parquet(source)
+        part.write.mode("append").option("compression", "zstd").parquet(source)
         run(spark.readStream.schema(schema).parquet(source), checkpoint)
 
 
@@ -449,29 +450,38 @@ def _names(schema: str) -> list[str]:
     return [column.split()[0] for column in schema.split(", ")]
 
 
-def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
+def _streamed(spark: SparkSession, folder: str, sources: tuple[str, ...], start) -> DataFrame:
+    """The outcomes of the commands of ``sources``; what only led to them is removed as soon as it is not read any more."""
+    before = shared_paths(spark)
     extra = _kept_booking(spark, folder)
-    t = queue_tables(spark, folder, extra)
-    given = parameter(spark, folder, "command", extra).select(*_names(approvals.COMMANDS))
-    standing = cut_lineage(workflow.standing_facts(t))
+    release_shuffles(spark)
+    t, names = queue_tables(spark, folder, extra), _names(approvals.COMMANDS)
+    standing = settle(spark, lambda: workflow.standing_facts(t))
+    parts = [parameter(spark, folder, name, extra).select(*names) for name in sources]
+    given = settle(spark, lambda: reduce(DataFrame.union, parts))
+    del parts
+    drop_paths(spark, [path for path in shared_paths(spark)[:-2] if path not in before])  # all but the facts and the commands
     out = shared_dir(spark, "outcomes")
 
     def run(stream: DataFrame, checkpoint: str) -> None:
-        approvals.run_available(approvals.s01_stream_approvals(stream, t, standing), out, checkpoint)
+        release_shuffles(spark)
+        start(stream, t, standing, out, checkpoint)
+        release_shuffles(spark)
 
     _in_two_runs(given, "at", approvals.COMMANDS, run)
-    return spark.read.schema(approvals.OUTCOMES).parquet(out).select("booking_id", "code", F.col("result").alias("decision"))
+    drop_paths(spark, [path for path in shared_paths(spark) if path not in (*before, out)])
+    return spark.read.schema(approvals.OUTCOMES).parquet(out)
+
+
+def _streamed_approvals(spark: SparkSession, folder: str) -> DataFrame:
+    def start(stream: DataFrame, t, standing: DataFrame, out: str, checkpoint: str) -> None:
+        approvals.run_available(approvals.s01_stream_approvals(stream, t, standing), out, checkpoint)
+
+    return _streamed(spark, folder, ("command",), start).select("booking_id", "code", F.col("result").alias("decision"))
 
 
 def _streamed_commands(spark: SparkSession, folder: str) -> DataFrame:
-    extra = _kept_booking(spark, folder)
-    t = queue_tables(spark, folder, extra)
-    names = _names(approvals.COMMANDS)
-    given = parameter(spark, folder, "command", extra).select(*names).union(parameter(spark, folder, "level_command").select(*names))
-    standing = cut_lineage(workflow.standing_facts(t))
-    out = shared_dir(spark, "outcomes")
-    _in_two_runs(given, "at", approvals.COMMANDS, lambda stream, checkpoint: commands.run_commands(stream, t, standing, out, checkpoint))
-    found = spark.read.schema(approvals.OUTCOMES).parquet(out)
+    found = _streamed(spark, folder, ("command", "level_command"), commands.run_commands)
     return found.select("command_id", "booking_id", "maintenance_id", "code", "result", "impacted_booking_id")
 
 

@@ -9,7 +9,7 @@ import re
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,3 +143,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     with finely_dealt(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settle(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """Store the rows of what ``build`` returns, then remove the steps it has stored on the way and their shuffles."""
+    before = shared_paths(spark)
+    df = cut_lineage(build())
+    drop_paths(spark, [path for path in shared_paths(spark)[:-1] if path not in before])
+    release_shuffles(spark)
+    return df
