@@ -141,7 +141,7 @@ def _without_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(c, F.lit(marks[kind]).cast(kind)).alias(c) if kind in marks else c for c, kind in df.dtypes])
 
 
-# of a command that is still open, packed: Spark's frames for Python cost by the column
+# of a command that is still open, packed: the frames of a room cost by the column
 _NUMBERS = (
     "at_second", "is_auto", "acknowledge", "record_from", "record_until", "raw_from", "raw_until", "wide_from", "wide_until", "taken",
 )

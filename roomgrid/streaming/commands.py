@@ -24,7 +24,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomgrid.streaming.approvals import _NONE, OUTCOMES, _packed, _travelling, _without_null, prepare, run_available
+from roomgrid.streaming.approvals import _NONE, OUTCOMES, _travelling, _without_null, prepare, run_available
 
 DAY = 86_400
 #: Days of an entry of ``taken``: fewer calls for many commands, against more intervals read for few.
@@ -180,7 +180,8 @@ def s01_stream_commands(commands: DataFrame, t, standing: DataFrame) -> DataFram
     Start it through ``run_commands``, or with the RocksDB provider set.
     """
     names = [c.split()[0] for c in OUTCOMES.split(", ")]
-    ready = _packed(_without_null(prepare(commands, t, standing).drop("at")))
+    # not packed: here Spark reads arrays more slowly than the columns they stand for
+    ready = _without_null(prepare(commands, t, standing).drop("at"))
     dealt = ready.withColumn("bucket", F.pmod(F.xxhash64("space_id", "place"), F.lit(BUCKETS)))
     return dealt.groupBy("bucket").transformWithStateInPandas(_processor(names), OUTCOMES, "append", "none")
 
