@@ -141,28 +141,10 @@ def _without_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(c, F.lit(marks[kind]).cast(kind)).alias(c) if kind in marks else c for c, kind in df.dtypes])
 
 
-# of a command that is still open, packed: the frames of a room cost by the column
-_NUMBERS = (
-    "at_second", "is_auto", "acknowledge", "record_from", "record_until", "raw_from", "raw_until", "wide_from", "wide_until", "taken",
-)
-_WORDS = ("new_level", "record_level")
-
-
-def _packed(ready: DataFrame) -> DataFrame:
-    """Commands without NULL, with what only open ones need in two arrays."""
-    still_open = F.col("code") == 0
-    return ready.select(
-        *[c for c in ready.columns if c not in (*_NUMBERS, *_WORDS)],
-        F.when(still_open, F.array(*[F.col(c).cast("long") for c in _NUMBERS])).alias("numbers"),
-        F.when(still_open & (F.col("kind") == "level"), F.array(*_WORDS)).alias("words"),
-    )
-
-
 def _travelling(outcome_columns: list[str], none: int = _NONE):
     """What the workers do with frames of commands and outcomes; nested, so that it travels by value."""
     # what is looked at of a command, and of one that is still open
     always = "space_id", "command_id", "kind", "booking_id", "maintenance_id", "code"
-    numbers, words = _NUMBERS, _WORDS
     fields = (
         "space_id, place, at_second, command_id, kind, booking_id, maintenance_id, is_auto, acknowledge, new_level, record_level, "
         "record_from, record_until, raw_from, raw_until, wide_from, wide_until, taken, met_records, met_levels"
@@ -171,7 +153,7 @@ def _travelling(outcome_columns: list[str], none: int = _NONE):
     def given(key, batches):
         """The columns of the commands, and the open ones by room and in order, as tuples of ``fields``.
 
-        Frames are as ``_packed`` made them or have a column per field; those without a room belong to that of the key.
+        Frames without a room belong to that of the key.
         """
         import numpy as np
 
@@ -186,12 +168,7 @@ def _travelling(outcome_columns: list[str], none: int = _NONE):
         free = np.flatnonzero(columns["code"] == 0)
         if not len(free):
             return columns, ()
-        of = {}
-        if "numbers" in frames[0]:
-            of = dict(zip(numbers, np.stack(read("numbers")[free]).T))
-            texts = [(None,) * len(words) if w is None else w for w in read("words")[free]]
-            of |= {c: np.array(values, dtype=object) for c, values in zip(words, zip(*texts))}
-        of |= {c: (columns[c] if c in columns else read(c))[free] for c in fields if c not in of}
+        of = {c: (columns[c] if c in columns else read(c))[free] for c in fields}
         order = np.lexsort([of[c] for c in ("command_id", "at_second", "place", "space_id")])
         return columns, zip(*(of[c][order].tolist() for c in fields))
 
@@ -306,7 +283,7 @@ def s01_stream_approvals(
     A level change reports the bookings that this stream has approved before; for those that
     were active when it started, run the changes through ``escalations`` as well.
     """
-    ready = _packed(_without_null(prepare(commands, t, standing)))
+    ready = _without_null(prepare(commands, t, standing))
     ready = ready.withWatermark("at", delay) if lead_rule else ready.drop("at")
     names = [c.split()[0] for c in OUTCOMES.split(", ")]
     return ready.groupBy("space_id", "place").applyInPandasWithState(

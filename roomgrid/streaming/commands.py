@@ -180,7 +180,6 @@ def s01_stream_commands(commands: DataFrame, t, standing: DataFrame) -> DataFram
     Start it through ``run_commands``, or with the RocksDB provider set.
     """
     names = [c.split()[0] for c in OUTCOMES.split(", ")]
-    # not packed: here Spark reads arrays more slowly than the columns they stand for
     ready = _without_null(prepare(commands, t, standing).drop("at"))
     dealt = ready.withColumn("bucket", F.pmod(F.xxhash64("space_id", "place"), F.lit(BUCKETS)))
     return dealt.groupBy("bucket").transformWithStateInPandas(_processor(names), OUTCOMES, "append", "none")
